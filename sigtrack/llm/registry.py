@@ -7,8 +7,11 @@ import importlib
 #: Query name and the module that has it under that name.
 _QUERIES = {
     "op1_simhash": "simhash",
+    "op2_langid": "langid",
     "op4_pack": "packing",
     "op5_repair_ids": "repair",
+    "op6_quality": "quality",
+    "op9_mix": "mixing",
 }
 
 
