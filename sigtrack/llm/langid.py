@@ -218,3 +218,28 @@ def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = identify(docs, fitted(docs))
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def accepted(docs: DataFrame, model: Model | None, least_score: float = 0.34) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text has a language with a score of ``least_score`` or more.
+
+    Texts without a letter and null texts go; without a model no language is known and all others stay.
+    """
+    schema, at = docs.schema, docs.columns.index("text")
+
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if model is not None and model.key not in _scorers:
+            _scorers.clear()
+            _scorers[model.key] = Scorer(model)
+        for frame in frames:
+            texts = [t or "" for t in frame.column(at).to_pylist()]
+            keep = np.zeros(len(texts), bool)
+            for a, b in batches(texts):
+                if model is None:
+                    keep[a:b] = [any(map(str.isalpha, t)) for t in texts[a:b]]
+                else:
+                    mean, n = _scorers[model.key].posteriors(texts[a:b])
+                    keep[a:b] = (n > 0) & (mean.max(1) >= least_score)
+            yield frame.filter(pa.array(keep))
+
+    return docs.mapInArrow(run, schema)

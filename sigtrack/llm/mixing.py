@@ -21,6 +21,10 @@ from .common import stored, table, word_count
 #: The contract's weights by place in the order of sources, and its sizes.
 WEIGHTS, SHARE, MOST_COPIES = (5, 2, 1), 1.5, 2
 BITS = 48
+#: Name of a column that numbers the rows, if there is one already.
+ROW = "_mix_row"
+#: White space between words, in Java's syntax.
+GAP = r"[\x20\x09-\x0D]+"
 
 
 def _reversed_bits(n: Column) -> Column:
@@ -63,7 +67,8 @@ def targets(sizes: DataFrame) -> DataFrame:
 def sized(docs: DataFrame) -> DataFrame:
     """row, doc_id, source, size and shuffled place (the md5 that documents are ordered by)."""
     key = F.concat(F.lit("mix"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    return docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), F.col("source").cast("string"), word_count(F.col("text")).alias("size"), F.md5(key.cast("binary")).alias("draw"))
+    row = F.col(ROW) if ROW in docs.columns else F.monotonically_increasing_id()
+    return docs.select(row.alias("row"), F.col("doc_id").cast("long"), F.col("source").cast("string"), word_count(F.col("text")).alias("size"), F.md5(key.cast("binary")).alias("draw"))
 
 
 def placed(sizes: DataFrame, sources: DataFrame) -> DataFrame:
@@ -139,6 +144,23 @@ def mix(docs: DataFrame, block_words: int = 256) -> DataFrame:
     return rows.join(taken, "row", "left").select("row", "doc_id", "size", "source_size", "target", zero("taken"), zero("taken_0"), zero("taken_1"))
 
 
+def mixed(docs: DataFrame, block_words: int = 256) -> DataFrame:
+    """The rows of ``docs`` that the mix takes words of, with the columns of ``docs``.
+
+    ``text`` is what is taken: the text, once or twice with a line feed between; where a source's
+    last block ends inside a document, its leading words with single spaces. n_chars, if there, is
+    counted anew.
+    """
+    rows = stored(docs.withColumn(ROW, F.monotonically_increasing_id()))
+    plan = mix(rows, block_words).where("taken > 0").select(F.col("row").alias(ROW), F.col("size").alias("_size"), "taken_0", "taken_1")
+    words = F.filter(F.split("text", GAP), lambda w: w != "")
+    part = lambda c: F.when(F.col(c) == F.col("_size"), F.col("text")).when(F.col(c) > 0, F.array_join(F.slice(words, F.lit(1), F.col(c).cast("int")), " "))
+    out = rows.join(plan, ROW).withColumn("text", F.concat_ws("\n", part("taken_0"), part("taken_1")))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out.select(*docs.columns)
+
+
 def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 

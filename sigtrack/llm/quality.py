@@ -208,3 +208,22 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = learn(training_sample(docs, table(spark, sf_dir, "labels")))
     return verdicts(docs, model)
+
+
+def kept(docs: DataFrame, model: Model | None, least_share: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, all columns, that ``verdicts`` keeps."""
+    schema, at = docs.schema, docs.columns.index("text")
+
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for frame in frames:
+            texts = [t or "" for t in frame.column(at).to_pylist()]
+            keep = np.ones(len(texts), bool)
+            for a, b in batches(texts):
+                if model is not None:
+                    keep[a:b] = content_shares(texts[a:b], model) >= least_share
+            for i in np.flatnonzero(keep):
+                n, _, _, _, repeated = base_counts(texts[i])
+                keep[i] = n >= 10 and 100 * repeated <= 20 * n
+            yield frame.filter(pa.array(keep))
+
+    return docs.mapInArrow(run, schema)

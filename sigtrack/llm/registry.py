@@ -8,10 +8,14 @@ import importlib
 _QUERIES = {
     "op1_simhash": "simhash",
     "op2_langid": "langid",
+    "op3_licenses": "licenses",
     "op4_pack": "packing",
     "op5_repair_ids": "repair",
     "op6_quality": "quality",
+    "op7_embeddings": "embeddings",
+    "op8_html": "webpage",
     "op9_mix": "mixing",
+    "op10_chat": "chat",
 }
 
 

@@ -235,3 +235,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, with the smallest doc_id of each group of near-duplicates.
+
+    Rows that repeat such a doc_id are one; rows without a doc_id cannot be named and stay.
+    """
+    found = stored(near_duplicates(docs))
+    least = found.where("doc_id = component_id").select("doc_id")
+    out = docs.join(least.distinct(), "doc_id", "left_semi")
+    if not least.groupBy("doc_id").count().where("count > 1").isEmpty():
+        out = out.dropDuplicates(["doc_id"])
+    return out.unionByName(docs.where("doc_id is null")).select(*docs.columns)
