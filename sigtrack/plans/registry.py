@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries():
-    return {}
+from pyspark.sql import DataFrame, SparkSession
 
+from .queries import QUERIES, SQL
+from .views import Tables
 
-def oracle_sql():
-    return {}
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {name: (lambda spark, sf_dir, f=f: f(Tables(spark, sf_dir))) for name, f in QUERIES.items()}
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(SQL)
