@@ -8,6 +8,7 @@ from statistics import NormalDist
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 MAD_SCALE, P_FLOOR = 1.4826, 1e-300
 
@@ -21,7 +22,7 @@ def z_threshold(p: float) -> float:
     return NormalDist().inv_cdf(1 - p / 2)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def two_sided_p(z: pd.Series) -> pd.Series:
     """erfc(|z| / sqrt 2) by Arrow batches: needed only where p-values are combined or reported."""
     return z.abs().div(math.sqrt(2)).map(math.erfc, na_action="ignore")

@@ -56,8 +56,8 @@ def error_mask(alignments: DataFrame, reference: DataFrame, keep: list[str]) ->
     bases = aligned_bases(alignments, keep).join(reference.select("chrom", "pos", F.upper("nt").alias("nt")), ["chrom", "pos"], "left")
     wrong = bases.select(*keep, "pos", ((F.col("base") == "*") | ~F.col("nt").eqNullSafe(F.upper("base"))).alias("is_error"))
     walk = alignments.select(*keep, "start", F.explode(_steps(F.col("cigar"))).alias("s"))
-    sides = walk.where("s.op = 1").select(*keep, F.explode(F.array(F.col("start") + F.col("s.r"), F.col("start") + F.col("s.r") + 1)).cast("long").alias("pos"), F.lit(True).alias("is_error"))
-    skipped = walk.where("s.op = 3 and s.len > 0").select(*keep, F.explode(F.sequence(F.col("start") + F.col("s.r") + 1, F.col("start") + F.col("s.r") + F.col("s.len"))).cast("long").alias("pos"), F.lit(True).alias("is_error"))
+    sides = walk.where("s.op = 1").select(*keep, F.explode(F.array(F.col("start") + F.col("s.r"), F.col("start") + F.col("s.r") + 1)).alias("pos"), F.lit(True).alias("is_error"))
+    skipped = walk.where("s.op = 3 and s.len > 0").select(*keep, F.explode(F.sequence(F.col("start") + F.col("s.r") + 1, F.col("start") + F.col("s.r") + F.col("s.len"))).alias("pos"), F.lit(True).alias("is_error"))
     span = wrong.unionByName(skipped)
     inside = sides.join(span.select(*keep, "pos").distinct(), [*keep, "pos"], "left_semi")
     return span.unionByName(inside).groupBy(*keep, "pos").agg(F.bool_or("is_error").alias("is_error"))
