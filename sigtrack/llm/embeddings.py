@@ -118,6 +118,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, cell: int
     counts = {(r.label, r.dim): r["count"] for r in nodes.groupBy("label", "dim").count().collect()}
     total = sum(counts.values())
     rng = F.pmod(F.xxhash64("node", F.lit(31)), F.lit(1 << 20)) / (1 << 20)
+    # the sample is bounded in numbers too, whatever the length of the vectors
+    sample = min(sample, 2_000_000 // max([1, *(d for _, d in counts)]))
     drawn = nodes.where(rng < min(1.0, sample / max(1, total))).select("label", "dim", "unit").collect()
     by: dict[tuple[int, int], list] = {}
     for r in drawn:

@@ -144,6 +144,17 @@ def connected(fp: np.ndarray, radius: int = RADIUS, small: int = 256, block: int
             if max(len(inner), len(outer)) < 0.9 * len(part):
                 todo += [inner, outer]
                 continue
+            # no vantage point divides a dense group; what is within the radius of one is connected through it
+            ball, rest = part[d <= radius], part[d > radius]
+            if 64 * len(ball) > len(part):
+                _chain(parent, ball[:-1], ball[1:])
+                open_ = part[(d > radius) & (d <= 2 * radius)]
+                for a in range(0, len(ball), small):
+                    near = (np.bitwise_count(fp[open_][:, None] ^ fp[ball[a : a + small]][None, :]) <= radius).any(1)
+                    _chain(parent, open_[near], np.full(near.sum(), ball[0]))
+                    open_ = open_[~near]
+                todo.append(rest)
+                continue
         for a in range(0, len(part), block):
             x = fp[part[a : a + block]]
             for b in range(a, len(part), block):
@@ -158,13 +169,13 @@ def connected(fp: np.ndarray, radius: int = RADIUS, small: int = 256, block: int
 def links(fps: DataFrame, radius: int = RADIUS, shard: int = SHARD, sample: int = SAMPLE) -> DataFrame:
     """(a, b) with a < b that connect distinct fingerprints ``fps`` (fp) just as all pairs within ``radius`` do.
 
-    The trees are fitted on at most ``sample`` fingerprints, drawn by hash; every fingerprint is searched.
+    The trees are fitted on about ``sample`` fingerprints, drawn by hash; every fingerprint is searched.
     """
     if radius != 3:
         raise ValueError("two halves with radius 1 answer for radius 3")
     n = fps.count()
-    keep = fps if n <= sample else fps.orderBy(F.xxhash64("fp", F.lit(11))).limit(sample)
-    drawn = np.array([r.fp for r in keep.collect()], np.int64).view(np.uint64)
+    draw = F.pmod(F.xxhash64("fp", F.lit(11)), F.lit(1 << 30)) < int(min(1.0, sample / max(1, n)) * (1 << 30))
+    drawn = np.array([r.fp for r in fps.where(draw).select("fp").collect()], np.int64).view(np.uint64)
     rng, low = np.random.default_rng(3), np.uint64(0xFFFFFFFF)
     leaves = max(1, n // shard)
     trees = [fit_tree(drawn & low, leaves, rng), fit_tree(drawn >> np.uint64(32), leaves, rng)]
