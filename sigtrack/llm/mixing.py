@@ -104,7 +104,8 @@ def slots(sources: DataFrame, block_words: int, cells: int = 1024) -> DataFrame:
     shift = BITS - (cells - 1).bit_length()
     part = part.withColumn("cell", F.explode(F.sequence(F.shiftright("low", shift), F.shiftright(F.col("high") - 1, shift))))
     spark = sources.sparkSession
-    k = spark.range(int(total)).withColumnRenamed("id", "slot").withColumn("point", _reversed_bits(F.col("slot")))
+    parts = max(spark.sparkContext.defaultParallelism, int(total) // 250_000)
+    k = spark.range(0, int(total), 1, parts).withColumnRenamed("id", "slot").withColumn("point", _reversed_bits(F.col("slot")))
     k = k.withColumn("cell", F.shiftright("point", shift)).join(part, "cell").where("point >= low and point < high")
     rank = points_below(F.col("slot"), bits, F.col("high")) - points_below(F.col("slot"), bits, F.col("low"))
     return k.select("slot", "s", rank.alias("rank"))
