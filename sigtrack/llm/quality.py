@@ -142,7 +142,7 @@ def learn(sample: list[tuple[str, int]], steps: int = 60, lean: float = 2.0) ->
     # documents count alike, whatever their number of lines: a few lines of the long ones repeat their type only
     types, items = np.unique(ids, axis=0, return_inverse=True)
     owner = np.repeat(np.arange(len(types)), types.shape[1])
-    weights, chain = fit(types.ravel(), owner, N_FEATURES, items.ravel(), label, np.diff(of, prepend=-1) != 0, 2, steps=steps)
+    weights, chain = fit(types.ravel(), owner, N_FEATURES, items.ravel(), label, np.diff(of, prepend=-1) != 0, 2, steps=steps, decay=1e-3)
     chain.start[0] += lean
     return Model(weights, chain)
 
