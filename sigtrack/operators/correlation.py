@@ -18,9 +18,11 @@ def sampled_positions(genome: DataFrame, n: int, seed: int = 1) -> DataFrame:
     total = offsets.agg(F.max(F.col("offset") + F.col("size")).alias("total")).first().total or 0
     draw = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}|"), F.col("id")).cast("binary")), 1, 12), 16, 10).cast("long")
     rows = genome.sparkSession.range(n if total else 0).select("id", F.pmod(draw, F.lit(max(1, total))).alias("at"))
-    inside = (F.col("at") >= F.col("offset")) & (F.col("at") < F.col("offset") + F.col("size"))
-    # contigs of a genome: some thousands at most, a plain range lookup
-    return rows.join(F.broadcast(offsets.select("chrom", "offset", "size")), inside).select("id", "chrom", (F.col("at") - F.col("offset") + 1).alias("pos"))
+    # a range lookup as an equi-join: contigs are listed in each of 1,024 equal cells that they reach into
+    cell = max(1, -(-total // 1024))
+    spans = offsets.where("size > 0").select("chrom", "offset", "size", F.explode(F.sequence(F.floor(F.col("offset") / cell), F.floor((F.col("offset") + F.col("size") - 1) / cell))).alias("cell"))
+    hit = rows.withColumn("cell", F.floor(F.col("at") / cell)).join(spans, "cell").where((F.col("at") >= F.col("offset")) & (F.col("at") < F.col("offset") + F.col("size")))
+    return hit.select("id", "chrom", (F.col("at") - F.col("offset") + 1).alias("pos"))
 
 
 def at_positions(positions: DataFrame, a: DataFrame, b: DataFrame, value: str) -> DataFrame:
