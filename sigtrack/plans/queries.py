@@ -260,7 +260,7 @@ def _(t):
 
 @query("agg09_fpr_cutoff", "scored", """AND h AS (SELECT least(floor(abs(z) / 0.01), 10000)::BIGINT AS bin, count(*) AS n FROM scored WHERE sample = 'control' GROUP BY ALL),
 c AS (SELECT bin, sum(n) OVER (ORDER BY bin DESC) AS tail, sum(n) OVER () AS total FROM h)
-SELECT round((coalesce(max(bin) FILTER (tail > 0.02 * total), -1) + 1) * 0.01, 6) AS cutoff FROM c""")
+SELECT round((coalesce(max(bin) FILTER (tail > 0.02 * total), -1) + 1) * 0.01::DOUBLE, 6) AS cutoff FROM c""")
 def _(t):
     h = calls.null_histogram(_scored(t).where("sample = 'control'").withColumn("stat", F.abs("z")), "stat")
     return r6(calls.cutoff(h, 0.02), "cutoff")

@@ -207,7 +207,7 @@ def _(t):
     return r6(out.select("n_points", "pearson"), "pearson")
 
 
-@query("agg07_calls_by_threshold", "scored", """SELECT round(p, 2) AS p, sample, count(*) FILTER (abs(z) > zt) AS n_called, count(*) AS n FROM scored, (VALUES (0.05, 1.959963984540054), (0.2, 1.2815515655446004), (0.5, 0.6744897501960817)) v(p, zt) GROUP BY ALL""")
+@query("agg07_calls_by_threshold", "scored", """SELECT p::DOUBLE AS p, sample, count(*) FILTER (abs(z) > zt) AS n_called, count(*) AS n FROM scored, (VALUES (0.05, 1.959963984540054), (0.2, 1.2815515655446004), (0.5, 0.6744897501960817)) v(p, zt) GROUP BY ALL""")
 def _(t):
     from ..functions.statistics import z_threshold
 
