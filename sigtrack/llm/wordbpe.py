@@ -75,7 +75,7 @@ class Encoder:
     ``cache_words`` bounds the memory: a full cache is dropped and built anew.
     """
 
-    def __init__(self, path: str, cache_words: int = 1_000_000):
+    def __init__(self, path: str, cache_words: int = 500_000):
         import regex
         from tokenizers import Tokenizer, pre_tokenizers
 
