@@ -27,11 +27,11 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, *, partition_by: tuple[str, ...] = ()) -> DataFrame:
+def stored(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """The rows written to the shared folder and read back: what follows has no lineage before it,
     so a lost executor costs its running tasks only."""
     path = shared_dir(df.sparkSession)
-    df.write.partitionBy(*partition_by).parquet(path) if partition_by else df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
