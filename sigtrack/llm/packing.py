@@ -129,7 +129,10 @@ def pack(docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int = END_ID, leng
         return pa.table([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
 
     group = F.pmod(F.xxhash64("doc_id", "start", F.lit(seed)), F.lit(groups))
-    return runs.withColumn("pack_group", group).groupBy("pack_group").applyInArrow(pack_rows, PIECES)
+    # about eight groups to a task, so that tasks stay as large at any size
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), groups // 8)
+    dealt = runs.withColumn("pack_group", group).repartition(tasks, "pack_group")
+    return dealt.groupBy("pack_group").applyInArrow(pack_rows, PIECES)
 
 
 def with_checksum(pieces: DataFrame) -> DataFrame:

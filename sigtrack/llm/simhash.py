@@ -199,7 +199,8 @@ def links(fps: DataFrame, radius: int = RADIUS, shard: int = SHARD, sample: int
         same = group[1:] == group[:-1]
         return pa.table({"a": fp[at[:-1][same]].view(np.int64), "b": fp[at[1:][same]].view(np.int64)})
 
-    dealt = fps.select("fp").mapInArrow(deal, "shard long, fp long")
+    tasks = max(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), leaves // 16)
+    dealt = fps.select("fp").mapInArrow(deal, "shard long, fp long").repartition(tasks, "shard")
     return dealt.groupBy("shard").applyInArrow(search, "a long, b long").distinct()
 
 
