@@ -15,15 +15,23 @@ def text(column: str, digits: int | None) -> Column:
     return F.when(F.col(column).isNull(), "NA").otherwise(value).alias(column)
 
 
-def write_track(track: DataFrame, path: str, *, digits: int = 6, partition_by: tuple[str, ...] = ()) -> None:
+def general(column: str, digits: int) -> Column:
+    """Significant digits without trailing zeros, as C's %g writes them; a null is NA."""
+    full = F.format_string(f"%.{digits}g", F.col(column))
+    short = F.regexp_replace(F.regexp_replace(full, r"(\.[0-9]*?)0+(e|$)", "$1$2"), r"\.(e|$)", "$1")
+    return F.when(F.col(column).isNull(), "NA").when(F.col(column) == 0, "0").otherwise(short).alias(column)
+
+
+def write_track(track: DataFrame, path: str, *, digits: int = 6, partition_by: tuple[str, ...] = (), short: tuple[str, ...] = ()) -> None:
     """Compressed text without a header, sorted by position within each chromosome's files.
 
     ``partition_by`` splits by columns, as by chrom or sample; stale partitions are replaced.
+    Columns of ``short`` have six significant digits instead of fixed decimals.
     """
     kinds = dict(track.dtypes)
     order = [c for c in (*partition_by, "chrom", "pos", "start") if c in kinds]
     rows = track.repartitionByRange(*order).sortWithinPartitions(*order) if order else track
-    out = rows.select(*(F.col(c) if c in partition_by else text(c, digits if kinds[c] == "double" else None) for c in track.columns))
+    out = rows.select(*(F.col(c) if c in partition_by else general(c, 6) if c in short else text(c, digits if kinds[c] == "double" else None) for c in track.columns))
     w = out.write.mode("overwrite").options(sep="\t", quote="", escapeQuotes=False, emptyValue="")
     (w.partitionBy(*partition_by) if partition_by else w).csv(path, compression="gzip")
 
@@ -59,8 +67,7 @@ def write_histogram(histogram: DataFrame, meta: Mapping[str, object], path: str)
 def write_per_read(rows: DataFrame, path: str) -> None:
     """Long tables of observations: positions of a read follow each other in one file."""
     kinds = dict(rows.dtypes)
-    fixed = {"p": "%.4g"}
-    columns = [F.when(F.col(c).isNull(), "NA").otherwise(F.format_string(fixed.get(c, "%.4f"), c) if kinds[c] == "double" else F.col(c).cast("string")).alias(c) for c in rows.columns]
+    columns = [general(c, 4) if c == "p" else text(c, 4 if kinds[c] == "double" else None) for c in rows.columns]
     rows.repartition("read_id").sortWithinPartitions("read_id", "pos").select(*columns).write.mode("overwrite").options(sep="\t", quote="", header=True).csv(path, compression="gzip")
 
 

@@ -122,7 +122,13 @@ def test_sinks(spark, tmp_path):
         sinks.publish(track, str(tmp_path / "p2"), expected=4)
     assert sinks.resumed(spark, [str(tmp_path / "p1"), str(tmp_path / "p2")])[0] == 0
     sinks.write_per_read(spark.createDataFrame([("r", 2, 0.5, 1e-9), ("r", 1, None, 0.1)], "read_id string, pos long, z double, p double"), str(tmp_path / "pr"))
-    assert [tuple(r) for r in spark.read.csv(str(tmp_path / "pr"), sep="\t", header=True).collect()] == [("r", "1", "NA", "0.1000"), ("r", "2", "0.5000", "1.000e-09")]
+    assert [tuple(r) for r in spark.read.csv(str(tmp_path / "pr"), sep="\t", header=True).collect()] == [("r", "1", "NA", "0.1"), ("r", "2", "0.5000", "1e-09")]
+
+
+def test_short_numbers(spark):
+    values = [0.1, 1e-9, 123456.0, 1234567.0, 0.0, 0.12345678, -2.5, 100.0, None]
+    df = spark.createDataFrame([(v,) for v in values], "x double").select(sinks.general("x", 6))
+    assert [r.x for r in df.collect()] == ["NA" if v is None else f"{v:.6g}" for v in values]
 
 
 OBS = "sample string, chrom string, strand string, read_start long, pos long, x double"
