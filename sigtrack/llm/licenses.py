@@ -40,6 +40,7 @@ TEMPLATES = [
 SPLIT = "[^a-z0-9]+"
 LICENCE_FILE = r"(?i)^(licen[cs]e|copying|notice)(\.[a-z]+)?$"
 LEAST = 0.8
+_TAKEN = ("own_license", "score", "license", "from_dir", "row", "dir", "near_dir", "near_license")
 
 
 def _terms(text: str) -> dict[str, int]:
@@ -99,9 +100,10 @@ def scan(files: DataFrame, least: float = LEAST) -> DataFrame:
     ``files`` has path and text. A file named LICENSE, COPYING or NOTICE with a header is its
     directory's licence (several: the first by score, then by name). ``license`` is the file's
     own or else that of the nearest directory upward, from_dir names it. Null text has no
-    header; a null path has no directory; files with the same path stay apart.
+    header; a null path has no directory; files with the same path stay apart. Columns of
+    ``files`` with names of the result's or of ``_TAKEN`` are replaced.
     """
-    rows = stored(files.withColumn("row", F.monotonically_increasing_id()))
+    rows = stored(files.drop(*_TAKEN).withColumn("row", F.monotonically_increasing_id()))
     own = stored(headers(rows, least))
     folder = F.when(F.col("path").contains("/"), F.regexp_replace("path", "/[^/]*$", "")).when(F.col("path").isNotNull(), "")
     kept = rows.drop("text").withColumn("dir", folder).join(own, "row", "left").withColumnRenamed("license", "own_license")

@@ -153,10 +153,10 @@ def mixed(docs: DataFrame, block_words: int = 256) -> DataFrame:
     counted anew.
     """
     rows = stored(docs.withColumn(ROW, F.monotonically_increasing_id()))
-    plan = mix(rows, block_words).where("taken > 0").select(F.col("row").alias(ROW), F.col("size").alias("_size"), "taken_0", "taken_1")
+    plan = mix(rows, block_words).where("taken > 0").select(F.col("row").alias(ROW), F.col("size").alias("_mix_size"), F.col("taken_0").alias("_mix_0"), F.col("taken_1").alias("_mix_1"))
     words = F.filter(F.split("text", GAP), lambda w: w != "")
-    part = lambda c: F.when(F.col(c) == F.col("_size"), F.col("text")).when(F.col(c) > 0, F.array_join(F.slice(words, F.lit(1), F.col(c).cast("int")), " "))
-    out = rows.join(plan, ROW).withColumn("text", F.concat_ws("\n", part("taken_0"), part("taken_1")))
+    part = lambda c: F.when(F.col(c) == F.col("_mix_size"), F.col("text")).when(F.col(c) > 0, F.array_join(F.slice(words, F.lit(1), F.col(c).cast("int")), " "))
+    out = rows.join(plan, ROW).withColumn("text", F.concat_ws("\n", part("_mix_0"), part("_mix_1")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)

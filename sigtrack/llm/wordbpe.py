@@ -123,7 +123,7 @@ class Encoder:
         if not new:
             return
         lines = [" ".join(p.encode().decode("latin-1").translate(self.alphabet) for p in new[i : i + 400]) for i in range(0, len(new), 400)]
-        flat, _ = (lambda e: (np.concatenate([np.array(x.ids, np.int64) for x in e]), 0))(self.bytes.encode_batch_fast(lines, add_special_tokens=False))
+        flat = np.concatenate([np.array(e.ids, np.int64) for e in self.bytes.encode_batch_fast(lines, add_special_tokens=False)])
         stops = np.flatnonzero(self.ends_word[flat]) + 1
         if len(stops) != len(new):
             raise ValueError("a word's ids do not end with a word-end token")

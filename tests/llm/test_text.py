@@ -58,7 +58,7 @@ def test_mix_equals_sql(spark):
 
 
 def test_mixed_texts(spark):
-    docs = mixed_docs(spark).drop("row", "size", "target").withColumn("n_chars", F.length("text").cast("long"))
+    docs = mixed_docs(spark).withColumn("taken_0", F.lit(5)).withColumn("n_chars", F.length("text").cast("long"))
     out = mixing.mixed(docs, 4)
     taken = {r.doc_id: r.taken for r in mixing.mix(docs, 4).collect() if r.taken}
     assert out.columns == docs.columns
@@ -150,10 +150,10 @@ def test_pages_of_a_site(spark):
 def test_license_scan(spark):
     mit, apache = "Released under the MIT License.", "some code\nLicensed under the Apache License, Version 2.0.\nmore"
     data = [("p/LICENSE", mit), ("p/a.c", "x"), ("p/q/b.c", apache), ("p/q/r/c.c", None), ("p/q/COPYING.txt", "Licensed under CC BY-NC 4.0."), ("top.c", ""), ("z/d.c", "we licensed a song"), ("z/d.c", "long " * 50000), (None, mit), ("/abs/e.c", "y"), ("pq/f.c", "x")]
-    files = spark.createDataFrame([(*r, "c", 1) for r in data], "path string, text string, license string, score int").drop("license", "score")
+    files = spark.createDataFrame([(*r, "c", 1) for r in data], "path string, text string, license string, row int").withColumn("dir", F.lit("d"))
     got = {(r.path, r.own_license): (r.license, r.from_dir) for r in licenses.scan(files).collect()}
     assert got["p/a.c", None] == ("MIT", "p") and got["p/q/b.c", "Apache-2.0"] == ("Apache-2.0", None) and got["p/q/r/c.c", None] == ("CC-BY-NC-4.0", "p/q")
     assert got["top.c", None] == got["z/d.c", None] == got["/abs/e.c", None] == got["pq/f.c", None] == (None, None) and got[None, "MIT"] == ("MIT", None)
     assert licenses.scan(files).count() == len(data) and licenses.scan(files.limit(0)).count() == 0
-    root = files.union(spark.createDataFrame([("LICENSE", mit)], "path string, text string"))
+    root = files.select("path", "text").union(spark.createDataFrame([("LICENSE", mit)], "path string, text string"))
     assert {r.license for r in licenses.scan(root).where("own_license is null and path is not null and path not like 'p/q%' ").collect()} == {"MIT"}
