@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from .common import stored, table
 from .simhash import _chain, components
 
-THRESHOLD, CELL, SAMPLE, BLOCK = 0.98, 1500, 20_000, 4096
+THRESHOLD, CELL, SAMPLE, BLOCK = 0.98, 4000, 20_000, 4096
 #: Rounding of a product of unit vectors in double precision stays below this.
 _SLACK = 1e-9
 
@@ -62,7 +62,7 @@ def compare(x: np.ndarray, y: np.ndarray | None, copies_x: np.ndarray, copies_y:
     own = y is None
     if own:
         y, copies_y, home_y = x, copies_x, home_x
-    n_x, n_y, ii, jj = np.zeros(len(x), np.int64), np.zeros(len(y), np.int64), [], []
+    n_x, n_y = np.zeros(len(x), np.int64), np.zeros(len(y), np.int64)
     parent = np.arange(len(x) + (0 if own else len(y)))
     shift = 0 if own else len(x)
     for a in range(0, len(x), step):
@@ -84,12 +84,14 @@ def compare(x: np.ndarray, y: np.ndarray | None, copies_x: np.ndarray, copies_y:
     order = np.lexsort((at, parent[at]))
     at = at[order]
     same = parent[at[1:]] == parent[at[:-1]]
-    del ii, jj
     return n_x, n_y, at[:-1][same], at[1:][same]
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """vec_id, label, unit (array of doubles) of the vectors that can link, with NaN for rounding kept out."""
+    """vec_id, label and unit (array of doubles) of the vectors that can link.
+
+    They are divided by their largest component first, so that squares neither overflow nor vanish.
+    """
     x = F.transform("embedding", lambda v: v.cast("double"))
     ok = F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     top = F.array_max(F.transform("x", F.abs))
@@ -100,7 +102,7 @@ def usable(vectors: DataFrame) -> DataFrame:
     return rows.withColumn("norm", norm).select("vec_id", "label", F.transform("x", lambda v: v / F.col("norm")).alias("unit"))
 
 
-_ITEM = "label long, cell int, node long, copies long, home boolean, unit array<double>"
+_ITEM = "label long, cell long, node long, copies long, home boolean, unit array<double>"
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, cell: int = CELL, sample: int = SAMPLE, block: int = BLOCK) -> DataFrame:
@@ -110,10 +112,11 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, cell: int
     link with nothing. Vectors of different length do not link. Copies (equal after scaling to
     length 1) link with each other. An empty table gives no rows; a repeated vec_id keeps its rows.
     """
-    unit = usable(vectors).withColumn("label", F.col("label").cast("long")).withColumn("dim", F.size("unit"))
+    unit = usable(vectors).withColumn("label", F.col("label").cast("long"))
     # copies of a direction: one node, named by its smallest vec_id
-    rows = stored(unit.select("vec_id", "label", "dim", "unit", F.xxhash64("label", "unit").alias("h")))
-    nodes = rows.groupBy("h", "label", "unit").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies"))
+    # 96 bits name a direction where rows meet it again; groups are made of all components
+    keyed = stored(unit.select("vec_id", "label", "unit", F.struct(F.xxhash64("label", "unit").alias("a"), F.hash("unit", "label").alias("b")).alias("h")))
+    nodes = keyed.groupBy("h", "label", "unit").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies"))
     nodes = stored(nodes.select("h", "label", F.size("unit").alias("dim"), "unit", "node", "copies"))
     counts = {(r.label, r.dim): r["count"] for r in nodes.groupBy("label", "dim").count().collect()}
     total = sum(counts.values())
@@ -141,9 +144,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, cell: int
                 # vectors of other lengths are cells of their own
                 yield pa.RecordBatch.from_arrays([own["label"], pa.array((c + key[1] * 1_000_003).astype(np.int64)), own["node"], own["copies"], pa.array(home), own["unit"]], ["label", "cell", "node", "copies", "home", "unit"])
 
-    schema = _ITEM.replace("cell int", "cell long")
-    dealt = nodes.select("label", "dim", "node", "copies", "unit").mapInArrow(deal, schema)
-    dealt = stored(dealt)
+    dealt = stored(nodes.select("label", "dim", "node", "copies", "unit").mapInArrow(deal, _ITEM))
     sizes = dealt.groupBy("label", "cell").agg(F.count(F.lit(1)).alias("n"))
     # a cell of n items has b blocks; each item goes to the b pairs of blocks that hold its own
     parts = dealt.join(sizes, ["label", "cell"]).withColumn("b", F.ceil(F.col("n") / block).cast("long")).withColumn("own", F.pmod(F.xxhash64("node", F.lit(17)), F.col("b")))
@@ -166,9 +167,10 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, cell: int
     found = stored(parts.groupBy("label", "cell", "p", "q").applyInArrow(search, "a long, b long, n long"))
     links = found.where("n > 0").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("more"))
     roots = components(found.where("n = 0").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    known = nodes.select("h", "label", "unit", "node", "copies").join(links, "node", "left").join(roots, "node", "left")
+    known = nodes.select("h", "node", "copies").join(links, "node", "left").join(roots, "node", "left")
     known = known.select("h", "node", F.coalesce("root", "node").alias("root"), (F.col("copies") - 1 + F.coalesce("more", F.lit(0))).alias("n_links"))
-    linked = rows.select("vec_id", "label", "h").join(known, "h").select("vec_id", "n_links", F.col("root").alias("component_id"))
+    rows = keyed.select("vec_id", "h")
+    linked = rows.join(known, "h").select("vec_id", "n_links", F.col("root").alias("component_id"))
     rest = vectors.select(F.col("vec_id").cast("long")).join(rows.select("vec_id"), "vec_id", "left_anti").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.unionByName(rest).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
