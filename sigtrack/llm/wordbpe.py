@@ -15,6 +15,8 @@ from itertools import chain
 
 import numpy as np
 
+from .common import held
+
 #: Words of these characters have no NFC changes and no white space but the usual.
 _PLAIN = r"[!-~À-ÖØ-öø-ÿ]+"
 #: Python's str.split() also splits at these; Unicode's White_Space does not hold them.
@@ -75,7 +77,7 @@ class Encoder:
     ``cache_words`` bounds the memory: a full cache is dropped and built anew.
     """
 
-    def __init__(self, path: str, cache_words: int = 500_000):
+    def __init__(self, path: str, cache_words: int = 400_000):
         import regex
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -178,14 +180,9 @@ class Encoder:
         return np.concatenate(out), np.fromiter(map(len, out), np.int64, len(out))
 
 
-_encoders: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
-    """This Python worker's encoder for a file; it lives as long as the worker."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    """This Python worker's encoder for a file."""
+    return held(("encoder", path), lambda: Encoder(path))
 
 
 def batches(texts: list[str], chars: int = 4_000_000) -> Iterator[tuple[int, int]]:
