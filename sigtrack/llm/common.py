@@ -3,13 +3,10 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
-from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-T = TypeVar("T")
 #: White space of the word pattern ``[^\x20\x09-\x0D]+``, in Java's syntax.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -38,17 +35,6 @@ def stored(df: DataFrame, compression: str = "snappy") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-_held: dict[tuple, object] = {}
-
-
-def held(key: tuple, make: Callable[[], T]) -> T:
-    """A large object that this Python worker keeps between tasks; one at a time, another key takes its place."""
-    if key not in _held:
-        _held.clear()
-        _held[key] = make()
-    return _held[key]
-
-
 def word_count(text: Column) -> Column:
     """Words ``[^\x20\x09-\x0D]+``; a null text has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import held, table
+from .common import table
 from .crf import Chain, fit
 from .wordbpe import _Numbered, batches
 
@@ -89,7 +89,7 @@ class Model:
 class Scorer:
     """Word scores of one model, looked up once for each distinct word; a full cache is dropped."""
 
-    def __init__(self, model: Model, cache_words: int = 400_000):
+    def __init__(self, model: Model, cache_words: int = 800_000):
         self.model, self.cache_words = model, cache_words
         self._drop()
 
@@ -165,6 +165,9 @@ def learn(sample: list[tuple[str, str]], *, passage: int = 60, most_words: int =
     return Model(langs, weights, chain, hashlib.md5(weights.tobytes() + repr((langs, chain)).encode()).hexdigest())
 
 
+_scorers: dict[str, Scorer] = {}
+
+
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string")), F.lit(4)) == 2, F.lit(False))
 
@@ -188,13 +191,15 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     """
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = None if model is None else held(("scorer", model.key), lambda: Scorer(model))
+        if model is not None and model.key not in _scorers:
+            _scorers.clear()
+            _scorers[model.key] = Scorer(model)
         for frame in frames:
             texts = [t or "" for t in frame.column(1).to_pylist()]
             pred, score = ["und"] * len(texts), np.zeros(len(texts))
             if model is not None:
                 for a, b in batches(texts):
-                    mean, n = scorer.posteriors(texts[a:b])
+                    mean, n = _scorers[model.key].posteriors(texts[a:b])
                     best = mean.argmax(1)
                     for i in np.flatnonzero(n):
                         pred[a + i] = model.langs[best[i]]
@@ -223,7 +228,9 @@ def accepted(docs: DataFrame, model: Model | None, least_score: float = 0.34) ->
     schema, at = docs.schema, docs.columns.index("text")
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = None if model is None else held(("scorer", model.key), lambda: Scorer(model))
+        if model is not None and model.key not in _scorers:
+            _scorers.clear()
+            _scorers[model.key] = Scorer(model)
         for frame in frames:
             texts = [t or "" for t in frame.column(at).to_pylist()]
             keep = np.zeros(len(texts), bool)
@@ -231,7 +238,7 @@ def accepted(docs: DataFrame, model: Model | None, least_score: float = 0.34) ->
                 if model is None:
                     keep[a:b] = [any(map(str.isalpha, t)) for t in texts[a:b]]
                 else:
-                    mean, n = scorer.posteriors(texts[a:b])
+                    mean, n = _scorers[model.key].posteriors(texts[a:b])
                     keep[a:b] = (n > 0) & (mean.max(1) >= least_score)
             yield frame.filter(pa.array(keep))
 
