@@ -188,7 +188,7 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def batches(texts: list[str], chars: int = 4_000_000) -> Iterator[tuple[int, int]]:
+def batches(texts: list[str], chars: int = 1_000_000) -> Iterator[tuple[int, int]]:
     """Ranges of texts with about so many characters; a longer text stands alone."""
     first = total = 0
     for i, t in enumerate(texts):
