@@ -168,33 +168,37 @@ def extracted(pages: DataFrame) -> DataFrame:
 
 
 def neighbours(rows: DataFrame) -> DataFrame:
-    """row, loose lines and the loose lines of the neighbours in (host, path, page_id, row) order, if of the same host.
+    """row, loose lines, their places in the page, a digest of its other lines, and loose lines and digest of
+    the neighbours in (host, path, page_id, row) order, if of the same host.
 
     Pages without loose lines have nothing to delete or to compare and are left out of the order.
     Rows are dealt by ranges of that order and the neighbour across a range's edge is looked up,
     so a host with most pages is spread over all tasks and the pairs do not depend on the ranges.
     """
-    loose = F.transform(F.filter("lines", lambda x: ~x["sure"]), lambda x: x["text"])
-    keys = rows.select("row", "host", "path", "page_id", loose.alias("loose")).where(F.size("loose") > 0)
+    loose = F.filter(F.transform("lines", lambda x, i: F.struct(x["text"].alias("text"), x["sure"].alias("sure"), i.alias("i"))), lambda x: ~x["sure"])
+    sure = F.transform(F.filter("lines", lambda x: x["sure"]), lambda x: x["text"])
+    digest = F.when(F.size(sure) > 0, F.md5(F.array_join(sure, "\n").cast("binary")))
+    places = F.transform(loose, lambda x: x["i"])
+    keys = rows.select("row", "host", "path", "page_id", F.transform(loose, lambda x: x["text"]).alias("loose"), places.alias("places"), digest.alias("digest")).where(F.size("loose") > 0)
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = ["host", "path", "page_id", "row"]
     dealt = stored(keys.repartitionByRange(n, *order).withColumn("part", F.spark_partition_id()))
-    item = F.struct("host", "path", "page_id", "row", "loose")
+    item = F.struct("host", "path", "page_id", "row", "loose", "digest")
     edges = dealt.groupBy("part").agg(F.min(item).alias("low"), F.max(item).alias("high"))
     parts = Window.orderBy("part")  # a row per range
     edges = edges.select("part", F.lag("high").over(parts).alias("left"), F.lead("low").over(parts).alias("right"))
     own = Window.partitionBy("part").orderBy(*order)
     near = dealt.withColumn("before", F.lag(item).over(own)).withColumn("after", F.lead(item).over(own))
     near = near.join(edges, "part").withColumn("before", F.coalesce("before", "left")).withColumn("after", F.coalesce("after", "right"))
-    side = lambda c: F.when(F.col(f"{c}.host") == F.col("host"), F.struct(f"{c}.path", f"{c}.loose")).alias(c)
-    return near.select("row", "path", "loose", side("before"), side("after"))
+    side = lambda c: F.when(F.col(f"{c}.host") == F.col("host"), F.struct(f"{c}.path", f"{c}.loose", f"{c}.digest")).alias(c)
+    return near.select("row", "path", "loose", "places", "digest", side("before"), side("after"))
 
 
 def shared_lines(pairs: DataFrame) -> DataFrame:
-    """row and the texts' places among its loose lines that the nearest page has too.
+    """row and the places of its loose lines that the nearest page has too.
 
-    A page that would lose all its loose lines is a copy of its neighbour and not told apart from
-    the site by it; its other neighbour is taken, and if that is a copy as well, lines stay.
+    A page that would lose all its loose lines, and has no others or the same, is a copy of its neighbour and
+    not told apart from the site by it; its other neighbour is taken, and if that is a copy as well, lines stay.
     """
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,9 +209,9 @@ def shared_lines(pairs: DataFrame) -> DataFrame:
                 alike = lambda s: next((i for i, (x, y) in enumerate(zip(s["path"], r["path"])) if x != y), min(len(s["path"]), len(r["path"])))
                 for other in sorted(found, key=alike, reverse=True):
                     common = common_lines(r["loose"], other["loose"])
-                    if len(common) < len(r["loose"]):
+                    if len(common) < len(r["loose"]) or r["digest"] not in (None, other["digest"]):
                         out_row.append(r["row"])
-                        out.append(common)
+                        out.append([r["places"][i] for i in common])
                         break
             yield pa.RecordBatch.from_arrays([pa.array(out_row, pa.int64()), pa.array(out, pa.list_(pa.int32()))], ["row", "shared"])
 
@@ -217,19 +221,17 @@ def shared_lines(pairs: DataFrame) -> DataFrame:
 def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every row.
 
-    Where a page has an article or main element, lines outside it go. Null html gives an empty
-    text; a null or odd URL is of the host ''; rows that repeat a page_id stay apart; an empty
-    table gives no rows. Blocks are joined by one line feed; nothing else is cut.
+    Lines outside article and main go if the nearest page has them too, also on a page that has
+    such an element. Null html gives an empty text; a null or odd URL is of the host ''; rows that
+    repeat a page_id stay apart; an empty table gives no rows. Blocks are joined by one line feed;
+    nothing else is cut.
     """
     rows = stored(extracted(pages), "zstd")
-    # loose lines of a page with a content element go anyway and need no neighbour
-    sure = F.exists("lines", lambda x: x["sure"])
-    kept = rows.withColumn("lines", F.when(sure, F.filter("lines", lambda x: x["sure"])).otherwise(F.col("lines")))
-    shared = shared_lines(neighbours(kept))
+    shared = shared_lines(neighbours(rows))
     # only pages with loose lines travel to meet what they share
     loose = F.exists("lines", lambda x: ~x["sure"])
-    whole = kept.where(~loose).select("page_id", "url", F.transform("lines", lambda x: x["text"]).alias("left"))
-    met = kept.where(loose).join(shared, "row", "left")
+    whole = rows.where(~loose).select("page_id", "url", F.transform("lines", lambda x: x["text"]).alias("left"))
+    met = rows.where(loose).join(shared, "row", "left")
     places = F.transform("lines", lambda x, i: F.struct(x["text"].alias("text"), i.alias("i")))
     left = F.filter(places, lambda x: F.col("shared").isNull() | ~F.array_contains("shared", x["i"]))
     out = whole.unionByName(met.select("page_id", "url", F.transform(left, lambda x: x["text"]).alias("left")))

@@ -147,6 +147,16 @@ def test_pages_of_a_site(spark):
         spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
+def test_lines_outside_articles_are_compared(spark):
+    card = lambda i: f"<body><div>Home page of us</div><article><h3>Card {i}</h3></article><div>Body {i} is long.</div><div>Call us now</div>"
+    story = lambda i: f"<body><div>Home page of us</div><article><p>Story {i}</p></article><div>Call us now</div>"
+    data = [(i, f"http://t.org/{i:03}", card(i)) for i in range(30)] + [(100 + i, f"http://s.org/{i:03}", story(i)) for i in range(30)]
+    data += [(200, "http://c.org/1", card(1)), (201, "http://c.org/1", card(1)), (202, "http://d.org/1", card(1))]
+    got = {r.page_id: r.text for r in webpage.main_text(spark.createDataFrame(data, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == f"Card {i}\nBody {i} is long." and got[100 + i] == f"Story {i}" for i in range(30))
+    assert got[200] == got[201] == got[202] == "Home page of us\nCard 1\nBody 1 is long.\nCall us now"
+
+
 def test_license_scan(spark):
     mit, apache = "Released under the MIT License.", "some code\nLicensed under the Apache License, Version 2.0.\nmore"
     data = [("p/LICENSE", mit), ("p/a.c", "x"), ("p/q/b.c", apache), ("p/q/r/c.c", None), ("p/q/COPYING.txt", "Licensed under CC BY-NC 4.0."), ("top.c", ""), ("z/d.c", "we licensed a song"), ("z/d.c", "long " * 50000), (None, mit), ("/abs/e.c", "y"), ("pq/f.c", "x")]
