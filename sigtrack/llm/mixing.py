@@ -6,17 +6,21 @@ k-th van der Corput point falls, so every stretch of the mix holds the sources i
 The rank of a slot among its source's slots has a closed form, as any aligned run of 2^m points
 is a shifted grid: no window over a source's slots is needed. Slot and block meet by
 (source, rank). A source's last blocks can lack a slot (their number is off by the sequence's
-discrepancy, a few blocks) and then follow behind the last slot.
+discrepancy, a few blocks) and then follow behind the last slot, numbered on from it.
+``blocks`` gives the mix itself, in slot order.
 """
 
 from __future__ import annotations
 
 import math
+import re
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import stored, table, word_count
+from .common import WORD, stored, table, word_count
 
 #: The contract's weights by place in the order of sources, and its sizes.
 WEIGHTS, SHARE, MOST_COPIES = (5, 2, 1), 1.5, 2
@@ -25,6 +29,7 @@ BITS = 48
 ROW = "_mix_row"
 #: White space between words, in Java's syntax.
 GAP = r"[\x20\x09-\x0D]+"
+_WORD = re.compile(WORD)
 
 
 def _reversed_bits(n: Column) -> Column:
@@ -92,15 +97,31 @@ def _needed() -> Column:
     return F.floor(F.col("target") + 0.5).cast("long")
 
 
-def slots(sources: DataFrame, block_words: int, cells: int = 1024) -> DataFrame:
-    """(slot, s, rank) of the schedule: as many slots as there are blocks."""
+def _shares(sources: DataFrame, block_words: int) -> tuple[DataFrame, int]:
+    """s, blocks, low and high (its share of the points) of the sources with blocks; the number of all blocks."""
     blocks = F.ceil(_needed() / block_words).cast("long")
     total = sources.agg(F.sum(blocks).alias("n")).first().n or 0
-    bits = max(1, int(total).bit_length())
     upto = Window.orderBy("s").rowsBetween(Window.unboundedPreceding, 0)
     part = sources.select("s", blocks.alias("blocks")).withColumn("above", F.sum("blocks").over(upto))
     bound = lambda c: F.floor(c.cast("double") / max(1, total) * float(1 << BITS)).cast("long")
-    part = part.where("blocks > 0").select("s", bound(F.col("above") - F.col("blocks")).alias("low"), bound(F.col("above")).alias("high"))
+    return part.where("blocks > 0").select("s", "blocks", bound(F.col("above") - F.col("blocks")).alias("low"), bound(F.col("above")).alias("high")), total
+
+
+def tail(sources: DataFrame, block_words: int) -> DataFrame:
+    """(slot, s, rank) of the blocks that the schedule has no slot for, numbered on behind it."""
+    part, total = _shares(sources, block_words)
+    n, bits = F.lit(total).cast("long"), max(1, int(total).bit_length())
+    part = part.select("s", "blocks", (points_below(n, bits, F.col("high")) - points_below(n, bits, F.col("low"))).alias("held")).where("held < blocks")
+    over = F.col("blocks") - F.col("held")
+    part = part.withColumn("last", F.sum(over).over(Window.orderBy("s").rowsBetween(Window.unboundedPreceding, 0)) - F.col("blocks"))
+    return part.select("s", "last", F.explode(F.sequence("held", F.col("blocks") - 1)).alias("rank")).select((n + F.col("last") + F.col("rank")).alias("slot"), "s", "rank")
+
+
+def slots(sources: DataFrame, block_words: int, cells: int = 1024) -> DataFrame:
+    """(slot, s, rank) of the schedule: as many slots as there are blocks."""
+    part, total = _shares(sources, block_words)
+    bits = max(1, int(total).bit_length())
+    part = part.select("s", "low", "high")
     shift = BITS - (cells - 1).bit_length()
     part = part.withColumn("cell", F.explode(F.sequence(F.shiftright("low", shift), F.shiftright(F.col("high") - 1, shift))))
     spark = sources.sparkSession
@@ -112,10 +133,10 @@ def slots(sources: DataFrame, block_words: int, cells: int = 1024) -> DataFrame:
 
 
 def schedule(docs: DataFrame, block_words: int = 256) -> tuple[DataFrame, DataFrame]:
-    """The rows (``placed``) and the pieces of the mix: row, slot, copy, first word and words.
+    """The rows (``placed``) and the pieces of the mix: row, slot, place, copy, first word and words.
 
-    A piece is the part of a document that falls in one block; ``slot`` is null for the few
-    blocks behind the last slot.
+    A piece is the part of a document that falls in one block, ``place`` the block's words before
+    it; the few blocks behind the last slot have the numbers of ``tail``.
     """
     sizes = stored(sized(docs))
     sources = stored(targets(sizes))
@@ -126,13 +147,14 @@ def schedule(docs: DataFrame, block_words: int = 256) -> tuple[DataFrame, DataFr
     first, last = F.floor(F.col("at") / block_words), F.floor((F.col("stop") - 1) / block_words)
     pieces = runs.withColumn("rank", F.explode(F.sequence(first, last)))
     low, high = F.greatest("at", F.col("rank") * block_words), F.least("stop", (F.col("rank") + 1) * block_words)
-    pieces = pieces.select("row", "s", "rank", "copy", (low - F.col("at")).alias("first_word"), (high - low).alias("words"))
-    plan = slots(sources, block_words)
-    return rows, pieces.join(plan, ["s", "rank"], "left").select("row", "slot", "copy", "first_word", "words")
+    pieces = pieces.select("row", "s", "rank", "copy", (low - F.col("rank") * block_words).alias("place"), (low - F.col("at")).alias("first_word"), (high - low).alias("words"))
+    plan = slots(sources, block_words).unionByName(tail(sources, block_words))
+    return rows, pieces.join(plan, ["s", "rank"], "left").select("row", "slot", "place", "copy", "first_word", "words")
 
 
 def mix(docs: DataFrame, block_words: int = 256) -> DataFrame:
-    """row, doc_id, size, source_size, target, taken and the words taken of the first and second copy.
+    """row, doc_id, size, source_size, target, taken and the words taken of the first and second copy; and where they
+    stand: first_slot, first_place (the words before it in that slot's block), last_slot and n_pieces, the number of parts.
 
     Null text has size 0 and is taken 0 times; a null source is a source of its own, the last.
     Rows that repeat a doc_id are rows of their own. An empty table gives no rows. What is taken
@@ -140,30 +162,75 @@ def mix(docs: DataFrame, block_words: int = 256) -> DataFrame:
     """
     rows, pieces = schedule(docs, block_words)
     part = lambda c: F.sum(F.when(F.col("copy") == c, F.col("words")).otherwise(0)).alias(f"taken_{c}")
-    taken = pieces.groupBy("row").agg(F.sum("words").alias("taken"), part(0), part(1))
+    taken = pieces.groupBy("row").agg(F.sum("words").alias("taken"), part(0), part(1), F.min(F.struct("slot", "place")).alias("first"), F.max("slot").alias("last_slot"), F.count(F.lit(1)).alias("n_pieces"))
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
-    return rows.join(taken, "row", "left").select("row", "doc_id", "size", "source_size", "target", zero("taken"), zero("taken_0"), zero("taken_1"))
+    return rows.join(taken, "row", "left").select("row", "doc_id", "size", "source_size", "target", zero("taken"), zero("taken_0"), zero("taken_1"), F.col("first.slot").alias("first_slot"), F.col("first.place").alias("first_place"), "last_slot", zero("n_pieces"))
+
+
+def blocks(docs: DataFrame, block_words: int = 256) -> DataFrame:
+    """The mix in the order of its slots, a row per part of a document in a block: slot, place, source, doc_id, copy,
+    first_word, words, text.
+
+    ``place`` is the block's words before the part. Texts keep the white space behind their words, so a document's
+    parts in order of first_word are its text. Blocks without a slot come last, with the next numbers.
+    """
+    rows = stored(docs.select("doc_id", "source", "text").withColumn(ROW, F.monotonically_increasing_id()))
+    _, pieces = schedule(rows, block_words)
+    parts = pieces.groupBy("row").agg(F.collect_list(F.struct("slot", "place", "copy", "first_word", "words")).alias("parts"))
+    whole = rows.join(parts, rows[ROW] == parts["row"]).select(F.col("doc_id").cast("long"), F.col("source").cast("string"), F.col("text").cast("string"), "parts")
+
+    names = ("slot", "place", "copy", "first_word", "words")
+
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def batch(out: list[tuple]) -> pa.RecordBatch:
+            kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.string())
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], ["slot", "place", "source", "doc_id", "copy", "first_word", "words", "text"])
+
+        out, held = [], 0
+        for frame in frames:
+            for i in range(frame.num_rows):
+                doc_id, source, text, parts = (frame[c][i].as_py() for c in ("doc_id", "source", "text", "parts"))
+                starts = [m.start() for m in _WORD.finditer(text)]
+                starts[0] = 0
+                starts.append(len(text))
+                for slot, place, copy, first, n in (tuple(p[c] for c in names) for p in parts):
+                    piece = text[starts[first] : starts[first + n]]
+                    out.append((slot, place, source, doc_id, copy, first, n, piece))
+                    held += len(piece) + 100
+                    if held > 4_000_000:
+                        yield batch(out)
+                        out, held = [], 0
+        yield batch(out)
+
+    texts = whole.mapInArrow(run, "slot long, place long, source string, doc_id long, copy int, first_word long, words long, text string")
+    return texts.orderBy("slot", "place")
 
 
 def mixed(docs: DataFrame, block_words: int = 256) -> DataFrame:
-    """The rows of ``docs`` that the mix takes words of, with the columns of ``docs``.
+    """The rows of ``docs`` that the mix takes words of, with the columns of ``docs``, in the order in which the mix comes to them.
 
     ``text`` is what is taken: the text, once or twice with a line feed between; where a source's
     last block ends inside a document, its leading words with single spaces. n_chars, if there, is
     counted anew.
     """
     rows = stored(docs.withColumn(ROW, F.monotonically_increasing_id()))
-    plan = mix(rows, block_words).where("taken > 0").select(F.col("row").alias(ROW), F.col("size").alias("_mix_size"), F.col("taken_0").alias("_mix_0"), F.col("taken_1").alias("_mix_1"))
+    plan = mix(rows, block_words).where("taken > 0").select(F.col("row").alias(ROW), F.col("size").alias("_mix_size"), F.col("taken_0").alias("_mix_0"), F.col("taken_1").alias("_mix_1"), F.col("first_slot").alias("_mix_slot"), F.col("first_place").alias("_mix_place"))
     words = F.filter(F.split("text", GAP), lambda w: w != "")
     part = lambda c: F.when(F.col(c) == F.col("_mix_size"), F.col("text")).when(F.col(c) > 0, F.array_join(F.slice(words, F.lit(1), F.col(c).cast("int")), " "))
     out = rows.join(plan, ROW).withColumn("text", F.concat_ws("\n", part("_mix_0"), part("_mix_1")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    return out.orderBy("_mix_slot", "_mix_place").select(*docs.columns)
 
 
 def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    """The documents in the order in which the mix comes to them, then those it takes nothing of."""
+    found = mix(table(spark, sf_dir, "documents")).orderBy(F.col("first_slot").asc_nulls_last(), "first_place", "doc_id", "row")
+    return found.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op9_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return blocks(table(spark, sf_dir, "documents"))
 
 
 ORACLE = {

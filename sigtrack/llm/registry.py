@@ -16,6 +16,7 @@ _QUERIES = {
     "op8_html": "webpage",
     "op9_mix": "mixing",
     "op10_chat": "chat",
+    "op9_blocks": "mixing",
 }
 
 

@@ -66,6 +66,62 @@ def test_mixed_texts(spark):
     assert {r.doc_id: len(r.text.split()) for r in got} == taken and all(r.n_chars == len(r.text) for r in got)
 
 
+def brute_mix(spark, docs, n):
+    """(slot, place, source, doc_id, copy, first word, words, text) of the mix in slot order, a word at a time."""
+    data = {(r.doc_id, r.source): r.text or "" for r in docs.collect()}
+    draw = lambda d: (hashlib.md5(f"mix{'' if d is None else d}".encode()).hexdigest(), d)
+    target = {r.source: r.target for r in mixing.targets(mixing.sized(docs)).collect()}
+    order = sorted(target, key=lambda s: (s is None, s or ""))
+    cut = {}
+    for s in order:
+        words = [(copy, d, i) for copy in (0, 1) for d in sorted((d for d, x in data if x == s), key=draw) for i in range(len(data[d, s].split()))][: int(target[s] + 0.5)]
+        cut[s] = [words[i : i + n] for i in range(0, len(words), n)]
+    total, at, upper = sum(map(len, cut.values())), 0, []
+    for s in order:
+        at += len(cut[s])
+        upper.append((int(at / total * (1 << 48)), s))
+    left, mix = {s: list(b) for s, b in cut.items()}, []
+    for k in range(total):
+        s = next(s for u, s in upper if van_der_corput(k) < u)
+        mix += [(k, s, left[s].pop(0))] if left[s] else []
+    mix += [(total + i, s, b) for i, (s, b) in enumerate((s, b) for s in order for b in left[s])]
+    out = []
+    for slot, s, block in mix:
+        place = 0
+        while place < len(block):
+            copy, d, first = block[place]
+            size = sum(1 for c, e, _ in block if (c, e) == (copy, d))
+            out.append((slot, place, s, d, copy, first, size, " ".join(data[d, s].split()[first : first + size])))
+            place += size
+    return out
+
+
+def test_blocks_in_slot_order_equal_brute_force(spark):
+    docs = mixed_docs(spark)
+    for df, n in ((docs.where("source <> 'big'"), 4), (docs.where("source <> 'big'"), 7), (docs, 256)):
+        want = brute_mix(spark, df.select("doc_id", "source", "text"), n)
+        got = mixing.blocks(df, n).collect()
+        assert [(*r[:-1], " ".join(r.text.split())) for r in got] == want
+        if n == 4:
+            size = {r.doc_id: r.text for r in df.collect()}
+            for d in (7, 11, None):
+                assert "".join(r.text for r in sorted((r for r in got if r.doc_id == d and r.copy == 0), key=lambda r: r.first_word)) == size[d]
+        first = {}
+        for r in want:
+            first.setdefault(r[3], []).append(r[0])
+        found = {r.doc_id: r for r in mixing.mix(df, n).collect() if r.taken}
+        assert {d: (r.first_slot, r.last_slot, r.n_pieces) for d, r in found.items()} == {d: (x[0], x[-1], len(x)) for d, x in first.items()}
+        assert [r.doc_id for r in mixing.mixed(df, n).collect()] == list(first)
+    assert mixing.blocks(docs.limit(0)).count() == 0
+
+
+def test_blocks_without_a_slot_are_numbered_on(spark):
+    sources = spark.createDataFrame([("a", 0, 6400.0), ("b", 1, 2000.0), ("c", 2, 0.0), ("d", 3, 100.0), ("e", 4, 30.0)], "source string, s int, target double")
+    got = {(r.s, r["rank"]) for r in mixing.slots(sources, 10).collect()}
+    rest = [(s, k) for s, n in ((0, 640), (1, 200), (3, 10), (4, 3)) for k in range(n) if (s, k) not in got]
+    assert rest and [tuple(r) for r in mixing.tail(sources, 10).orderBy("slot").collect()] == [(853 + i, *x) for i, x in enumerate(rest)]
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.sampled_from(["user", "assistant", "system", "tool", "", "[AS]", "\\"]), st.lists(st.sampled_from([*chat.CONTROL, "\\", "\n", " ", "<", "[", "/", "a", "é", "</", "[/IN"]), max_size=8).map("".join))
 def test_turns_round_trip(role, text):
