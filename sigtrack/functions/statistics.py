@@ -32,10 +32,12 @@ def minus_log_p(p: Column) -> Column:
     return -F.log10(F.greatest(p, F.lit(P_FLOOR)))
 
 
-def chi2_survival(s: Column, m: Column, most: int) -> Column:
-    """Upper tail of chi-square with 2m degrees of freedom at 2s; m is at most ``most``."""
-    total, term = F.lit(1.0), F.lit(1.0)
-    for i in range(1, most):
-        term = term * s / i
-        total = total + F.when(m > i, term).otherwise(0.0)
-    return F.least(F.lit(1.0), F.exp(-s) * total)
+def chi2_survival(s: Column, m: Column, most: int | None = None) -> Column:
+    """Upper tail of chi-square with 2m degrees of freedom at 2s, for any m; ``most`` is not needed.
+
+    That is the sum of m Poisson terms; they go by their logarithms, so a long series does not overflow.
+    """
+    zero = F.struct(F.lit(0.0).alias("total"), (-s).alias("term"))
+    add = lambda a, i: F.struct((a["total"] + F.exp(a["term"])).alias("total"), (a["term"] + F.log(s) - F.log(i)).alias("term"))
+    total = F.aggregate(F.sequence(F.lit(1).cast("long"), F.greatest(m, F.lit(1)).cast("long")), zero, add, lambda a: a["total"])
+    return F.when(s > 0, F.least(F.lit(1.0), total)).otherwise(1.0)

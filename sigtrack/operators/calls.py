@@ -19,7 +19,7 @@ def fisher_combined(obs: DataFrame, lag: int, *, p: str = "p", read: list[str] =
         return obs.withColumn("combined", F.col(p))
     near = Window.partitionBy(*read).orderBy(pos).rangeBetween(-lag, lag)
     s = -F.sum(F.log(F.greatest(F.col(p), F.lit(P_FLOOR)))).over(near)
-    return obs.withColumn("s_", s).withColumn("m_", F.count(p).over(near)).withColumn("combined", chi2_survival(F.col("s_"), F.col("m_"), 2 * lag + 1)).drop("s_", "m_")
+    return obs.withColumn("s_", s).withColumn("m_", F.count(p).over(near)).withColumn("combined", chi2_survival(F.col("s_"), F.col("m_"))).drop("s_", "m_")
 
 
 def clean_context(obs: DataFrame, flank: int, *, error: str = "is_error", read: list[str] = ["read_id", "chrom"], pos: str = "pos") -> DataFrame:

@@ -280,13 +280,8 @@ def _read_p(t: Tables) -> DataFrame:
 w AS (SELECT *, -sum(ln(greatest(p, 1e-300))) OVER n AS s, count(*) OVER n AS m FROM r WINDOW n AS (PARTITION BY read_id, chrom ORDER BY pos RANGE BETWEEN 200 PRECEDING AND 200 FOLLOWING))
 SELECT read_id, chrom, pos, round(least(1.0, exp(-s) * list_sum(list_transform(generate_series(0, m - 1), lambda i: power(s, i) / factorial(i::INT)))), 6) AS combined FROM w WHERE m <= 7""")
 def _(t):
-    rows = _read_p(t)
-    near = Window.partitionBy("read_id", "chrom").orderBy("pos").rangeBetween(-200, 200)
-    few = rows.withColumn("m", F.count(F.lit(1)).over(near))
-    # positions are far apart in a read of this table, so the window is wide and its fullest places are left out
-    s = -F.sum(F.log(F.greatest("p", F.lit(stat.P_FLOOR)))).over(near)
-    out = few.withColumn("s", s).where("m <= 7").withColumn("combined", stat.chi2_survival(F.col("s"), F.col("m"), 7))
-    return r6(out.select("read_id", "chrom", "pos", "combined"), "combined")
+    # positions are far apart in a read of this table, so the window is wide
+    return r6(calls.fisher_combined(_read_p(t), 200).select("read_id", "chrom", "pos", "combined"), "combined")
 
 
 @query("win02_clean_context", "obs", """AND r AS (SELECT sample AS read_id, chrom, pos, max((phred < 4)::INT) AS err FROM obs WHERE strand = 'for' GROUP BY ALL),

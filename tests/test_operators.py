@@ -6,6 +6,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from sigtrack.operators import calls, correlation, demux, kmer, perbase, planning, profile, qc, reactivity, reads, running, sweep, windows
+from sigtrack.plans.queries import QUERIES
 
 TRACK = "chrom string, pos long, strand string, cov long, value double"
 
@@ -81,6 +82,21 @@ def test_bounded_sample_is_uniform(spark):
     assert kmer.bounded_sample(df, "kmer", 0, []).count() == 100_000
 
 
+def test_fisher_query_answers_full_windows(spark):
+    class Dense:
+        def obs(self):
+            data = [(1, "c", i + 1, 1 + i % 50) for i in range(600)] + [(2, "c", 1, 51), (3, "c", 1, 1)]
+            return spark.createDataFrame(data, "read_id long, chrom string, pos long, phred int")
+
+    got = {(r.read_id, r.pos): r.combined for r in QUERIES["win01_fisher_window"](Dense()).collect()}
+    assert len(got) == 602 and got[2, 1] == 1.0 and got[3, 1] == round(1 / 51, 6)
+    for pos in (1, 7, 200, 300, 600):
+        near = [i for i in range(600) if abs(i + 1 - pos) <= 200]
+        s = -sum(math.log((1 + i % 50) / 51) for i in near)
+        want = math.fsum(math.exp(k * math.log(s) - s - math.lgamma(k + 1)) for k in range(len(near)))
+        assert abs(got[1, pos] - want) < 2e-6
+
+
 def test_fisher_window(spark):
     df = spark.createDataFrame([("r", "c", q, p) for q, p in zip((10, 11, 12, 20), (0.01, 0.5, 0.2, 0.03))], "read_id string, chrom string, pos long, p double")
 
