@@ -4,11 +4,12 @@ Pages of a host are put in the order of their URL paths, and each is paired with
 that shares the longer start of the path. The text lines of both are aligned by a longest common
 subsequence, and lines of the page that the other has too are deleted: they belong to the site.
 
-Two things were measured on the pages given and shape the rest: neighbours share lines inside
-their articles (7.6 % of article lines occur on another page of the host: titles, quotes), and
-adverts and menus differ from page to page. So elements that say what they are (nav, footer,
-aside, form, script, class and id words) go by their markup, and lines inside an explicit
-content element (article, main) are not deleted for being shared; all other lines are.
+Markup settles only what says what it is: scripts, styles, forms, nav, header, footer, aside and
+elements whose whole class or id name is one of ``_NAMES`` (an advert is another one on each page,
+so no comparison finds it). All other lines are compared. Neighbours also share lines of their
+articles (titles, quotes, the same passage in two stories), so a shared line inside an article or
+main element needs more evidence: it goes if at least half of the host's pages, four or more of
+them, share it with their own nearest page.
 """
 
 from __future__ import annotations
@@ -19,27 +20,27 @@ from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import stored, table
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_MARK = re.compile(r"<(?:(!--)|([!?])|(/?)([a-zA-Z][a-zA-Z0-9:-]*))")
+_VALUE = re.compile(r">|=\s*[\"']")
 _ATTR = re.compile(r"([a-zA-Z][\w:-]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-_TOKEN = re.compile(r"[a-z0-9]+")
-_CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 #: Elements whose content is no markup.
 _RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "canvas", "object"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 _INLINE = {"a", "abbr", "b", "bdi", "bdo", "big", "cite", "code", "data", "dfn", "em", "font", "i", "ins", "del", "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "img"}
 _DROPPED = {"nav", "aside", "footer", "form", "button", "select", "dialog", "menu", "head", *_RAW}
 _DROPPED_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu", "menubar"}
-#: Words of class and id names that say what an element is.
-_WORDS = set(
-    "ad ads adbox adslot advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disqus "
-    "footer masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promoted related reply replies respond share sharing "
-    "sidebar signup skip social sponsor sponsored subscribe toolbar topbar widget login".split()
+#: Whole names of classes and ids that say what an element is.
+_NAMES = set(
+    "ad ads adbox adslot advert adverts advertisement banner breadcrumb breadcrumbs comment comments comment-list cookie cookie-banner cookie-notice "
+    "disqus footer masthead menu nav navbar navigation newsletter notice notices pagination popup promo reader-comments replies share-buttons sidebar "
+    "skip-link social-links sponsored subscribe toolbar topbar".split()
 )
 _NEVER = {"html", "body", "article", "main"}
 _CONTENT = {"article", "main"}
@@ -47,20 +48,56 @@ _CONTENT = {"article", "main"}
 _CLOSED_BY = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
 
-def _boilerplate(name: str, attrs: str, in_content: bool) -> bool:
+def _attributes(attrs: str) -> dict[str, str]:
+    return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(attrs)}
+
+
+def _boilerplate(name: str, found: dict[str, str], in_content: bool) -> bool:
     if name in _DROPPED or (name == "header" and not in_content):
         return True
-    if name in _NEVER and not attrs or not attrs.strip(" /"):
+    if not found:
         return False
-    found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(attrs)}
     if "hidden" in found or re.search(r"display\s*:\s*none", found.get("style", "")):
         return True
     if found.get("role", "").lower() in _DROPPED_ROLES and name not in ("html", "body"):
         return True
-    words = set(_TOKEN.findall(_CAMEL.sub(" ", f"{found.get('class', '')} {found.get('id', '')}").lower()))
+    names = set(f"{found.get('class', '')} {found.get('id', '')}".lower().split())
     if name in _NEVER:  # a comment can be an article; a page with a sidebar is still a page
-        return name == "article" and bool(words & {"comment", "comments", "reply"})
-    return bool(words & _WORDS) or ("header" in words and not in_content)
+        return name == "article" and bool(names & {"comment", "comments", "reader-comments"})
+    return bool(names & _NAMES) or ("header" in names and not in_content)
+
+
+def tags(page: str) -> Iterator[tuple[int, int, bool, str, str]]:
+    """(start, end, is a closing one, name, attributes) of a page's tags; comments and declarations have no name.
+    What is no markup belongs to the tag before it: a script ends where its closing tag does.
+
+    The page is read once from left to right: a tag's end is the first ``>`` outside a quoted value.
+    Where a quote is not closed, quotes say nothing from there on; a tag without an end is text.
+    """
+    at, quotes = 0, True
+    while m := _MARK.search(page, at):
+        if m[1]:
+            end = page.find("-->", m.end())
+            end = len(page) if end < 0 else end + 3
+            yield m.start(), end, False, "", ""
+        else:
+            end, i = -1, m.end()
+            while quotes and (v := _VALUE.search(page, i)):
+                if v[0] == ">":
+                    end = v.start()
+                    break
+                i = page.find(v[0][-1], v.end()) + 1
+                quotes = i > 0
+            if end < 0:
+                quotes, end = False, page.find(">", m.end())
+                if end < 0:
+                    return
+            attrs, end = page[m.end() : end], end + 1
+            if m[4] and not m[3] and m[4].lower() in _RAW:
+                close = re.compile(rf"</{m[4]}\s*>", re.I).search(page, end)
+                end = close.end() if close else len(page)
+            yield m.start(), end, bool(m[3]), (m[4] or "").lower(), attrs
+        at = end
 
 
 def lines_of(page: str) -> list[tuple[str, bool]]:
@@ -68,7 +105,8 @@ def lines_of(page: str) -> list[tuple[str, bool]]:
     is inside an explicit content element."""
     out: list[tuple[str, bool]] = []
     parts: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []  # name, in dropped, in content
+    stack: list[tuple[str, bool, bool, int]] = []  # name, in dropped, in content, last block element at or below it
+    places: dict[str, list[int]] = defaultdict(list)  # where in the stack an element of that name is open
     dropped = content = False
     at = 0
 
@@ -79,164 +117,201 @@ def lines_of(page: str) -> list[tuple[str, bool]]:
             if line:
                 out.append((line, content))
 
-    while True:
-        m = _TAG.search(page, at)
+    def close(i: int) -> None:
+        for name, *_ in stack[i:]:
+            places[name].pop()
+        del stack[i:]
+
+    for start, end, closing, name, attrs in tags(page):
         if not dropped:
-            parts.append(page[at : m.start() if m else len(page)])
-        if not m:
-            break
-        at, name = m.end(), (m[2] or "").lower()
+            parts.append(page[at:start])
+        at = end
         if not name:
             continue
         if name not in _INLINE and name != "br":
             flush()
         elif name == "br" and not dropped:
             parts.append(" ")
-        if m[1]:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    del stack[i:]
-                    break
-        elif name in _RAW:
-            close = re.compile(rf"</{name}\s*>", re.I).search(page, at)
-            at = close.end() if close else len(page)
-        elif name not in _VOID:
-            if name in _CLOSED_BY:
-                # as far up as the element that holds both
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] in _CLOSED_BY[name]:
-                        del stack[i:]
-                        break
-                    if stack[i][0] not in _INLINE and stack[i][0] != "p":
-                        break
-            dropped, content = stack[-1][1:] if stack else (False, False)
-            dropped = dropped or _boilerplate(name, m[3], content)
-            stack.append((name, dropped, content or (name in _CONTENT) or 'role="main"' in m[3]))
-        dropped, content = stack[-1][1:] if stack else (False, False)
+        if closing:
+            if places[name]:
+                close(places[name][-1])
+        elif name not in _VOID and name not in _RAW:
+            # an open item ends, if no block element but it is open above it
+            ended = max((places[k][-1] for k in _CLOSED_BY.get(name, ()) if places[k]), default=-1)
+            if ended >= 0 and ended >= stack[-1][3]:
+                close(ended)
+            dropped, content, block = stack[-1][1:] if stack else (False, False, 0)
+            found = _attributes(attrs) if attrs.strip(" /") else {}
+            dropped = dropped or _boilerplate(name, found, content)
+            if name not in _INLINE and name != "p":
+                block = len(stack)
+            places[name].append(len(stack))
+            stack.append((name, dropped, content or name in _CONTENT or found.get("role", "").lower() == "main", block))
+        dropped, content = stack[-1][1:3] if stack else (False, False)
+    if not dropped:
+        parts.append(page[at:])
     flush()
     return out
 
 
-def common_lines(a: list[str], b: list[str]) -> list[int]:
-    """The places in ``a`` of a longest common subsequence of both."""
+def _prefix_lengths(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The length of a longest common subsequence of ``a`` and each leading part of ``b``: a bit per place of ``b``."""
+    full = (1 << len(b)) - 1
+    held = full
+    for x in a:
+        mask = held & int.from_bytes(np.packbits(b == x, bitorder="little").tobytes(), "little")
+        held = (held + mask | held - mask) & full
+    bits = np.unpackbits(np.frombuffer(held.to_bytes(-(-len(b) // 8), "little"), np.uint8), bitorder="little")[: len(b)]
+    return np.append(0, np.cumsum(bits == 0))
+
+
+def common_lines(a: list, b: list, most_pairs: int = 2_000_000) -> list[int]:
+    """The places in ``a`` of a longest common subsequence of both.
+
+    Few equal pairs are worked off one by one; beyond ``most_pairs`` (lines that a page repeats
+    over and over) ``a`` is halved and ``b`` cut where both parts' subsequences are longest in
+    sum, so memory grows with the lines and not with their pairs.
+    """
     head = 0
     while head < min(len(a), len(b)) and a[head] == b[head]:
         head += 1
     tail = 0
     while tail < min(len(a), len(b)) - head and a[-1 - tail] == b[-1 - tail]:
         tail += 1
-    where: dict[str, list[int]] = defaultdict(list)
+    where: dict = defaultdict(list)
     for j in range(len(b) - tail - 1, head - 1, -1):
         where[b[j]].append(j)
-    ends: list[int] = []
-    links: list[tuple] = []
-    for i in range(head, len(a) - tail):
-        for j in where.get(a[i], ()):
-            k = bisect_left(ends, j)
-            link = (i, links[k - 1] if k else None)
-            if k == len(ends):
-                ends.append(j)
-                links.append(link)
-            else:
-                ends[k], links[k] = j, link
-    middle, at = [], links[-1] if links else None
-    while at:
-        middle.append(at[0])
-        at = at[1]
-    return [*range(head), *middle[::-1], *range(len(a) - tail, len(a))]
+    middle: list[int] = []
+    if sum(len(where.get(x, ())) for x in a[head : len(a) - tail]) > most_pairs and len(a) - tail - head > 1:
+        number = {x: i for i, x in enumerate(where)}
+        x, y = (np.array([number.get(v, -1) for v in s[head : len(s) - tail]]) for s in (a, b))
+        half = len(x) // 2
+        ahead, back = _prefix_lengths(x[:half], y), _prefix_lengths(x[half:][::-1], y[::-1])[::-1]
+        cut = int((ahead + back).argmax())
+        left, right = common_lines(x[:half].tolist(), y[:cut].tolist(), most_pairs), common_lines(x[half:].tolist(), y[cut:].tolist(), most_pairs)
+        middle = [head + i for i in left] + [head + half + i for i in right]
+    else:
+        ends: list[int] = []
+        links: list[tuple] = []
+        for i in range(head, len(a) - tail):
+            for j in where.get(a[i], ()):
+                k = bisect_left(ends, j)
+                link = (i, links[k - 1] if k else None)
+                if k == len(ends):
+                    ends.append(j)
+                    links.append(link)
+                else:
+                    ends[k], links[k] = j, link
+        last = links[-1] if links else None
+        while last:
+            middle.append(last[0])
+            last = last[1]
+        middle.reverse()
+    return [*range(head), *middle, *range(len(a) - tail, len(a))]
 
 
 _URL = re.compile(r"^\s*(?:[a-z][a-z0-9+.-]*:)?(?://)?([^/?#]*)([^?#]*)", re.I)
-LINES = "row long, page_id long, url string, host string, path string, lines array<struct<text: string, sure: boolean>>"
+LINES = "row long, page_id long, url string, host string, path string, lines array<struct<text: string, inside: boolean>>"
 
 
 def extracted(pages: DataFrame) -> DataFrame:
     """Each page's lines, host and path (without query, fragment, ending and last slash)."""
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("text", pa.string()), ("sure", pa.bool_())]))
+        kind = pa.list_(pa.struct([("text", pa.string()), ("inside", pa.bool_())]))
         for frame in frames:
-            urls = frame["url"].to_pylist()
-            split = [_URL.match(u or "") for u in urls]
+            split = [_URL.match(u or "") for u in frame["url"].to_pylist()]
             host = [m[1].lower().removeprefix("www.") for m in split]
             path = [re.sub(r"(\.html?|/)+$", "", m[2]) for m in split]
-            lines = [[{"text": t, "sure": s} for t, s in lines_of(h or "")] for h in frame["html"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([frame["row"], frame["page_id"], frame["url"], pa.array(host, pa.string()), pa.array(path, pa.string()), pa.array(lines, kind)], [c.split()[0] for c in LINES.split(", ")[:6]])
+            lines = [[{"text": t, "inside": s} for t, s in lines_of(h or "")] for h in frame["html"].to_pylist()]
+            columns = [frame["row"], frame["page_id"], frame["url"], pa.array(host, pa.string()), pa.array(path, pa.string()), pa.array(lines, kind)]
+            yield pa.RecordBatch.from_arrays(columns, ["row", "page_id", "url", "host", "path", "lines"])
 
     rows = pages.select(F.monotonically_increasing_id().alias("row"), F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
     return rows.mapInArrow(run, LINES)
 
 
 def neighbours(rows: DataFrame) -> DataFrame:
-    """row, loose lines, their places in the page, a digest of its other lines, and loose lines and digest of
-    the neighbours in (host, path, page_id, row) order, if of the same host.
+    """row, host, path, the 64-bit hashes of the page's lines, which are inside a content element, and path and
+    hashes of the neighbours in (host, path, page_id, row) order, if of the same host.
 
-    Pages without loose lines have nothing to delete or to compare and are left out of the order.
-    Rows are dealt by ranges of that order and the neighbour across a range's edge is looked up,
-    so a host with most pages is spread over all tasks and the pairs do not depend on the ranges.
+    Pages without a line have nothing to compare and are left out of the order. Rows are dealt by
+    ranges of that order and the neighbour across a range's edge is looked up, so a host with most
+    pages is spread over all tasks and the pairs do not depend on the ranges.
     """
-    loose = F.filter(F.transform("lines", lambda x, i: F.struct(x["text"].alias("text"), x["sure"].alias("sure"), i.alias("i"))), lambda x: ~x["sure"])
-    sure = F.transform(F.filter("lines", lambda x: x["sure"]), lambda x: x["text"])
-    digest = F.when(F.size(sure) > 0, F.md5(F.array_join(sure, "\n").cast("binary")))
-    places = F.transform(loose, lambda x: x["i"])
-    keys = rows.select("row", "host", "path", "page_id", F.transform(loose, lambda x: x["text"]).alias("loose"), places.alias("places"), digest.alias("digest")).where(F.size("loose") > 0)
+    ids = F.transform("lines", lambda x: F.xxhash64(x["text"]))
+    keys = rows.where(F.size("lines") > 0).select("row", "host", "path", "page_id", ids.alias("ids"), F.transform("lines", lambda x: x["inside"]).alias("inside"))
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = ["host", "path", "page_id", "row"]
     dealt = stored(keys.repartitionByRange(n, *order).withColumn("part", F.spark_partition_id()))
-    item = F.struct("host", "path", "page_id", "row", "loose", "digest")
+    item = F.struct("host", "path", "page_id", "row", "ids")
     edges = dealt.groupBy("part").agg(F.min(item).alias("low"), F.max(item).alias("high"))
     parts = Window.orderBy("part")  # a row per range
     edges = edges.select("part", F.lag("high").over(parts).alias("left"), F.lead("low").over(parts).alias("right"))
     own = Window.partitionBy("part").orderBy(*order)
     near = dealt.withColumn("before", F.lag(item).over(own)).withColumn("after", F.lead(item).over(own))
     near = near.join(edges, "part").withColumn("before", F.coalesce("before", "left")).withColumn("after", F.coalesce("after", "right"))
-    side = lambda c: F.when(F.col(f"{c}.host") == F.col("host"), F.struct(f"{c}.path", f"{c}.loose", f"{c}.digest")).alias(c)
-    return near.select("row", "path", "loose", "places", "digest", side("before"), side("after"))
+    side = lambda c: F.when(F.col(f"{c}.host") == F.col("host"), F.struct(f"{c}.row", f"{c}.path", f"{c}.ids")).alias(c)
+    return near.select("row", "host", "path", "ids", "inside", side("before"), side("after"))
 
 
-def shared_lines(pairs: DataFrame) -> DataFrame:
-    """row and the places of its loose lines that the nearest page has too.
+def differences(pairs: DataFrame) -> DataFrame:
+    """row, host, other (the row of the page compared, null on a host's only page), the shared lines' places outside
+    of content elements, and place and hash of those inside.
 
-    A page that would lose all its loose lines, and has no others or the same, is a copy of its neighbour and
-    not told apart from the site by it; its other neighbour is taken, and if that is a copy as well, lines stay.
+    A page that shares all its lines is a copy of its neighbour and not told apart from the site by
+    it, and one that shares none is of another kind; then the page's other neighbour is taken, and
+    if that is such a one as well, nothing counts as shared.
     """
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.struct([("place", pa.int32()), ("id", pa.int64())]))
         for frame in frames:
-            out_row, out = [], []
+            out: list[tuple] = []
             for r in frame.to_pylist():
                 found = [s for s in (r["before"], r["after"]) if s]
                 alike = lambda s: next((i for i, (x, y) in enumerate(zip(s["path"], r["path"])) if x != y), min(len(s["path"]), len(r["path"])))
-                for other in sorted(found, key=alike, reverse=True):
-                    common = common_lines(r["loose"], other["loose"])
-                    if len(common) < len(r["loose"]) or r["digest"] not in (None, other["digest"]):
-                        out_row.append(r["row"])
-                        out.append([r["places"][i] for i in common])
+                other, common = None, []
+                for s in sorted(found, key=alike, reverse=True):
+                    other = s["row"] if other is None else other
+                    common = common_lines(r["ids"], s["ids"])
+                    if 0 < len(common) < len(r["ids"]):
+                        other = s["row"]
                         break
-            yield pa.RecordBatch.from_arrays([pa.array(out_row, pa.int64()), pa.array(out, pa.list_(pa.int32()))], ["row", "shared"])
+                    common = []
+                out.append((r["row"], r["host"], other, [i for i in common if not r["inside"][i]], [{"place": i, "id": r["ids"][i]} for i in common if r["inside"][i]]))
+            types = [pa.int64(), pa.string(), pa.int64(), pa.list_(pa.int32()), kind]
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate(types)], ["row", "host", "other", "outside", "within"])
+
+    return pairs.mapInArrow(run, "row long, host string, other long, outside array<int>, within array<struct<place: int, id: long>>")
+
 
-    return pairs.mapInArrow(run, "row long, shared array<int>")
+def deletions(found: DataFrame, least_share: float = 0.5, least_pages: int = 4) -> DataFrame:
+    """row and the places of the lines to delete, of the pages that lose any."""
+    pages = found.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    within = found.where(F.size("within") > 0).select("row", "host", F.explode("within").alias("line")).select("row", "host", "line.place", "line.id")
+    held = within.select("row", "host", "id").distinct().groupBy("host", "id").agg(F.count(F.lit(1)).alias("n"))
+    site = held.join(pages, "host").where((F.col("pages") >= least_pages) & (F.col("n") >= least_share * F.col("pages"))).select("host", "id")
+    inside = within.join(site, ["host", "id"]).groupBy("row").agg(F.collect_list("place").alias("places"))
+    outside = found.where(F.size("outside") > 0).select("row", F.col("outside").alias("places"))
+    return outside.unionByName(inside).groupBy("row").agg(F.flatten(F.collect_list("places")).alias("places"))
 
 
 def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every row.
 
-    Lines outside article and main go if the nearest page has them too, also on a page that has
-    such an element. Null html gives an empty text; a null or odd URL is of the host ''; rows that
-    repeat a page_id stay apart; an empty table gives no rows. Blocks are joined by one line feed;
-    nothing else is cut.
+    All lines that markup does not settle are compared with the nearest page of the host. Shared
+    ones go; inside article and main they go by the evidence of ``deletions``. Null html gives an
+    empty text; a null or odd URL is of the host ''; rows that repeat a page_id stay apart; an
+    empty table gives no rows. Blocks are joined by one line feed; nothing else is cut.
     """
     rows = stored(extracted(pages), "zstd")
-    shared = shared_lines(neighbours(rows))
-    # only pages with loose lines travel to meet what they share
-    loose = F.exists("lines", lambda x: ~x["sure"])
-    whole = rows.where(~loose).select("page_id", "url", F.transform("lines", lambda x: x["text"]).alias("left"))
-    met = rows.where(loose).join(shared, "row", "left")
-    places = F.transform("lines", lambda x, i: F.struct(x["text"].alias("text"), i.alias("i")))
-    left = F.filter(places, lambda x: F.col("shared").isNull() | ~F.array_contains("shared", x["i"]))
-    out = whole.unionByName(met.select("page_id", "url", F.transform(left, lambda x: x["text"]).alias("left")))
-    text = F.array_join("left", "\n")
-    return out.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
+    gone = stored(deletions(stored(differences(neighbours(rows)))))
+    met = rows.join(gone, "row", "left")
+    every = F.when(F.size("lines") > 0, F.sequence(F.lit(0), F.size("lines") - 1)).otherwise(F.array().cast("array<int>"))
+    left = F.array_except(every, F.coalesce("places", F.array().cast("array<int>")))
+    text = F.array_join(F.transform(left, lambda i: F.col("lines")[i]["text"]), "\n")
+    return met.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:

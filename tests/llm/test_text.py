@@ -1,4 +1,8 @@
 import hashlib
+import os
+import re
+import time
+from collections import Counter
 
 import duckdb
 import pytest
@@ -169,6 +173,18 @@ def test_page_markup():
     assert webpage.lines_of("<DIV>A<SPAN>b</SPAN>c</DIV>") == [("Abc", False)]
 
 
+def test_page_markup_by_whole_names():
+    page = "<article class='social-science ads-law'><p class='share-price'>kept</p><div class='ad'>gone</div><div id='Sidebar'>gone</div></article><div role='main'>m</div>"
+    assert webpage.lines_of(page) == [("kept", True), ("m", True)]
+
+
+def test_odd_markup_takes_linear_time():
+    for page in ("<a " * 350_000, "<a x='" * 150_000, "<div>" * 50_000 + "</span>" * 50_000, "<b>" * 30_000 + "<li></li>" * 30_000, "<!-- " * 200_000, "<a  b = " * 100_000):
+        start = time.process_time()
+        webpage.lines_of(page)
+        assert time.process_time() - start < 5
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.sampled_from("abc"), max_size=9), st.lists(st.sampled_from("abc"), max_size=9))
 def test_common_lines(a, b):
@@ -176,10 +192,30 @@ def test_common_lines(a, b):
     for i, x in enumerate(a):
         for j, y in enumerate(b):
             best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
-    found = webpage.common_lines(a, b)
-    assert len(found) == best[-1][-1] and found == sorted(set(found))
-    it = iter(b)
-    assert all(a[i] in it for i in found)
+    for most_pairs in (1000, 2):
+        found = webpage.common_lines(a, b, most_pairs)
+        assert len(found) == best[-1][-1] and found == sorted(set(found))
+        it = iter(b)
+        assert all(a[i] in it for i in found)
+
+
+def brute_text(pages):
+    """Texts by (page_id, url, html), every step in plain Python and all pages of a host at once."""
+    split = lambda u: webpage._URL.match(u or "")
+    order = sorted((split(u)[1].lower().removeprefix("www."), re.sub(r"(\.html?|/)+$", "", split(u)[2]), i, k) for k, (i, u, h) in enumerate(pages))
+    lines = [webpage.lines_of(h or "") for *_, h in pages]
+    order = [o for o in order if lines[o[3]]]
+    shared, hosts = {}, Counter(o[0] for o in order)
+    for n, (host, path, _, k) in enumerate(order):
+        near = [order[m] for m in (n - 1, n + 1) if 0 <= m < len(order) and order[m][0] == host]
+        for o in sorted(near, key=lambda o: len(os.path.commonprefix([o[1], path])), reverse=True):
+            common = webpage.common_lines([t for t, _ in lines[k]], [t for t, _ in lines[o[3]]])
+            if 0 < len(common) < len(lines[k]):
+                shared[k] = host, common
+                break
+    votes = Counter((host, t) for k, (host, c) in shared.items() for t in {lines[k][i][0] for i in c if lines[k][i][1]})
+    gone = {k: {i for i in c if not lines[k][i][1] or (hosts[host] >= 4 and 2 * votes[host, lines[k][i][0]] >= hosts[host])} for k, (host, c) in shared.items()}
+    return [(i, u, "\n".join(t for n, (t, _) in enumerate(lines[k]) if n not in gone.get(k, ()))) for k, (i, u, _) in enumerate(pages)]
 
 
 def test_pages_of_a_site(spark):
@@ -195,7 +231,10 @@ def test_pages_of_a_site(spark):
     assert by[0] == {"Story 0 begins.\nAnd ends 0.", "Title & more\nOne two three four\nFive\na\nb"}
     assert by[100] == by[101] == {""} and by[102] == {"Alone here"}
     assert by[103] == by[104] == {"Home page of us\nStory 1 begins.\nAnd ends 1.\nCall us now"}
+    assert sorted(map(repr, brute_text(data))) == sorted(repr((r.page_id, r.url, r.text)) for r in got.collect())
     assert got.where("n_chars <> length(text)").count() == 0 and webpage.main_text(pages.limit(0)).count() == 0
+    found = webpage.differences(webpage.neighbours(webpage.extracted(pages)))
+    assert found.where("other is not null").count() == 43 and found.where("other is null").count() == 1  # all pages with lines and a neighbour
     spark.conf.set("spark.sql.shuffle.partitions", "11")
     try:
         assert rows(webpage.main_text(pages)) == rows(got)
@@ -203,14 +242,18 @@ def test_pages_of_a_site(spark):
         spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
-def test_lines_outside_articles_are_compared(spark):
+def test_shared_lines_of_articles_go_by_their_rate(spark):
     card = lambda i: f"<body><div>Home page of us</div><article><h3>Card {i}</h3></article><div>Body {i} is long.</div><div>Call us now</div>"
-    story = lambda i: f"<body><div>Home page of us</div><article><p>Story {i}</p></article><div>Call us now</div>"
+    story = lambda i: f"<body><div>Home page of us</div><article><p>{'Quote' if i < 12 else 'Story %d' % i}</p><p>Text {i}</p><p>Read more like this</p></article><div>Call us now</div>"
     data = [(i, f"http://t.org/{i:03}", card(i)) for i in range(30)] + [(100 + i, f"http://s.org/{i:03}", story(i)) for i in range(30)]
     data += [(200, "http://c.org/1", card(1)), (201, "http://c.org/1", card(1)), (202, "http://d.org/1", card(1))]
+    data += [(300, "http://e.org/1", story(1)), (301, "http://e.org/2", story(2))]
     got = {r.page_id: r.text for r in webpage.main_text(spark.createDataFrame(data, "page_id long, url string, html string")).collect()}
-    assert all(got[i] == f"Card {i}\nBody {i} is long." and got[100 + i] == f"Story {i}" for i in range(30))
+    assert all(got[i] == f"Card {i}\nBody {i} is long." for i in range(30))
+    assert all(got[100 + i] == ("Quote" if i < 12 else f"Story {i}") + f"\nText {i}" for i in range(30))
     assert got[200] == got[201] == got[202] == "Home page of us\nCard 1\nBody 1 is long.\nCall us now"
+    assert got[300] == "Quote\nText 1\nRead more like this"  # two pages tell nothing about articles
+    assert sorted(map(repr, brute_text(data))) == sorted(repr((i, u, got[i])) for i, u, _ in data)
 
 
 def test_license_scan(spark):
