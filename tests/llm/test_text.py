@@ -221,7 +221,7 @@ def brute_text(pages):
 def test_pages_of_a_site(spark):
     plain = lambda i: f"<body><div>Home page of us</div><p>Story {i} begins.</p><p>And ends {i}.</p><div>Call us now</div>"
     data = [(i, f"http://www.site.org/a/{i:03}.html?x={i}", plain(i)) for i in range(40)]
-    data += [(100, None, None), (101, "http://b.org/x", ""), (102, "http://c.org/", "<p>Alone here"), (103, "http://d.org/1", plain(1)), (104, "http://d.org/1", plain(1)), (0, "http://www.site.org/a/000.html", ARTICLE)]
+    data += [(100, None, None), (101, "http://b.org/x", ""), (102, "http://c.org/", "<p>Alone here"), (103, "http://d.org/1", plain(1)), (104, "http://d.org/1", plain(1)), (0, "http://www.site.org/a/zzz.html", ARTICLE)]
     pages = spark.createDataFrame([(*r, "x", 1, ["l"]) for r in data], "page_id long, url string, html string, text string, row int, lines array<string>")
     got = webpage.main_text(pages)
     by = {}
