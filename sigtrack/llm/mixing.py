@@ -226,15 +226,15 @@ def mixed(docs: DataFrame, block_words: int = 256) -> DataFrame:
 def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents in the order in which the mix comes to them, then those it takes nothing of."""
     found = mix(table(spark, sf_dir, "documents")).orderBy(F.col("first_slot").asc_nulls_last(), "first_place", "doc_id", "row")
-    return found.select("doc_id", "size", "source_size", "target", "taken")
+    return found.select("doc_id", "size", "source_size", "target", "taken", "first_slot", "first_place", "last_slot", "n_pieces")
 
 
 def op9_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blocks(table(spark, sf_dir, "documents"))
 
 
-ORACLE = {
-    "op9_mix": r"""
+#: The same in DuckDB's SQL: the points of the schedule by their bits, ranks by counting.
+_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
          md5('mix' || coalesce(doc_id::VARCHAR, '')) AS draw
@@ -249,13 +249,40 @@ l AS (
             / (sum(weight) OVER () - coalesce(sum(weight) OVER b, 0)) AS level
   FROM c WINDOW b AS (ORDER BY cap / weight, s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 f AS (SELECT level AS found FROM l WHERE cap / weight >= level ORDER BY cap / weight, s LIMIT 1),
-t AS (SELECT source, source_size, least(cap, found * weight) AS target FROM l, f),
+t AS (SELECT source, s, source_size, least(cap, found * weight) AS target FROM l, f),
 p AS (
-  SELECT d.doc_id, d.size, t.source_size, t.target, floor(t.target + 0.5)::BIGINT AS needed,
+  SELECT row_number() OVER () AS row, d.doc_id, d.size, t.s, t.source_size, t.target, floor(t.target + 0.5)::BIGINT AS needed,
          coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.draw, d.doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
-  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+b AS (SELECT s, ceil(floor(target + 0.5) / {block})::BIGINT AS blocks FROM t),
+h AS (SELECT s, blocks, sum(blocks) OVER (ORDER BY s) AS above, sum(blocks) OVER () AS total FROM b),
+q AS (
+  SELECT s, floor((above - blocks)::DOUBLE / total * 281474976710656)::BIGINT AS low, floor(above::DOUBLE / total * 281474976710656)::BIGINT AS high
+  FROM h WHERE blocks > 0),
+k AS (
+  SELECT k AS slot, list_sum(list_transform(range(48), lambda i: ((k >> i) & 1) << (47 - i)))::BIGINT AS point
+  FROM (SELECT unnest(range(coalesce((SELECT sum(blocks) FROM b), 0)::BIGINT)) AS k)),
+g AS (SELECT slot, s, row_number() OVER (PARTITION BY s ORDER BY slot) - 1 AS rank FROM k JOIN q ON point >= low AND point < high),
+r AS (SELECT s, unnest(range(blocks)) AS rank FROM b),
+o AS (
+  SELECT (SELECT sum(blocks) FROM b)::BIGINT + row_number() OVER (ORDER BY s, rank) - 1 AS slot, s, rank FROM r ANTI JOIN g USING (s, rank)),
+x AS (SELECT slot, s, rank FROM g UNION ALL SELECT slot, s, rank FROM o),
+u AS (
+  SELECT row, s, copy * source_size + start AS pos, least(copy * source_size + start + size, needed) AS stop
+  FROM p, (VALUES (0), (1)) c(copy) WHERE size > 0),
+z AS (SELECT row, s, pos, unnest(range((pos // {block})::BIGINT, ((stop - 1) // {block} + 1)::BIGINT)) AS rank FROM u WHERE stop > pos),
+y AS (
+  SELECT row, min(slot) AS first_slot, arg_min(greatest(pos - rank * {block}, 0), slot * {block} + greatest(pos - rank * {block}, 0)) AS first_place, max(slot) AS last_slot, count(*) AS n_pieces
+  FROM z JOIN x USING (s, rank) GROUP BY row)
 SELECT doc_id, size, source_size, target,
-       (greatest(0, least(size, needed - start)) + greatest(0, least(size, needed - source_size - start)))::BIGINT AS taken
-FROM p
+       (greatest(0, least(size, needed - start)) + greatest(0, least(size, needed - source_size - start)))::BIGINT AS taken,
+       first_slot, first_place::BIGINT AS first_place, last_slot, coalesce(n_pieces, 0)::BIGINT AS n_pieces
+FROM p LEFT JOIN y USING (row)
 """
-}
+
+
+def oracle(block_words: int = 256) -> str:
+    return _SQL.replace("{block}", str(block_words))
+
+
+ORACLE = {"op9_mix": oracle()}

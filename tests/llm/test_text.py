@@ -53,14 +53,31 @@ def test_mix_equals_sql(spark):
         con = duckdb.connect()
         con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, source VARCHAR)")
         con.executemany("INSERT INTO documents VALUES (?, ?, ?)", [[None if x != x else x for x in r] for r in documents.itertuples(index=False)]) if len(documents) else None
-        want = sorted(map(repr, con.execute(mixing.ORACLE["op9_mix"]).fetchall()))
-        names = ("doc_id", "size", "source_size", "target", "taken")
+        want = sorted(map(repr, con.execute(mixing.oracle(4)).fetchall()))
+        names = ("doc_id", "size", "source_size", "target", "taken", "first_slot", "first_place", "last_slot", "n_pieces")
         got = sorted(repr(tuple(r[n] for n in names)) for r in mixing.mix(df, 4).collect())
         assert got == want
     found = mixing.mix(docs, 4).collect()
     assert all(r.taken <= 2 * r.size and r.taken == r.taken_0 + r.taken_1 for r in found)
 
 
+def test_the_schedule_decides_the_mix(spark, monkeypatch):
+    docs = mixed_docs(spark).where("source <> 'big'").select("doc_id", "text", "source")
+    slots = lambda: {r.doc_id: (r.first_slot, r.last_slot) for r in mixing.mix(docs, 4).collect()}
+    total = sum(r.target for r in mixing.targets(mixing.sized(docs)).collect())
+    share = {r.source: r.target / total for r in mixing.targets(mixing.sized(docs)).collect()}
+    parts = mixing.blocks(docs, 4).collect()
+    for n in (50, 100, 200):  # every prefix of the mix holds the sources near their shares
+        words = Counter()
+        for r in parts:
+            if r.slot < n:
+                words[r.source] += r.words
+        assert all(abs(words[s] / sum(words.values()) - x) < 0.06 for s, x in share.items())
+    other = slots()
+    monkeypatch.setattr(mixing, "_reversed_bits", lambda n: (n * 7919 * 4096) % F.lit(1 << 48))
+    assert slots() != other
+
+
 def test_mixed_texts(spark):
     docs = mixed_docs(spark).withColumn("taken_0", F.lit(5)).withColumn("n_chars", F.length("text").cast("long"))
     out = mixing.mixed(docs, 4)
