@@ -5,9 +5,9 @@ letters and the word itself as a lexicon entry, hashed to a table of weights; tr
 between languages are learned too. Forward-backward gives each word's posterior, and a
 document's language is the one with the largest mean over its words.
 
-The model is fitted on a bounded sample of the documents that are not held out (about
-``docs_per_lang`` of each language, of at most ``most_chars`` characters), on the executors'
-rows but in the driver's memory. Training sequences are spliced from passages of different
+The model is fitted on a bounded sample of the documents that are not held out: about
+``docs_per_lang`` of each language, of each its first ``most_chars`` characters, in passages in
+mixed order up to ``most_words`` words. Training sequences are spliced from passages of different
 documents, so that transitions see the languages change. Prediction reads every whole text.
 """
 
@@ -173,14 +173,21 @@ def held_out(doc_id: Column) -> Column:
 
 
 def training_sample(docs: DataFrame, docs_per_lang: int = 300, most_chars: int = 20_000) -> list[tuple[str, str]]:
-    """About ``docs_per_lang`` (text, lang) rows of each language, drawn by a hash of doc_id, held-out rows left out."""
-    known = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= most_chars))
+    """About ``docs_per_lang`` (text, lang) rows of each language, held-out rows left out.
+
+    They are drawn by a hash of doc_id and text, equal rows as one; a text gives its first
+    ``most_chars`` characters. At most twice the wanted number of rows reaches the driver, whatever
+    repeats.
+    """
+    known = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     counts = {r.lang: r["count"] for r in known.groupBy("lang").count().collect()}
     if not counts:
         return []
     share = F.create_map(*chained.from_iterable((F.lit(k), F.lit(min(1.0, docs_per_lang / n))) for k, n in sorted(counts.items())))
-    draw = F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(0)), F.lit(23)), F.lit(1 << 20)) / (1 << 20)
-    return sorted((r.text, r.lang) for r in known.where(draw < share[F.col("lang")]).select("text", "lang").collect())
+    number = F.xxhash64("doc_id", "text", F.lit(23))
+    drawn = known.where(F.pmod(number, F.lit(1 << 20)) / (1 << 20) < share[F.col("lang")]).select("lang", number.alias("number"), F.substring("text", 1, most_chars).alias("text"))
+    drawn = drawn.dropDuplicates(["lang", "number"]).orderBy("number", "lang").limit(2 * docs_per_lang * len(counts))
+    return sorted((r.text, r.lang) for r in drawn.collect())
 
 
 def identify(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -220,12 +227,15 @@ def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-def accepted(docs: DataFrame, model: Model | None, least_score: float = 0.34) -> DataFrame:
+def accepted(docs: DataFrame, model: Model | None, least_score: float = 0.5) -> DataFrame:
     """The rows of ``docs``, all columns, whose text has a language with a score of ``least_score`` or more.
 
-    Texts without a letter and null texts go; without a model no language is known and all others stay.
+    ``lang``, if there as a string, becomes that language. Texts without a letter, null texts and
+    those in which no language has most of the words go; without a model no language is known and
+    all texts with a letter stay as they are.
     """
     schema, at = docs.schema, docs.columns.index("text")
+    lang = docs.columns.index("lang") if dict(docs.dtypes).get("lang") == "string" else None
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if model is not None and model.key not in _scorers:
@@ -233,13 +243,15 @@ def accepted(docs: DataFrame, model: Model | None, least_score: float = 0.34) ->
             _scorers[model.key] = Scorer(model)
         for frame in frames:
             texts = [t or "" for t in frame.column(at).to_pylist()]
-            keep = np.zeros(len(texts), bool)
+            keep, best = np.zeros(len(texts), bool), np.zeros(len(texts), np.int64)
             for a, b in batches(texts):
                 if model is None:
                     keep[a:b] = [any(map(str.isalpha, t)) for t in texts[a:b]]
                 else:
                     mean, n = _scorers[model.key].posteriors(texts[a:b])
-                    keep[a:b] = (n > 0) & (mean.max(1) >= least_score)
+                    keep[a:b], best[a:b] = (n > 0) & (mean.max(1) >= least_score), mean.argmax(1)
+            if model is not None and lang is not None:
+                frame = frame.set_column(lang, frame.schema.field(lang), pa.array([model.langs[i] for i in best], frame.schema.field(lang).type))
             yield frame.filter(pa.array(keep))
 
     return docs.mapInArrow(run, schema)

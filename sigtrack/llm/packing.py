@@ -1,15 +1,16 @@
 """Packing documents into sequences of a fixed number of tokens.
 
 First-fit decreasing with a tournament tree of bin capacities, in randomised groups of
-documents that do not know of each other; a group is a bounded number of tokens. Documents are
-cut at multiples of the sequence length; their last pieces are placed whole. What first-fit
-leaves open in a group is then filled by cutting pieces of its emptiest sequences, so that at
-most one sequence of a group is not full.
+documents that do not know of each other. Long documents are dealt out in runs of 16 sequences,
+and there are as many groups as documents and bytes of text ask for, so a group holds about
+``group_docs`` runs and ``group_bytes`` bytes. Documents are cut at multiples of the sequence
+length; their last pieces are placed whole. What first-fit leaves open in a group is then filled
+by cutting pieces of its emptiest sequences, so that at most one sequence of a group is not full.
 """
 
 from __future__ import annotations
 
-import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -91,30 +92,35 @@ PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, seq
 
 
 def tokenized(docs: DataFrame, tokenizer: str, end_id: int, segment: int) -> DataFrame:
-    """doc_id, start, doc_tokens and ids (little-endian, 16 or 32 bits each) in runs of at most ``segment`` ids."""
+    """doc_id, start, doc_tokens, width and ids (little-endian, 16 or 32 bits each) in runs of at most ``segment`` ids,
+    and ``copy``, how many rows of the same batch before it have the doc_id."""
 
     def encode(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         path = tokenizer_path(tokenizer)
         for frame in frames:
-            rows = []
+            rows, seen = [], Counter()
             for doc, ids in zip(frame.column(0).to_pylist(), encoded(path, frame.column(1).to_pylist(), end_id)):
-                rows += [(doc, a, len(ids), ids.itemsize, ids[a : a + segment].tobytes()) for a in range(0, len(ids), segment)]
-            columns = list(zip(*rows)) or [()] * 5
-            types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["doc_id", "start", "doc_tokens", "width", "ids"])
+                rows += [(doc, a, len(ids), ids.itemsize, ids[a : a + segment].tobytes(), seen[doc]) for a in range(0, len(ids), segment)]
+                seen[doc] += 1
+            columns = list(zip(*rows)) or [()] * 6
+            types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int32()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["doc_id", "start", "doc_tokens", "width", "ids", "copy"])
 
-    return docs.select("doc_id", "text").mapInArrow(encode, "doc_id long, start long, doc_tokens long, width int, ids binary")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(encode, "doc_id long, start long, doc_tokens long, width int, ids binary, copy int")
 
 
-def pack(docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int = END_ID, length: int = LENGTH, group_docs: int = 1024, seed: int = 7) -> DataFrame:
+def pack(
+    docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int = END_ID, length: int = LENGTH, group_docs: int = 1024, group_bytes: int = 16 << 20, seed: int = 7
+) -> DataFrame:
     """Pieces of all documents, with their ids as 32-bit integers.
 
-    A group gets about ``group_docs`` documents by a hash of doc_id, start and ``seed``; very long
-    documents are dealt out in runs of 16 sequences, so no group grows with a text. Null text
-    counts as empty: one sequence piece with the end id. An empty table gives no rows; rows that
-    repeat a doc_id are documents of their own; further columns are left alone.
+    Runs are dealt to groups by a hash of doc_id, start, ``copy`` and ``seed``: rows that repeat a
+    doc_id or have none are documents of their own and spread over the groups like others. Null
+    text counts as empty: one sequence piece with the end id. An empty table gives no rows;
+    further columns are left alone. ``docs`` is a table, or rows whose order a repeated task keeps.
     """
-    groups = max(1, -(-docs.count() // group_docs))
+    size = docs.agg(F.count(F.lit(1)).alias("docs"), F.sum(F.octet_length("text")).alias("bytes")).first()
+    groups = max(1, -(-size.docs // group_docs), -(-(size.bytes or 0) // group_bytes))
     runs = tokenized(docs, tokenizer, end_id, 16 * length)
 
     def pack_rows(key: tuple, rows: pa.Table) -> pa.Table:
@@ -128,16 +134,16 @@ def pack(docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int = END_ID, leng
         names = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
         return pa.table([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
 
-    group = F.pmod(F.xxhash64("doc_id", "start", F.lit(seed)), F.lit(groups))
+    group = F.pmod(F.xxhash64("doc_id", "start", F.lit(seed), F.when(F.col("copy") > 0, F.col("copy"))), F.lit(groups))
     # about eight groups to a task, so that tasks stay as large at any size
     tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), groups // 8)
-    dealt = runs.withColumn("pack_group", group).repartition(tasks, "pack_group")
+    dealt = runs.withColumn("pack_group", group).drop("copy").repartition(tasks, "pack_group")
     return dealt.groupBy("pack_group").applyInArrow(pack_rows, PIECES)
 
 
-def with_checksum(pieces: DataFrame) -> DataFrame:
-    """The pieces with the crc32 of their ids in place of the ids."""
-    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+def with_checksum(pieces: DataFrame, *more: str) -> DataFrame:
+    """The pieces with the crc32 of their ids in place of the ids, and the columns ``more``."""
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", *more)
 
 
 def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -83,6 +83,24 @@ def test_documents(spark):
     assert kept.columns == ["doc_id", "text"] and kept.where("doc_id = 7").count() == 1 and kept.where("doc_id is null").count() == 1
 
 
+def test_fingerprints_against_the_contract(spark):
+    import re
+
+    import xxhash
+
+    def plain(text):
+        words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        shingles = [" ".join(words[i : i + 3]) for i in range(len(words) - 2)] if len(words) > 2 else [" ".join(words)] if words else []
+        h = [xxhash.xxh64(s.encode(), seed=42).intdigest() for s in shingles]
+        return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+    rng = np.random.default_rng(9)
+    texts = [None, "", " \t", "One", "one TWO", "Ärger ÄRGER İi", "a b c", "a b c d", "x " * 400, "line\x0bfeed\x1cend\x85of\u00a0words\u2003here now"]
+    texts += [" ".join(rng.choice(["Foo", "bar", "été", "日本", "Q"], int(n))) for n in rng.integers(1, 60, 40)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.fp % (1 << 64) for r in simhash.fingerprints(df).collect()} == {i: plain(t) for i, t in enumerate(texts)}
+
+
 def test_fingerprint_in_chunks():
     words = [b"a%d" % (i % 37) for i in range(5000)]
     assert simhash.fingerprint_of(words) == simhash.fingerprint_of(words, chunk=64)

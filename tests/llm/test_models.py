@@ -75,6 +75,9 @@ def test_language_of_edge_texts(spark):
     assert all(by[i].lang_pred == ("aa", "bb")[i % 2] for i in range(40))
     kept = langid.accepted(docs, model)
     assert kept.columns == docs.columns and kept.count() == docs.count() - 3
+    assert {r.lang for r in kept.where("doc_id = 1003").collect()} == {"bb"}  # the predicted one
+    mixed = spark.createDataFrame([(1, "alpha bravo anna zulu xray yoyo zulu xray " * 9, "aa"), (2, "alpha bravo anna zulu " * 9, "bb")], "doc_id long, text string, lang string")
+    assert {(r.doc_id, r.lang) for r in langid.accepted(mixed, model, 0.7).collect()} == {(2, "aa")}
     nothing = langid.fitted(docs.where("lang is null"))
     assert nothing is None and rows(langid.identify(docs, None).select("lang_pred").distinct()) == [("und",)]
     assert langid.accepted(docs, None).count() == docs.count() - 3
@@ -123,6 +126,29 @@ def test_base_counts(text):
 GOOD, BAD = "A line of plain words that goes on like this one. ", "BUY!! NOW!! $$$ ### "
 
 
+def test_lines_have_labels_of_their_own():
+    rng = np.random.default_rng(2)
+    prose = lambda: " ".join("abcdefghij"[int(k)] * int(k + 2) for k in rng.integers(0, 9, 12)) + "."
+    junk = lambda: " ".join(f"{w}{m}" for w, m in zip(prose().upper().split(), ["$$$", "!!", "###"] * 4))
+    good = ["\n".join(prose() for _ in range(6)) for _ in range(60)]
+    bad = ["\n".join([prose(), *(junk() for _ in range(4)), prose()]) for _ in range(60)]
+    model = quality.learn([(t, 1) for t in good[:40]] + [(t, 0) for t in bad[:40]])
+    assert (quality.content_shares(good[40:], model) == 1).all()
+    shares = quality.content_shares(bad[40:], model)
+    assert ((shares > 0.2) & (shares < 0.5)).all()  # two of six lines are content
+    assert (quality.content_shares(["\n".join(junk() for _ in range(5))], model) == 0).all()
+
+
+def test_quality_sample_is_bounded(spark):
+    docs = spark.range(3000).select((F.col("id") % 3).alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    labels = spark.range(500).select((F.col("id") % 3).alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality"))
+    assert 0 < len(quality.training_sample(docs, labels, 240)) <= 960
+    long_only = spark.createDataFrame([(i, f"zz{i} " * 9000, "zz") for i in range(30)], "doc_id long, text string, lang string")
+    assert {lang for _, lang in langid.training_sample(long_only)} == {"zz"}
+    same = spark.range(2000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("t"), (F.col("id") % 900).cast("string")).alias("text"), F.lit("a").alias("lang"))
+    assert 5 < len(langid.training_sample(same, 50)) <= 100
+
+
 def test_quality_verdicts(spark):
     texts = [(i, (GOOD * 3 + f"Unit {i} of it has words of its own kind so far.\n") if i % 2 else "\n".join(BAD + f"X{i}Y{k}!! Z{k}A{i}$$$" for k in range(6))) for i in range(60)]
     texts = [(i, "\n".join(f"{t} {a}" for a in ("now", "then")) if i % 2 else t) for i, t in texts]

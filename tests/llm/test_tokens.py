@@ -98,3 +98,15 @@ def test_packed_documents(spark):
     for p in pieces:
         assert any(len(x) == p.doc_tokens and x[p.start : p.start + p.length].tobytes() == bytes(p.ids) for x in texts[p.doc_id])
     assert packing.with_checksum(packing.pack(edge(spark).limit(0))).count() == 0
+
+
+def test_groups_follow_bytes_and_spread_repeated_ids(spark):
+    from pyspark.sql import functions as F
+
+    long_docs = spark.createDataFrame([(i, "word list " * 40_000) for i in range(3)], "doc_id long, text string")
+    out = packing.pack(long_docs, group_bytes=200_000).selectExpr("doc_id", "start", "length", "doc_tokens", "sequence_id >> 32 as g").collect()
+    assert len({r.g for r in out}) > 3 and sum(r.length for r in out) == sum({r.doc_id: r.doc_tokens for r in out}.values())
+    for doc in (5, None):
+        same = spark.range(0, 100_000, 1, 4).select(F.lit(doc).cast("long").alias("doc_id"), F.lit("a b").alias("text"))
+        sizes = packing.pack(same, group_docs=5000).groupBy(F.expr("sequence_id >> 32").alias("g")).agg(F.sum("length").alias("n")).collect()
+        assert sum(r.n for r in sizes) == 300_000 and len(sizes) > 15 and max(r.n for r in sizes) < 30_000
