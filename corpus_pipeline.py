@@ -9,7 +9,7 @@ from sigtrack.llm.common import stored, table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that can be told; the model learns from the documents not held out."""
+    """Documents most of whose words are in one language, which becomes their ``lang``; the model learns from the documents not held out."""
     return langid.accepted(docs, langid.fitted(docs))
 
 
@@ -29,8 +29,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of sequences of 4096 tokens."""
-    return packing.with_checksum(packing.pack(docs))
+    """Pieces of sequences of 4096 tokens, with their ids."""
+    return packing.with_checksum(packing.pack(docs), "ids")
 
 
 STAGES = [
