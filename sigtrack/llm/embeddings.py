@@ -28,12 +28,18 @@ THRESHOLD, CELL, SAMPLE, BLOCK = 0.98, 4000, 20_000, 4096
 _SLACK = 1e-9
 
 
+def _chunks(n: int, width: int, cells: int = 4_000_000) -> range:
+    """Starts of runs of rows, of which a matrix of ``width`` columns has about ``cells`` cells."""
+    return range(0, n, max(1, cells // max(1, width)))
+
+
 def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 8, seed: int = 4) -> np.ndarray:
     """k unit centres of unit vectors; fewer when there are fewer vectors."""
     rng = np.random.default_rng(seed)
     centres = x[rng.choice(len(x), min(k, len(x)), replace=False)]
+    steps = _chunks(len(x), len(centres))
     for _ in range(rounds):
-        near = (x @ centres.T).argmax(1)
+        near = np.concatenate([(x[a : a + steps.step] @ centres.T).argmax(1) for a in steps])
         sums = np.zeros_like(centres)
         np.add.at(sums, near, x)
         length = np.linalg.norm(sums, axis=1, keepdims=True)
@@ -42,16 +48,24 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 8, seed: int = 4) -> n
 
 
 def cells_of(x: np.ndarray, centres: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, cell, at home) of each vector's own cell and of the later cells that it visits."""
-    dots = x @ centres.T
-    home = dots.argmax(1)
-    gap = np.sqrt(np.maximum(0, 2 - 2 * (centres[home] @ centres.T)))
-    margin = dots[np.arange(len(x)), home][:, None] - dots
-    reach = margin <= (math.sqrt(1 - threshold * threshold) + _SLACK) * gap
-    # a pair whose homes differ meets in the larger one: only guests from smaller cells go there
-    reach &= np.arange(len(centres))[None, :] > home[:, None]
-    rows, cells = np.nonzero(reach)
-    return np.append(np.arange(len(x)), rows), np.append(home, cells), np.append(np.ones(len(x), bool), np.zeros(len(rows), bool))
+    """(row, cell, at home) of each vector's own cell and of the later cells that it visits, some rows at a time."""
+    homes, rows, cells = [], [], []
+    steps = _chunks(len(x), len(centres))
+    for a in steps:
+        dots = x[a : a + steps.step] @ centres.T
+        home = dots.argmax(1)
+        gap = np.sqrt(np.maximum(0, 2 - 2 * (centres[home] @ centres.T)))
+        margin = dots[np.arange(len(dots)), home][:, None] - dots
+        reach = margin <= (math.sqrt(1 - threshold * threshold) + _SLACK) * gap
+        # a pair whose homes differ meets in the larger one: only guests from smaller cells go there
+        reach &= np.arange(len(centres))[None, :] > home[:, None]
+        r, c = np.nonzero(reach)
+        homes.append(home)
+        rows.append(a + r)
+        cells.append(c)
+    own = np.concatenate(homes) if homes else np.zeros(0, np.int64)
+    guests = np.concatenate(rows) if rows else own
+    return np.append(np.arange(len(x)), guests), np.append(own, np.concatenate(cells) if cells else own), np.append(np.ones(len(x), bool), np.zeros(len(guests), bool))
 
 
 def compare(x: np.ndarray, y: np.ndarray | None, copies_x: np.ndarray, copies_y: np.ndarray, home_x: np.ndarray, home_y: np.ndarray, threshold: float, step: int = 1024) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -87,19 +101,18 @@ def compare(x: np.ndarray, y: np.ndarray | None, copies_x: np.ndarray, copies_y:
     return n_x, n_y, at[:-1][same], at[1:][same]
 
 
-def usable(vectors: DataFrame) -> DataFrame:
-    """vec_id, label and unit (array of doubles) of the vectors that can link.
+def directions(vectors: DataFrame) -> DataFrame:
+    """vec_id, label (as a long) and unit (array of doubles) of every row; unit is null where a row cannot link.
 
-    They are divided by their largest component first, so that squares neither overflow nor vanish.
+    Vectors are divided by their largest component first, so that squares neither overflow nor vanish.
     """
-    x = F.transform("embedding", lambda v: v.cast("double"))
-    ok = F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
-    top = F.array_max(F.transform("x", F.abs))
-    rows = vectors.where("label is not null and embedding is not null").select(F.col("vec_id").cast("long"), "label", x.alias("x"))
-    rows = rows.where(ok & (F.size("x") > 0)).withColumn("top", top).where("top > 0")
-    rows = rows.withColumn("x", F.transform("x", lambda v: v / F.col("top")))
+    rows = vectors.select(F.col("vec_id").cast("long"), F.col("label").cast("long"), F.transform("embedding", lambda v: v.cast("double")).alias("x"))
+    finite = F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
+    rows = rows.withColumn("x", F.when(F.col("label").isNotNull() & (F.size("x") > 0) & finite, F.col("x")))
+    rows = rows.withColumn("top", F.array_max(F.transform("x", F.abs)))
+    rows = rows.withColumn("x", F.when(F.col("top") > 0, F.transform("x", lambda v: F.try_divide(v, F.col("top")))))
     norm = F.sqrt(F.aggregate("x", F.lit(0.0), lambda s, v: s + v * v))
-    return rows.withColumn("norm", norm).select("vec_id", "label", F.transform("x", lambda v: v / F.col("norm")).alias("unit"))
+    return rows.withColumn("norm", norm).select("vec_id", "label", F.transform("x", lambda v: F.try_divide(v, F.col("norm"))).alias("unit"))
 
 
 _ITEM = "label long, cell long, node long, copies long, home boolean, unit array<double>"
@@ -110,17 +123,19 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, cell: int
 
     Vectors that are null, zero or hold a null or non-finite value, and those without a label,
     link with nothing. Vectors of different length do not link. Copies (equal after scaling to
-    length 1) link with each other. An empty table gives no rows; a repeated vec_id keeps its rows.
+    length 1) link with each other. An empty table gives no rows. Every row counts as a vector of
+    its own: rows that repeat a vec_id stay apart and link by their own vectors; a row without a
+    vec_id counts as a link of others, and its component_id is theirs, null if they have none.
     """
-    unit = usable(vectors).withColumn("label", F.col("label").cast("long"))
-    # copies of a direction: one node, named by its smallest vec_id
-    # 96 bits name a direction where rows meet it again; groups are made of all components
-    keyed = stored(unit.select("vec_id", "label", "unit", F.struct(F.xxhash64("label", "unit").alias("a"), F.hash("unit", "label").alias("b")).alias("h")))
-    nodes = keyed.groupBy("h", "label", "unit").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies"))
-    nodes = stored(nodes.select("h", "label", F.size("unit").alias("dim"), "unit", "node", "copies"))
+    # 96 bits name a direction where rows meet it again
+    h = F.when(F.col("unit").isNotNull(), F.struct(F.xxhash64("label", "unit").alias("a"), F.hash("unit", "label").alias("b")))
+    keyed = stored(directions(vectors).withColumn("h", h))
+    # copies of a direction are one node; its number is fixed as it is written
+    nodes = keyed.where("unit is not null").groupBy("h", "label", "unit").agg(F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("copies"))
+    nodes = stored(nodes.select(F.monotonically_increasing_id().alias("node"), "h", "label", F.size("unit").alias("dim"), "unit", "first", "copies"))
     counts = {(r.label, r.dim): r["count"] for r in nodes.groupBy("label", "dim").count().collect()}
     total = sum(counts.values())
-    rng = F.pmod(F.xxhash64("node", F.lit(31)), F.lit(1 << 20)) / (1 << 20)
+    rng = F.pmod(F.xxhash64("unit", F.lit(31)), F.lit(1 << 20)) / (1 << 20)
     # the sample is bounded in numbers too, whatever the length of the vectors
     sample = min(sample, 2_000_000 // max([1, *(d for _, d in counts)]))
     drawn = nodes.where(rng < min(1.0, sample / max(1, total))).select("label", "dim", "unit").collect()
@@ -167,12 +182,13 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, cell: int
     found = stored(parts.groupBy("label", "cell", "p", "q").applyInArrow(search, "a long, b long, n long"))
     links = found.where("n > 0").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("more"))
     roots = components(found.where("n = 0").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    known = nodes.select("h", "node", "copies").join(links, "node", "left").join(roots, "node", "left")
-    known = known.select("h", "node", F.coalesce("root", "node").alias("root"), (F.col("copies") - 1 + F.coalesce("more", F.lit(0))).alias("n_links"))
+    known = nodes.select("h", "node", "first", "copies").join(links, "node", "left").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    least = known.groupBy("root").agg(F.min("first").alias("component_id"))
+    known = known.join(least, "root").select("h", (F.col("copies") - 1 + F.coalesce("more", F.lit(0))).alias("n_links"), "component_id")
     rows = keyed.select("vec_id", "h")
-    linked = rows.join(known, "h").select("vec_id", "n_links", F.col("root").alias("component_id"))
-    rest = vectors.select(F.col("vec_id").cast("long")).join(rows.select("vec_id"), "vec_id", "left_anti").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    return linked.unionByName(rest).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+    linked = rows.where("h is not null").join(known, "h").select("vec_id", "n_links", "component_id")
+    alone = rows.where("h is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    return linked.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
 def op7_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,9 @@ the search. A fingerprint at distance ``mu`` of a node's vantage point, just ins
 boundary, is also handed to the outer side: by the triangle inequality a partner there is at
 ``mu + 1``, so no pair is lost, and no other branch need be searched. In a shard the tree is
 carried on in memory with the exact 64-bit radius until a part is small, and parts are compared
-in blocks. A shard reports a chain of links that connects what it found, never all pairs.
+in blocks. A shard reports a chain of links that connects what it found, never all pairs. A leaf
+that no vantage point divides can be large; it is split into blocks by a hash, and each pair of
+its blocks is a shard.
 """
 
 from __future__ import annotations
@@ -166,10 +168,11 @@ def connected(fp: np.ndarray, radius: int = RADIUS, small: int = 256, block: int
     return root
 
 
-def links(fps: DataFrame, radius: int = RADIUS, shard: int = SHARD, sample: int = SAMPLE) -> DataFrame:
+def links(fps: DataFrame, radius: int = RADIUS, shard: int = SHARD, sample: int = SAMPLE, block: int = 16 * SHARD) -> DataFrame:
     """(a, b) with a < b that connect distinct fingerprints ``fps`` (fp) just as all pairs within ``radius`` do.
 
     The trees are fitted on about ``sample`` fingerprints, drawn by hash; every fingerprint is searched.
+    No shard is much larger than two blocks.
     """
     if radius != 3:
         raise ValueError("two halves with radius 1 answer for radius 3")
@@ -200,8 +203,12 @@ def links(fps: DataFrame, radius: int = RADIUS, shard: int = SHARD, sample: int
         return pa.table({"a": fp[at[:-1][same]].view(np.int64), "b": fp[at[1:][same]].view(np.int64)})
 
     tasks = max(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), leaves // 16)
-    dealt = fps.select("fp").mapInArrow(deal, "shard long, fp long").repartition(tasks, "shard")
-    return dealt.groupBy("shard").applyInArrow(search, "a long, b long").distinct()
+    dealt = stored(fps.select("fp").mapInArrow(deal, "shard long, fp long"))
+    heavy = dealt.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks")).where("blocks > 1")
+    parts = dealt.join(heavy, "shard", "left").withColumn("own", F.when(F.col("blocks") > 1, F.pmod(F.xxhash64("fp", F.lit(17)), F.col("blocks")).cast("int")).otherwise(0))
+    other = F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1))
+    parts = parts.withColumn("other", other).select("shard", "fp", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"))
+    return parts.repartition(tasks, "shard", "p", "q").groupBy("shard", "p", "q").applyInArrow(search, "a long, b long").distinct()
 
 
 def components(edges: DataFrame, *, most_rounds: int = 60) -> DataFrame:

@@ -52,6 +52,8 @@ def test_links_and_components(spark):
     fp = near_fingerprints(700, 3)
     df = spark.createDataFrame([(int(x),) for x in fp.view(np.int64)], "fp long")
     found = {r.node: r.root for r in simhash.components(simhash.links(df, shard=100, sample=500)).collect()}
+    in_blocks = {r.node: r.root for r in simhash.components(simhash.links(df, shard=100, sample=500, block=60)).collect()}
+    assert in_blocks == found
     want = closure(np.bitwise_count(fp[:, None] ^ fp[None, :]) <= 3)
     groups = {}
     for i, c in enumerate(want):
@@ -128,3 +130,22 @@ def test_embeddings_against_brute_force(spark):
         assert all(got[i].n_links == 0 and got[i].kept for i in (900, 901, 902, 903, 904, 905, 908))
         assert got[907].component_id == 906 and got[910].component_id == 909
     assert embeddings.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_embeddings_with_null_and_repeated_ids(spark):
+    u, v, w = [1.0, 0.0], [0.0, 1.0], [0.999, 0.001]
+    data = [(5, v, 1), (5, u, 1), (6, w, 1), (None, u, 1), (None, [-1.0, 0.0], 1), (None, [-2.0, 0.0], 1), (7, None, 1), (7, v, 1), (8, [0.0, -1.0], 1)]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>, label int")
+    got = sorted(embeddings.near_duplicates(df).collect(), key=repr)
+    want = [(5, 1, 5, True), (5, 2, 5, True), (6, 2, 5, False), (None, 2, 5, False), (None, 1, None, True), (None, 1, None, True), (7, 0, 7, True), (7, 1, 5, False), (8, 0, 8, True)]
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
+
+
+def test_cells_of_many_centres_in_chunks(monkeypatch):
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(300, 8))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    centres = embeddings.spherical_kmeans(x, 20)
+    whole = sorted(zip(*map(list, embeddings.cells_of(x, centres, 0.98))))
+    monkeypatch.setattr(embeddings, "_chunks", lambda n, width: range(0, n, 7))
+    assert sorted(zip(*map(list, embeddings.cells_of(x, centres, 0.98)))) == whole and np.allclose(embeddings.spherical_kmeans(x, 20), centres)
