@@ -3,14 +3,29 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+T = TypeVar("T")
 #: White space of the word pattern ``[^\x20\x09-\x0D]+``, in Java's syntax.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+_held: dict[tuple, object] = {}
+
+
+def held(key: tuple, make: Callable[[], T]) -> T:
+    """This Python worker's cache under ``key``. Another key's takes its place, so that a worker that several
+    stages use has one of them at a time."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -18,12 +33,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """A fresh folder that driver and executors share.
 
-    The cluster names its folder in spark.checkpoint.dir; the default is for tests on one machine.
+    The cluster names its folder in spark.checkpoint.dir. Only a local master, whose driver and
+    executors are one machine, has a default; nothing here is removed, the cluster clears its folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not root:
-        root = "file:/tmp/sigtrack-checkpoints"
-        spark.conf.set("spark.checkpoint.dir", root)
+    if not root and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    root = root or "file:/tmp/sigtrack-checkpoints"
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 

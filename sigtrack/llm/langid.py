@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import held, table
 from .crf import Chain, fit
 from .wordbpe import _Numbered, batches
 
@@ -165,9 +165,6 @@ def learn(sample: list[tuple[str, str]], *, passage: int = 60, most_words: int =
     return Model(langs, weights, chain, hashlib.md5(weights.tobytes() + repr((langs, chain)).encode()).hexdigest())
 
 
-_scorers: dict[str, Scorer] = {}
-
-
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string")), F.lit(4)) == 2, F.lit(False))
 
@@ -198,15 +195,13 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     """
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if model is not None and model.key not in _scorers:
-            _scorers.clear()
-            _scorers[model.key] = Scorer(model)
+        scorer = held(("scorer", model.key), lambda: Scorer(model)) if model is not None else None
         for frame in frames:
             texts = [t or "" for t in frame.column(1).to_pylist()]
             pred, score = ["und"] * len(texts), np.zeros(len(texts))
             if model is not None:
                 for a, b in batches(texts):
-                    mean, n = _scorers[model.key].posteriors(texts[a:b])
+                    mean, n = scorer.posteriors(texts[a:b])
                     best = mean.argmax(1)
                     for i in np.flatnonzero(n):
                         pred[a + i] = model.langs[best[i]]
@@ -238,9 +233,7 @@ def accepted(docs: DataFrame, model: Model | None, least_score: float = 0.5) ->
     lang = docs.columns.index("lang") if dict(docs.dtypes).get("lang") == "string" else None
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if model is not None and model.key not in _scorers:
-            _scorers.clear()
-            _scorers[model.key] = Scorer(model)
+        scorer = held(("scorer", model.key), lambda: Scorer(model)) if model is not None else None
         for frame in frames:
             texts = [t or "" for t in frame.column(at).to_pylist()]
             keep, best = np.zeros(len(texts), bool), np.zeros(len(texts), np.int64)
@@ -248,7 +241,7 @@ def accepted(docs: DataFrame, model: Model | None, least_score: float = 0.5) ->
                 if model is None:
                     keep[a:b] = [any(map(str.isalpha, t)) for t in texts[a:b]]
                 else:
-                    mean, n = _scorers[model.key].posteriors(texts[a:b])
+                    mean, n = scorer.posteriors(texts[a:b])
                     keep[a:b], best[a:b] = (n > 0) & (mean.max(1) >= least_score), mean.argmax(1)
             if model is not None and lang is not None:
                 frame = frame.set_column(lang, frame.schema.field(lang), pa.array([model.langs[i] for i in best], frame.schema.field(lang).type))

@@ -2,8 +2,8 @@
 
 Re-Pair: frequent pairs of neighbouring symbols are repeatedly replaced by a nonterminal. Each
 block (a run of documents in doc_id order) has its own grammar, so blocks are written and read
-on their own. A round replaces every pair that is frequent in the block at that time; pairs
-never reach over a document's end. Stored are the rules, the number of ids below each
+on their own. A round replaces all pairs that are frequent in the block at that time, and rounds
+go on until none is; pairs never reach over a document's end. Stored are the rules, the number of ids below each
 nonterminal, the symbols and each document's first symbol: a document is decoded without the
 ones before it, and a range of ids without expanding what lies outside it.
 """
@@ -28,8 +28,9 @@ TOKENIZER, END_ID = "word_bpe_49k.json", 1
 _BITS, _END = 18, 0xFFFFFFFF
 
 
-def _pair_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def _pair_hash(a: np.ndarray, b: np.ndarray, salt: int) -> np.ndarray:
     h = a.astype(np.uint32)
+    h += np.uint32(salt)
     h *= np.uint32(0x9E3779B1)
     h ^= b
     h *= np.uint32(0x85EBCA77)
@@ -37,12 +38,12 @@ def _pair_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return h
 
 
-def _frequent_pairs(sym: np.ndarray, end_id: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _frequent_pairs(sym: np.ndarray, end_id: int, least: int, salt: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Where a frequent pair starts, its hash bucket, and by bucket the start of the pair's first copy.
 
-    One pair stands for each bucket; pairs that share its bucket wait for the next round.
+    One pair stands for each bucket; pairs that share its bucket wait for a round with another ``salt``.
     """
-    h = _pair_hash(sym[:-1], sym[1:])
+    h = _pair_hash(sym[:-1], sym[1:], salt)
     at = np.flatnonzero((np.bincount(h, minlength=1 << _BITS) >= least)[h])
     at = at[(sym[at] != end_id) & (sym[at + 1] != end_id)]
     h = h[at]
@@ -61,21 +62,25 @@ def _without_overlap(at: np.ndarray) -> np.ndarray:
     return (np.arange(len(at)) - np.repeat(run, np.diff(run, append=len(at)))) % 2 == 0
 
 
-def compress(sym: np.ndarray, base: int, end_id: int, rounds: int = 3, least: int = 24) -> tuple[np.ndarray, np.ndarray]:
-    """Symbols and rules (one row of two symbols for each nonterminal, numbered from ``base`` on)."""
-    sym, rules, n = sym.astype(np.uint32), [], 0
-    for _ in range(rounds):
-        if len(sym) < 2 * least:
-            break
-        at, h, model = _frequent_pairs(sym, end_id, least)
+def compress(sym: np.ndarray, base: int, end_id: int, least: int = 24, gain: float = 0.001) -> tuple[np.ndarray, np.ndarray]:
+    """Symbols and rules (one row of two symbols for each nonterminal, numbered from ``base`` on).
+
+    Each round replaces all pairs that come up ``least`` times; it goes on until two rounds with different
+    hashes find none, or shorten the symbols by less than ``gain`` each. Of pairs that overlap the first goes,
+    the others have the next round: by count it took 2.4 times the time for no better ratio.
+    """
+    sym, rules, n, salt, idle = sym.astype(np.uint32), [], 0, 0, 0
+    while len(sym) >= 2 * least and idle < 2:
+        at, h, model = _frequent_pairs(sym, end_id, least, salt)
         keep = _without_overlap(at)
-        at, h = at[keep], h[keep]
+        at, h, salt = at[keep], h[keep], salt + 1
+        idle = idle + 1 if len(at) <= gain * len(sym) else 0
         if not len(at):
-            break
-        used = np.bincount(h, minlength=1 << _BITS) > 0
-        heads = model[used]
+            continue
+        often = np.bincount(h, minlength=1 << _BITS) > 0
+        heads = model[often]
         rules.append(np.stack([sym[heads], sym[heads + 1]], 1))
-        sym[at] = (base + n - 1 + np.cumsum(used))[h]
+        sym[at] = (base + n - 1 + np.cumsum(often))[h]
         kept = np.ones(len(sym), bool)
         kept[at + 1] = False
         sym = sym[kept]

@@ -1,4 +1,5 @@
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -39,14 +40,24 @@ def test_repair_round_trip(docs):
     assert all((b.document(k) == x).all() for k, x in enumerate(ids))
     for start in range(0, len(flat), 7):
         assert (b.tokens(start, 11) == flat[start : start + 11]).all()
-    sym, rules = repair.compress(flat, 50, 99, rounds=5, least=2)
+    sym, rules = repair.compress(flat, 50, 99, least=2)
     assert (repair.expand(sym, rules, 50) == flat).all()
     assert repair.rule_lengths(rules, 50).sum() == sum(len(repair.expand(np.array([50 + i]), rules, 50)) for i in range(len(rules)))
 
 
 def test_repair_shortens():
     sym, rules = repair.compress(np.array([3, 4, 5, 6] * 500, np.uint16), 50, 1)
-    assert len(sym) < 700 and len(rules)
+    assert len(sym) < 50 and len(rules)
+
+
+def test_repair_leaves_no_frequent_pair():
+    rng = np.random.default_rng(3)
+    flat = np.concatenate([np.tile(rng.integers(2, 40, 30), 60), rng.integers(2, 40, 4000)]).astype(np.uint32)
+    sym, rules = repair.compress(flat, 50, 1, least=24)
+    assert (repair.expand(sym, rules, 50) == flat).all()
+    assert repair.rule_lengths(rules, 50).max() >= 8
+    for pair, n in Counter(zip(sym.tolist(), sym[1:].tolist())).items():
+        assert n < 24 or pair[0] == pair[1]  # a run's pairs overlap
 
 
 def test_written_ids_read_back(spark):
