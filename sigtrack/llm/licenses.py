@@ -1,33 +1,61 @@
 """Licence scan in DataFrame operations only: TF-IDF cosine to templates, then inheritance by path.
 
-Every line of a file is a candidate header. Its sparse TF-IDF vector is compared with the
-templates' by joins on terms; document frequencies are counted over all files. By
-Cauchy-Schwarz a line reaches a cosine of ``least`` only if the terms it shares with the
-template hold ``least`` of the template's length: the heaviest terms that are left when the
-lightest ones up to that length are taken away are key terms, and a line without any of them
-needs no scoring. A file without a header of its own takes the licence of the nearest directory
-above it that has a licence file.
+Two kinds of parts of a file are compared by their sparse TF-IDF vectors (sublinear term
+frequencies), which meet the templates' by joins on terms:
+
+- headers: every line and every run of 2 to 6 and 8 neighbouring lines, with the notices;
+- the whole file, with the licences' full texts (``license_texts``).
+
+Document frequencies are counted over all files. By Cauchy-Schwarz a part reaches a cosine of
+``least`` only if the terms that it shares with the template hold ``least`` of the template's
+length. Two exact prefilters follow: the heaviest terms that are left when the lightest ones up
+to that length are taken away are key terms, of which one must be there; and as many different
+terms of the template must be there as its heaviest terms need to hold that length. A file
+without a licence of its own takes that of the nearest directory above it that has a licence file.
 """
 
 from __future__ import annotations
 
 import math
+from collections import Counter
+from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import stored, table
 
-#: Licences and notices that name them.
-TEMPLATES = [
+#: Licences and notices that name them, as a line or a header of several.
+NOTICES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0"),
     ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
+    (
+        "Apache-2.0",
+        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. '
+        "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
+    ),
     ("MIT", "Released under the MIT License"),
     ("MIT", "Licensed under the MIT license"),
     ("MIT", "SPDX-License-Identifier: MIT"),
+    (
+        "MIT",
+        'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), '
+        "to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, "
+        "and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
+    ),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3"),
     ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0-or-later"),
+    (
+        "GPL-3.0",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
+        "the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    ),
     ("GPL-2.0", "This program is licensed under the GNU General Public License, version 2"),
+    (
+        "GPL-2.0",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
+        "the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    ),
     ("LGPL-3.0", "Licensed under the GNU Lesser General Public License, version 3"),
     ("AGPL-3.0", "Licensed under the GNU Affero General Public License, version 3"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
@@ -37,88 +65,153 @@ TEMPLATES = [
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0"),
     ("CC0-1.0", "Released into the public domain under CC0 1.0"),
 ]
+#: Full texts by licence, a file each.
+TEXTS = [(p.stem, p.read_text("utf-8")) for p in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))]
+#: A template's kind, licence and text.
+TEMPLATES = [("header", *t) for t in NOTICES] + [("file", *t) for t in TEXTS]
 SPLIT = "[^a-z0-9]+"
+#: Numbers of neighbouring lines that are compared as one header.
+RUNS = (1, 2, 3, 4, 5, 6, 8)
 LICENCE_FILE = r"(?i)^(licen[cs]e|copying|notice)(\.[a-z]+)?$"
 LEAST = 0.8
-_TAKEN = ("own_license", "score", "license", "from_dir", "row", "dir", "near_dir", "near_license")
+_RESULT = ("own_license", "score", "license", "from_dir")
 
 
 def _terms(text: str) -> dict[str, int]:
-    out: dict[str, int] = {}
-    for w in "".join(c if c.isascii() and c.isalnum() else " " for c in text.lower()).split():
-        out[w] = out.get(w, 0) + 1
-    return out
+    return Counter("".join(c if c.isascii() and c.isalnum() else " " for c in text.lower()).split())
+
+
+def _list(terms: list[str]) -> Column:
+    """A constant array; one expression, as thousands of literals would take the optimizer seconds."""
+    return F.split(F.lit(" ".join(terms)), " ")
 
 
 def frequencies(files: DataFrame, vocabulary: list[str]) -> tuple[int, dict[str, int]]:
     """The number of files, and of files that hold each term: as many numbers as the templates have terms."""
-    found = F.array_intersect(F.split(F.lower("text"), SPLIT), F.array(*map(F.lit, vocabulary)))
+    found = F.array_intersect(F.split(F.lower("text"), SPLIT), _list(vocabulary))
     seen = files.where("text is not null").select(F.explode(found).alias("term")).groupBy("term").count()
     return files.count(), {r.term: r["count"] for r in seen.collect()}
 
 
-def headers(files: DataFrame, least: float = LEAST) -> DataFrame:
-    """(row, license, score) of the files with a line at a cosine of ``least`` or more to a template.
+def _weights(idf: dict[str, float]) -> list[dict[str, float]]:
+    """Each template's unit vector."""
+    out = []
+    for *_, text in TEMPLATES:
+        raw = {w: (1 + math.log(k)) * idf[w] for w, k in _terms(text).items()}
+        length = math.sqrt(sum(x * x for x in raw.values()))
+        out.append({w: x / length for w, x in raw.items()})
+    return out
+
+
+def _key_terms(vector: dict[str, float], least: float) -> set[str]:
+    """Terms of which a part at a cosine of ``least`` has one at least."""
+    light, keys = 0.0, set()
+    for x, w in sorted((x, w) for w, x in vector.items()):
+        light += x * x
+        if light >= least * least - 1e-9:
+            keys.add(w)
+    return keys
+
+
+def _fewest_terms(vector: dict[str, float], least: float) -> int:
+    """How many different terms of the template a part at a cosine of ``least`` has at least."""
+    heavy, n = 0.0, 0
+    for x in sorted(vector.values(), reverse=True):
+        heavy, n = heavy + x * x, n + 1
+        if heavy >= least * least - 1e-9:
+            break
+    return n
+
+
+def parts(vectors: list[dict[str, float]], least: float = LEAST) -> Column:
+    """Array of (kind, part) of a column ``text``: the parts that the prefilters leave."""
 
-    The best line counts; ties go to the first licence by name. Equal lines are scored once.
+    def named(kind: str) -> str:
+        keys = set().union(*(_key_terms(v, least) for (k, *_), v in zip(TEMPLATES, vectors) if k == kind))
+        return r"(?i)(?<![a-z0-9])(" + "|".join(sorted(keys)) + r")(?![a-z0-9])"
+
+    def enough(kind: str, part: Column) -> Column:
+        words = F.array_distinct(F.split(F.lower(part), SPLIT))
+        tests = [F.size(F.array_intersect(words, _list(sorted(v)))) >= _fewest_terms(v, least) for (k, *_), v in zip(TEMPLATES, vectors) if k == kind]
+        out = tests[0]
+        for t in tests[1:]:
+            out = out | t
+        return out
+
+    part = lambda kind, text: F.struct(F.lit(kind).alias("kind"), text.alias("part"))
+    none = F.array().cast("array<struct<kind: string, part: string>>")
+    lines = F.split("text", "\n")
+    # a line's number and the line, where it has a key term
+    hits = F.filter(F.transform(lines, lambda x, i: F.struct(i.alias("i"), x.alias("x"))), lambda h: h["x"].rlike(named("header")))
+
+    def run(k: int) -> Column:
+        """All runs of k lines that have a line with a key term."""
+        starts = F.array_distinct(F.flatten(F.transform(hits, lambda h: F.sequence(h["i"] - (k - 1), h["i"]))))
+        starts = F.filter(starts, lambda i: (i >= 0) & (i + k <= F.size(lines)))
+        return F.transform(starts, lambda i: F.array_join(F.slice(lines, i + 1, k), "\n"))
+
+    headers = F.filter(F.array_distinct(F.concat(*map(run, RUNS))), lambda x: enough("header", x))
+    headers = F.when(F.col("text").rlike(named("header")), F.transform(headers, lambda x: part("header", x))).otherwise(none)
+    whole = F.when(F.col("text").rlike(named("file")) & enough("file", F.col("text")), F.array(part("file", F.col("text")))).otherwise(none)
+    return F.when(F.col("text").isNotNull(), F.concat(headers, whole)).otherwise(none)
+
+
+def scored(found: DataFrame, idf: dict[str, float], vectors: list[dict[str, float]], n: int, least: float = LEAST) -> DataFrame:
+    """(row, license, score) of the rows of ``found`` (row, kind, part) with a part at a cosine of ``least`` or more.
+
+    The best part counts; ties go to the first licence by name. Equal parts are scored once.
     """
-    spark = files.sparkSession
-    texts = [(i, lic, _terms(t)) for i, (lic, t) in enumerate(TEMPLATES)]
-    vocabulary = sorted({w for *_, t in texts for w in t})
-    n, df = frequencies(files, vocabulary)
-    idf = {w: math.log((1 + n) / (1 + df.get(w, 0))) + 1 for w in vocabulary}
-    weights, keys = [], set()
-    for i, lic, t in texts:
-        length = math.sqrt(sum((k * idf[w]) ** 2 for w, k in t.items()))
-        own = sorted(((k * idf[w] / length, w) for w, k in t.items()))
-        weights += [(i, lic, w, x) for x, w in own]
-        light = 0.0
-        for x, w in own:
-            light += x * x
-            if light >= least * least - 1e-9:
-                keys.add(w)
-    key = r"(?i)(?<![a-z0-9])(" + "|".join(sorted(keys)) + r")(?![a-z0-9])"
-    lines = files.where(F.col("text").rlike(key)).select("row", F.explode(F.split("text", "\n")).alias("line")).where(F.col("line").rlike(key))
-    lines = stored(lines.distinct())
-    counts = lines.select("line").distinct().select("line", F.explode(F.split(F.lower("line"), SPLIT)).alias("term")).where("term <> ''")
-    counts = counts.groupBy("line", "term").agg(F.count(F.lit(1)).alias("tf"))
+    spark = found.sparkSession
+    counts = found.select("kind", "part").distinct().select("kind", "part", F.explode(F.split(F.lower("part"), SPLIT)).alias("term")).where("term <> ''")
+    counts = counts.groupBy("kind", "part", "term").agg((1 + F.log(F.count(F.lit(1)))).alias("tf"))
     # both tables below are the templates', so their size is fixed
     rarity = F.broadcast(spark.createDataFrame(list(idf.items()), "term string, idf double"))
-    wanted = F.broadcast(spark.createDataFrame(weights, "template int, license string, term string, weight double"))
+    rows = [(i, kind, lic, w, x) for i, ((kind, lic, _), v) in enumerate(zip(TEMPLATES, vectors)) for w, x in v.items()]
+    wanted = F.broadcast(spark.createDataFrame(rows, "template int, kind string, license string, term string, weight double"))
     weighed = counts.join(rarity, "term", "left").withColumn("x", F.col("tf") * F.coalesce("idf", F.lit(math.log(1 + n) + 1)))
-    length = weighed.groupBy("line").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("length"))
-    dots = weighed.join(wanted, "term").groupBy("line", "template", "license").agg(F.sum(F.col("x") * F.col("weight")).alias("dot"))
-    scores = dots.join(length, "line").withColumn("score", F.round(F.col("dot") / F.col("length"), 6)).where(F.col("score") >= least)
-    best = scores.groupBy("line").agg(F.min(F.struct((-F.col("score")).alias("minus"), "license")).alias("best"))
-    hits = lines.join(best, "line")
+    length = weighed.groupBy("kind", "part").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("length"))
+    dots = weighed.join(wanted, ["kind", "term"]).groupBy("kind", "part", "template", "license").agg(F.sum(F.col("x") * F.col("weight")).alias("dot"))
+    scores = dots.join(length, ["kind", "part"]).withColumn("score", F.round(F.col("dot") / F.col("length"), 6)).where(F.col("score") >= least)
+    best = scores.groupBy("kind", "part").agg(F.min(F.struct((-F.col("score")).alias("minus"), "license")).alias("best"))
+    hits = found.join(best, ["kind", "part"])
     return hits.groupBy("row").agg(F.min("best").alias("best")).select("row", F.col("best.license").alias("license"), (-F.col("best.minus")).alias("score"))
 
 
 def scan(files: DataFrame, least: float = LEAST) -> DataFrame:
     """Columns of ``files`` but text, with own_license, score, license and from_dir.
 
-    ``files`` has path and text. A file named LICENSE, COPYING or NOTICE with a header is its
+    ``files`` has path and text. A file named LICENSE, COPYING or NOTICE with a licence is its
     directory's licence (several: the first by score, then by name). ``license`` is the file's
     own or else that of the nearest directory upward, from_dir names it. Null text has no
-    header; a null path has no directory; files with the same path stay apart. Columns of
-    ``files`` with names of the result's or of ``_TAKEN`` are replaced.
+    licence; a null path has no directory; files with the same path stay apart. Columns of
+    ``files`` with names of the result's are kept as given_<name>. Texts are read twice, for
+    the document frequencies and for the parts, and written nowhere.
     """
-    rows = stored(files.drop(*_TAKEN).withColumn("row", F.monotonically_increasing_id()))
-    own = stored(headers(rows, least))
+    vocabulary = sorted({w for *_, t in TEMPLATES for w in _terms(t)})
+    n, df = frequencies(files, vocabulary)
+    idf = {w: math.log((1 + n) / (1 + df.get(w, 0))) + 1 for w in vocabulary}
+    vectors = _weights(idf)
+    files = files.withColumnsRenamed({c: f"given_{c}" for c in files.columns if c in _RESULT})
+    rest = [c for c in files.columns if c not in ("path", "text")]
+    one = files.select(F.struct("path", *rest).alias("file"), "path", parts(vectors, least).alias("parts"))
+    one = stored(one.select(F.monotonically_increasing_id().alias("row"), "file", "path", "parts"), "zstd")
+    found = one.where(F.size("parts") > 0).select("row", F.explode("parts").alias("p")).select("row", "p.kind", "p.part")
+    own = stored(scored(found, idf, vectors, n, least))
     folder = F.when(F.col("path").contains("/"), F.regexp_replace("path", "/[^/]*$", "")).when(F.col("path").isNotNull(), "")
-    kept = rows.drop("text").withColumn("dir", folder).join(own, "row", "left").withColumnRenamed("license", "own_license")
+    kept = one.select("row", "file", "path", folder.alias("dir")).join(own.withColumnRenamed("license", "own_license"), "row", "left")
     named = F.regexp_extract("path", "([^/]*)$", 1).rlike(LICENCE_FILE)
     given = kept.where(named & F.col("own_license").isNotNull()).groupBy("dir").agg(F.min(F.struct((-F.col("score")).alias("minus"), "own_license")).alias("best"))
-    given = given.select(F.col("dir").alias("from_dir"), F.col("best.own_license").alias("from_license"))
+    given = given.select(F.col("dir").alias("near_dir"), F.col("best.own_license").alias("near_license"))
     # directories stand for their files: a directory with most files is one row here
     dirs = kept.select("dir").where("dir is not null").distinct()
-    parts = F.split("dir", "/")
-    up = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, 1, k), "/"))
-    above = dirs.select("dir", F.posexplode(F.concat(F.array(F.lit("")), up)).alias("depth", "from_dir"))
-    near = above.join(given, "from_dir").groupBy("dir").agg(F.max(F.struct("depth", "from_dir", "from_license")).alias("near"))
-    out = kept.join(near.select("dir", F.col("near.from_dir").alias("near_dir"), F.col("near.from_license").alias("near_license")), "dir", "left")
-    out = out.withColumn("license", F.coalesce("own_license", "near_license")).withColumn("from_dir", F.when(F.col("own_license").isNull(), F.col("near_dir")))
-    return out.drop("row", "dir", "near_dir", "near_license")
+    steps = F.split("dir", "/")
+    up = F.transform(F.sequence(F.lit(1), F.size(steps)), lambda k: F.array_join(F.slice(steps, 1, k), "/"))
+    above = dirs.select("dir", F.posexplode(F.concat(F.array(F.lit("")), up)).alias("depth", "near_dir"))
+    near = above.join(given, "near_dir").groupBy("dir").agg(F.max(F.struct("depth", "near_dir", "near_license")).alias("near"))
+    out = kept.join(near, "dir", "left")
+    inherited = F.when(F.col("own_license").isNull(), F.col("near.near_dir"))
+    columns = [F.col("file")[c].alias(c) for c in files.columns if c != "text"]
+    return out.select(*columns, "own_license", "score", F.coalesce("own_license", F.col("near.near_license")).alias("license"), inherited.alias("from_dir"))
 
 
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,36 +227,38 @@ def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _oracle() -> str:
-    values = ", ".join(f"({i}, '{lic}', '{t}')" for i, (lic, t) in enumerate(TEMPLATES))
+    counts = ", ".join(f"({i}, '{kind}', '{lic}', '{w}', {k})" for i, (kind, lic, t) in enumerate(TEMPLATES) for w, k in _terms(t).items())
+    runs = ", ".join(f"({k})" for k in RUNS)
     return rf"""
 WITH f AS (
   SELECT doc_id, text, coalesce(source, 'none') || '/d' || (doc_id // 4096) AS top,
          CASE WHEN doc_id % 4096 = 0 THEN top || '/LICENSE' WHEN doc_id % 64 = 0 THEN top || '/e' || (doc_id // 64) || '/LICENSE'
               ELSE top || '/e' || (doc_id // 64) || '/' || doc_id || '.txt' END AS path
   FROM documents),
-tt AS (SELECT * FROM (VALUES {values}) v(template, license, t)),
-tc AS (
-  SELECT template, license, term, count(*) AS tf FROM (
-    SELECT template, license, unnest(regexp_split_to_array(lower(t), '{SPLIT}')) AS term FROM tt) WHERE term <> '' GROUP BY ALL),
+tc AS (SELECT * FROM (VALUES {counts}) v(template, kind, license, term, n)),
 n AS (SELECT count(*) AS n FROM f),
 dw AS (
   SELECT term, count(*) AS df FROM (
     SELECT unnest(list_distinct(regexp_split_to_array(lower(text), '{SPLIT}'))) AS term FROM f) WHERE term IN (SELECT term FROM tc) GROUP BY term),
 idf AS (SELECT term, ln((1 + n) / (1 + coalesce(df, 0))) + 1 AS idf FROM (SELECT DISTINCT term FROM tc) LEFT JOIN dw USING (term), n),
-tw AS (
-  SELECT template, license, term, tf * idf / sqrt(sum((tf * idf) * (tf * idf)) OVER (PARTITION BY template)) AS weight FROM tc JOIN idf USING (term)),
-l AS (SELECT DISTINCT doc_id, line FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM f)),
+tr AS (SELECT template, kind, license, term, (1 + ln(tc.n)) * idf AS raw FROM tc JOIN idf USING (term)),
+tw AS (SELECT *, raw / sqrt(sum(raw * raw) OVER (PARTITION BY template)) AS weight FROM tr),
+s AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM f WHERE text IS NOT NULL),
+l AS (
+  SELECT DISTINCT doc_id, 'header' AS kind, array_to_string(lines[i:i + k - 1], chr(10)) AS part
+  FROM (SELECT doc_id, lines, k, unnest(range(1, (len(lines) - k + 2)::BIGINT)) AS i FROM s, (VALUES {runs}) r(k))
+  UNION ALL SELECT doc_id, 'file', text FROM f WHERE text IS NOT NULL),
 lc AS (
-  SELECT line, term, count(*) AS tf FROM (
-    SELECT line, unnest(regexp_split_to_array(lower(line), '{SPLIT}')) AS term FROM (SELECT DISTINCT line FROM l)) WHERE term <> '' GROUP BY ALL),
-lw AS (SELECT line, lc.term, tf * coalesce(idf, ln(1 + n) + 1) AS x FROM lc LEFT JOIN idf ON lc.term = idf.term, n),
-ln AS (SELECT line, sqrt(sum(x * x)) AS length FROM lw GROUP BY line),
+  SELECT kind, part, term, 1 + ln(count(*)) AS tf FROM (
+    SELECT kind, part, unnest(regexp_split_to_array(lower(part), '{SPLIT}')) AS term FROM (SELECT DISTINCT kind, part FROM l)) WHERE term <> '' GROUP BY ALL),
+lw AS (SELECT kind, part, lc.term, tf * coalesce(idf, ln(1 + n) + 1) AS x FROM lc LEFT JOIN idf ON lc.term = idf.term, n),
+ln AS (SELECT kind, part, sqrt(sum(x * x)) AS length FROM lw GROUP BY ALL),
 sc AS (
-  SELECT line, license, round(dot / length, 6) AS score FROM (
-    SELECT line, template, license, sum(x * weight) AS dot FROM lw JOIN tw USING (term) GROUP BY ALL) JOIN ln USING (line)),
+  SELECT kind, part, license, round(dot / length, 6) AS score FROM (
+    SELECT kind, part, template, license, sum(x * weight) AS dot FROM lw JOIN tw USING (kind, term) GROUP BY ALL) JOIN ln USING (kind, part)),
 own AS (
   SELECT doc_id, first(license ORDER BY score DESC, license) AS own_license, max(score) AS score
-  FROM l JOIN sc USING (line) WHERE score >= {LEAST} GROUP BY doc_id),
+  FROM l JOIN sc USING (kind, part) WHERE score >= {LEAST} GROUP BY doc_id),
 k AS (SELECT f.doc_id, path, regexp_replace(path, '/[^/]*$', '') AS dir, own_license, score FROM f LEFT JOIN own USING (doc_id)),
 g AS (
   SELECT dir AS from_dir, first(own_license ORDER BY score DESC, own_license) AS from_license

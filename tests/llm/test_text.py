@@ -1,6 +1,7 @@
 import hashlib
 import os
 import re
+import textwrap
 import time
 from collections import Counter
 
@@ -283,3 +284,18 @@ def test_license_scan(spark):
     assert licenses.scan(files).count() == len(data) and licenses.scan(files.limit(0)).count() == 0
     root = files.select("path", "text").union(spark.createDataFrame([("LICENSE", mit)], "path string, text string"))
     assert {r.license for r in licenses.scan(root).where("own_license is null and path is not null and path not like 'p/q%' ").collect()} == {"MIT"}
+    assert {r.given_license for r in licenses.scan(files).collect()} == {"c"}  # given columns are kept
+
+
+def test_licence_files_and_wrapped_headers(spark):
+    texts = dict(licenses.TEXTS)
+    comment = lambda t, lead, width: "\n".join(lead + x for x in textwrap.wrap(t, width))
+    header = {lic: t for lic, t in licenses.NOTICES if len(t) > 150}
+    code = "\nimport sys\n\ndef main(argv):\n    return len(argv)\n"
+    data = [(f"{lic}/LICENSE", t.replace("<year> <copyright holders>", "2021 Ada Example and contributors").replace("copyright holder", "copyright owner"), lic) for lic, t in texts.items()]
+    data += [(f"{lic}/src/x.py", code, None) for lic in texts]
+    data += [(f"w/{lic}{k}.c", f"// Copyright 2020 Somebody\n//\n{comment(t, lead, width)}\n{code}", lic) for lic, t in header.items() for k, (lead, width) in enumerate([("// ", 72), (" * ", 100), ("# ", 60)])]
+    data += [("n/a.txt", "The license of this software is a matter of taste.\n" * 40, None), ("n/LICENSE", "All rights reserved, and more of the kind.", None)]
+    got = {r.path: r for r in licenses.scan(spark.createDataFrame([d[:2] for d in data], "path string, text string")).collect()}
+    assert {p: got[p].own_license for p, _, _ in data} == {p: lic for p, _, lic in data}
+    assert all(got[f"{lic}/src/x.py"].license == lic and got[f"{lic}/src/x.py"].from_dir == lic for lic in texts) and got["n/a.txt"].license is None
