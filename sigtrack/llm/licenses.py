@@ -162,18 +162,20 @@ def scored(found: DataFrame, idf: dict[str, float], vectors: list[dict[str, floa
     The best part counts; ties go to the first licence by name. Equal parts are scored once.
     """
     spark = found.sparkSession
-    counts = found.select("kind", "part").distinct().select("kind", "part", F.explode(F.split(F.lower("part"), SPLIT)).alias("term")).where("term <> ''")
-    counts = counts.groupBy("kind", "part", "term").agg((1 + F.log(F.count(F.lit(1)))).alias("tf"))
+    # 128 bits stand for a part where its terms are counted: a row per term with the whole part would spill
+    found = found.withColumn("id", F.md5(F.col("part").cast("binary")))
+    counts = found.groupBy("kind", "id").agg(F.first("part").alias("part")).select("kind", "id", F.explode(F.split(F.lower("part"), SPLIT)).alias("term")).where("term <> ''")
+    counts = counts.groupBy("kind", "id", "term").agg((1 + F.log(F.count(F.lit(1)))).alias("tf"))
     # both tables below are the templates', so their size is fixed
     rarity = F.broadcast(spark.createDataFrame(list(idf.items()), "term string, idf double"))
     rows = [(i, kind, lic, w, x) for i, ((kind, lic, _), v) in enumerate(zip(TEMPLATES, vectors)) for w, x in v.items()]
     wanted = F.broadcast(spark.createDataFrame(rows, "template int, kind string, license string, term string, weight double"))
     weighed = counts.join(rarity, "term", "left").withColumn("x", F.col("tf") * F.coalesce("idf", F.lit(math.log(1 + n) + 1)))
-    length = weighed.groupBy("kind", "part").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("length"))
-    dots = weighed.join(wanted, ["kind", "term"]).groupBy("kind", "part", "template", "license").agg(F.sum(F.col("x") * F.col("weight")).alias("dot"))
-    scores = dots.join(length, ["kind", "part"]).withColumn("score", F.round(F.col("dot") / F.col("length"), 6)).where(F.col("score") >= least)
-    best = scores.groupBy("kind", "part").agg(F.min(F.struct((-F.col("score")).alias("minus"), "license")).alias("best"))
-    hits = found.join(best, ["kind", "part"])
+    length = weighed.groupBy("kind", "id").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("length"))
+    dots = weighed.join(wanted, ["kind", "term"]).groupBy("kind", "id", "template", "license").agg(F.sum(F.col("x") * F.col("weight")).alias("dot"))
+    scores = dots.join(length, ["kind", "id"]).withColumn("score", F.round(F.col("dot") / F.col("length"), 6)).where(F.col("score") >= least)
+    best = scores.groupBy("kind", "id").agg(F.min(F.struct((-F.col("score")).alias("minus"), "license")).alias("best"))
+    hits = found.select("row", "kind", "id").join(best, ["kind", "id"])
     return hits.groupBy("row").agg(F.min("best").alias("best")).select("row", F.col("best.license").alias("license"), (-F.col("best.minus")).alias("score"))
 
 
