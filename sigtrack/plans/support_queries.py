@@ -176,8 +176,7 @@ def _stream(t: Tables, stats, columns: list[str], width: int) -> DataFrame:
     view = Tables(spark, t.sf_dir)
     view.table = lambda name: spark.readStream.schema(schema).parquet(folder)
     rows = view.obs().select(*columns, F.col("pos").alias("read_start"))
-    root = (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file:/tmp/sigtrack-checkpoints").rstrip("/")
-    return stream_stats(rows, f"{root}/stream-{uuid.uuid4().hex}", stats, ["sample", "chrom", "strand"], width)
+    return stream_stats(rows, shared_dir(spark), stats, ["sample", "chrom", "strand"], width)
 
 
 @query("str01_signal_stream", "obs", f"""SELECT sample, chrom, pos, strand, cov, round(mean_deviation, 9) AS mean_deviation, {_Q} FROM (
