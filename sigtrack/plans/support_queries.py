@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import sequence as S
 from ..operators import calls, correlation, demux, kmer, perbase, planning, qc, reactivity, reads, windows
 from ..sources import tables
+from ..storage import shared_dir
 from ..streaming.positions import stream_stats
 from .queries import _Q, _react, _scored, _significant, _stats, query, r6
 from .views import Tables
