@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
-from .wordbpe import encoded, tokenizer_path
+from .wordbpe import CACHE_WORDS, encoded, tokenizer_path
 
 TOKENIZER, END_ID, LENGTH = "word_bpe_49k.json", 2, 4096
 
@@ -91,7 +91,7 @@ def pack_group(rows: list[tuple[int, int]], length: int) -> list[tuple[int, int,
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
-def tokenized(docs: DataFrame, tokenizer: str, end_id: int, segment: int) -> DataFrame:
+def tokenized(docs: DataFrame, tokenizer: str, end_id: int, segment: int, cache_words: int = CACHE_WORDS) -> DataFrame:
     """doc_id, start, doc_tokens, width and ids (little-endian, 16 or 32 bits each) in runs of at most ``segment`` ids,
     and ``copy``, how many rows of the same batch before it have the doc_id."""
 
@@ -99,7 +99,7 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int, segment: int) -> Dat
         path = tokenizer_path(tokenizer)
         for frame in frames:
             rows, seen = [], Counter()
-            for doc, ids in zip(frame.column(0).to_pylist(), encoded(path, frame.column(1).to_pylist(), end_id)):
+            for doc, ids in zip(frame.column(0).to_pylist(), encoded(path, frame.column(1).to_pylist(), end_id, cache_words)):
                 rows += [(doc, a, len(ids), ids.itemsize, ids[a : a + segment].tobytes(), seen[doc]) for a in range(0, len(ids), segment)]
                 seen[doc] += 1
             columns = list(zip(*rows)) or [()] * 6
@@ -110,18 +110,19 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int, segment: int) -> Dat
 
 
 def pack(
-    docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int = END_ID, length: int = LENGTH, group_docs: int = 1024, group_bytes: int = 16 << 20, seed: int = 7
+    docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int = END_ID, length: int = LENGTH, group_docs: int = 1024, group_bytes: int = 16 << 20, seed: int = 7, cache_words: int = CACHE_WORDS
 ) -> DataFrame:
     """Pieces of all documents, with their ids as 32-bit integers.
 
     Runs are dealt to groups by a hash of doc_id, start, ``copy`` and ``seed``: rows that repeat a
     doc_id or have none are documents of their own and spread over the groups like others. Null
     text counts as empty: one sequence piece with the end id. An empty table gives no rows;
-    further columns are left alone. ``docs`` is a table, or rows whose order a repeated task keeps.
+    further columns are left alone. ``cache_words`` bounds a Python worker's memory of words.
+    ``docs`` is a table, or rows whose order a repeated task keeps.
     """
     size = docs.agg(F.count(F.lit(1)).alias("docs"), F.sum(F.octet_length("text")).alias("bytes")).first()
     groups = max(1, -(-size.docs // group_docs), -(-(size.bytes or 0) // group_bytes))
-    runs = tokenized(docs, tokenizer, end_id, 16 * length)
+    runs = tokenized(docs, tokenizer, end_id, 16 * length, cache_words)
 
     def pack_rows(key: tuple, rows: pa.Table) -> pa.Table:
         rows = rows.sort_by([("doc_id", "ascending"), ("start", "ascending"), ("ids", "ascending")])

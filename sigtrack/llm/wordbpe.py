@@ -17,6 +17,8 @@ import numpy as np
 
 from .common import held
 
+#: Words that an encoder remembers; about 300 bytes each.
+CACHE_WORDS = 1_000_000
 #: Words of these characters have no NFC changes and no white space but the usual.
 _PLAIN = r"[!-~À-ÖØ-öø-ÿ]+"
 #: Python's str.split() also splits at these; Unicode's White_Space does not hold them.
@@ -77,7 +79,7 @@ class Encoder:
     ``cache_words`` bounds the memory: a full cache is dropped and built anew.
     """
 
-    def __init__(self, path: str, cache_words: int = 1_000_000):
+    def __init__(self, path: str, cache_words: int = CACHE_WORDS):
         import regex
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -180,9 +182,9 @@ class Encoder:
         return np.concatenate(out), np.fromiter(map(len, out), np.int64, len(out))
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, cache_words: int = CACHE_WORDS) -> Encoder:
     """This Python worker's encoder for a file."""
-    return held(("encoder", path), lambda: Encoder(path))
+    return held(("encoder", path, cache_words), lambda: Encoder(path, cache_words))
 
 
 def batches(texts: list[str], chars: int = 1_000_000) -> Iterator[tuple[int, int]]:
@@ -197,9 +199,9 @@ def batches(texts: list[str], chars: int = 1_000_000) -> Iterator[tuple[int, int
         yield first, len(texts)
 
 
-def encoded(path: str, texts: Iterable[str | None], end_id: int) -> Iterator[np.ndarray]:
+def encoded(path: str, texts: Iterable[str | None], end_id: int, cache_words: int = CACHE_WORDS) -> Iterator[np.ndarray]:
     """Each text's ids with ``end_id`` behind them; a null text has that id only."""
-    texts, enc = ["" if t is None else t for t in texts], encoder(path)
+    texts, enc = ["" if t is None else t for t in texts], encoder(path, cache_words)
     for a, b in batches(texts):
         flat, lengths = enc.encode(texts[a:b])
         stops = np.cumsum(lengths)
