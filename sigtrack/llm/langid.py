@@ -89,7 +89,7 @@ class Model:
 class Scorer:
     """Word scores of one model, looked up once for each distinct word; a full cache is dropped."""
 
-    def __init__(self, model: Model, cache_words: int = 300_000):
+    def __init__(self, model: Model, cache_words: int = 150_000):
         self.model, self.cache_words = model, cache_words
         self._drop()
 
