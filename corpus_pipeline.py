@@ -30,7 +30,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of 4096 tokens, with their ids. Workers that all stages use keep fewer words in memory."""
-    return packing.with_checksum(packing.pack(docs, cache_words=400_000), "ids")
+    return packing.with_checksum(packing.pack(docs, cache_words=150_000), "ids")
 
 
 STAGES = [
