@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .running import ordered_sum
+
 
 def genome_offsets(genome: DataFrame) -> DataFrame:
     """Positions before each contig in the genome's order: a row per contig."""
@@ -25,17 +27,17 @@ def sampled_positions(genome: DataFrame, n: int, seed: int = 1) -> DataFrame:
     return hit.select("id", "chrom", (F.col("at") - F.col("offset") + 1).alias("pos"))
 
 
-def at_positions(positions: DataFrame, a: DataFrame, b: DataFrame, value: str) -> DataFrame:
+def at_positions(positions: DataFrame, a: DataFrame, b: DataFrame, value: str, keys: list[str] = ["chrom", "pos"]) -> DataFrame:
     """Values and coverages of two tracks at given positions; a position drawn twice stays twice."""
-    side = lambda df, i: df.select("chrom", "pos", F.col("cov").alias(f"cov_{i}"), F.col(value).alias(f"value_{i}"))
-    return positions.join(side(a, 1), ["chrom", "pos"], "left").join(side(b, 2), ["chrom", "pos"], "left")
+    side = lambda df, i: df.select(*keys, F.col("cov").alias(f"cov_{i}"), F.col(value).alias(f"value_{i}"))
+    return positions.join(side(a, 1), keys, "left").join(side(b, 2), keys, "left")
 
 
 def average_rank(rows: DataFrame, value: str, by: list[str], name: str) -> DataFrame:
     """Ranks within ``by``, ties at their mean; values are counted first, then ranked."""
     counts = rows.groupBy(*by, value).agg(F.count(F.lit(1)).alias("ties_"))
-    before = Window.partitionBy(*by).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    ranks = counts.withColumn(name, F.coalesce(F.sum("ties_").over(before), F.lit(0)) + (F.col("ties_") + 1) / 2).drop("ties_")
+    upto = ordered_sum(counts, by, value, "ties_", name="upto_")
+    ranks = upto.withColumn(name, F.col("upto_") - F.col("ties_") + (F.col("ties_") + 1) / 2).drop("ties_", "upto_")
     return rows.join(ranks, [*by, value])
 
 

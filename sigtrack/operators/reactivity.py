@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .running import group_quantiles
+
 SENTINEL = 999999.0
 LEVELS = {"p05": 0.95, "p01": 0.99, "p001": 0.999, "p0001": 0.9999}
 KEYS = ["chrom", "pos", "strand"]
@@ -55,8 +57,8 @@ def repeated_positions(track: DataFrame, keys: list[str] = KEYS) -> DataFrame:
 
 def null_thresholds(track: DataFrame, by: list[str] = ["chrom", "strand"]) -> DataFrame:
     """Quantiles of the negative reactivities' size, the empirical null; no row where there is none."""
-    size = scored(track).where("reactivity < 0").groupBy(*by).agg(F.percentile(-F.col("reactivity"), [*LEVELS.values()]).alias("q"))
-    return size.select(*by, *(F.col("q")[i].alias(k) for i, k in enumerate(LEVELS)))
+    size = scored(track).where("reactivity < 0").select(*by, (-F.col("reactivity")).alias("size_"))
+    return group_quantiles(size, by, "size_", LEVELS)
 
 
 def significant(track: DataFrame, thresholds: DataFrame, level: str = "p05", by: list[str] = ["chrom", "strand"]) -> DataFrame:

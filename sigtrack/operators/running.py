@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..storage import stored
+
 
 def running_sum(rows: DataFrame, by: list[str], pos: str, value: str, *, width: int = 1 << 16, name: str = "running") -> DataFrame:
     """Sum of ``value`` up to and including each row, by ``pos`` within ``by``.
@@ -20,6 +24,40 @@ def running_sum(rows: DataFrame, by: list[str], pos: str, value: str, *, width:
     return inside.join(whole, [*by, "bin_"]).withColumn(name, F.col("before_") + F.col("inside_")).drop("bin_", "before_", "inside_")
 
 
+def ordered_sum(rows: DataFrame, by: list[str], order: str, value: str, *, name: str = "running") -> DataFrame:
+    """Sum of ``value`` up to and including each row, by ``order`` of any type within ``by``.
+
+    Rows are dealt by ranges of (by, order) and written, so that ranges stay as they are; sums of
+    ranges are run up first, then rows within a range: no group is one task.
+    """
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = stored(rows.repartitionByRange(n, *by, order).withColumn("part_", F.spark_partition_id()))
+    whole = dealt.groupBy(*by, "part_").agg(F.sum(value).alias("part_sum_"))
+    before = Window.partitionBy(*by).orderBy("part_").rowsBetween(Window.unboundedPreceding, -1)
+    whole = whole.withColumn("before_", F.coalesce(F.sum("part_sum_").over(before), F.lit(0))).drop("part_sum_")
+    within = Window.partitionBy(*by, "part_").orderBy(order).rangeBetween(Window.unboundedPreceding, 0)
+    inside = dealt.withColumn("inside_", F.sum(value).over(within))
+    return inside.join(whole, [*by, "part_"]).withColumn(name, F.col("before_") + F.col("inside_")).drop("part_", "before_", "inside_")
+
+
+def group_quantiles(rows: DataFrame, by: list[str], value: str, levels: Mapping[str, float]) -> DataFrame:
+    """Exact quantiles with linear interpolation by group, a column for each of ``levels``; nulls do not count.
+
+    Values are counted first; a quantile is then the least value that enough others do not exceed.
+    So neither a group's values nor its value counts meet in one task, as they do in ``percentile``.
+    """
+    counts = rows.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).cast("double").alias("x_")).agg(F.count(F.lit(1)).alias("n_"))
+    upto = ordered_sum(counts, by, "x_", "n_", name="upto_")
+    last = upto.groupBy(*by).agg(F.max("upto_").alias("all_"))  # a row per group
+    h = {k: (F.col("all_") - 1) * F.lit(float(q)) for k, q in levels.items()}
+    least = lambda k: F.min(F.when(F.col("upto_") > k, F.col("x_")))
+    ends = [least(f(h[k])).alias(f"{s}_{k}") for k in levels for s, f in (("low", F.floor), ("high", F.ceil))]
+    found = upto.join(last, by).groupBy(*by, "all_").agg(*ends)
+    share = lambda k: h[k] - F.floor(h[k])
+    at = lambda k: (1 - share(k)) * F.col(f"low_{k}") + share(k) * F.col(f"high_{k}")
+    return found.select(*by, *(at(k).alias(k) for k in levels))
+
+
 def coverage_runs(intervals: DataFrame, by: list[str] = ["chrom"], *, width: int = 1 << 16) -> DataFrame:
     """Maximal intervals of equal depth above 0 of half-open intervals (by, start, end)."""
     edges = intervals.select(*by, F.explode(F.array(F.struct(F.col("start").alias("at"), F.lit(1).alias("step")), F.struct(F.col("end").alias("at"), F.lit(-1).alias("step")))).alias("e"))

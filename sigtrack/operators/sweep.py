@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .running import group_quantiles
+
 PARAMETERS = ["set", "backend", "mapq", "mad", "max_obs", "flank", "scale", "min_kmer_obs", "fisher_lag", "threshold"]
 
 
@@ -45,10 +47,13 @@ def unit_summary(joined: DataFrame, by: list[str], min_cov: int) -> DataFrame:
     # ties of the largest go to the first position
     best = F.max_by(F.struct("pos", "nt"), F.struct(F.col("reactivity"), -F.col("pos")))
     out = rows.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n"), F.median("cov_t").alias("median_cov_t"), F.median("cov_c").alias("median_cov_c"), F.avg("frac_c").alias("background"), F.avg("frac_t").alias("mean_frac_t"),
+        F.count(F.lit(1)).alias("n"), F.avg("frac_c").alias("background"), F.avg("frac_t").alias("mean_frac_t"),
         F.avg("reactivity").alias("mean_reactivity"), F.max("reactivity").alias("max_reactivity"), best.alias("best"), F.avg(F.when(t, F.col("reactivity"))).alias("mean_t"), F.avg(F.when(~t, F.col("reactivity"))).alias("mean_not_t"),
         F.count_if(t).alias("n_t"), F.stddev_samp("reactivity").alias("sd"),
     )
+    for side in ("t", "c"):
+        middle = group_quantiles(rows, by, f"cov_{side}", {f"median_cov_{side}": 0.5})
+        out = out.join(middle, by)
     reactive = rows.join(out.select(*by, "background"), by).groupBy(*by).agg(F.count_if(F.col("reactivity") > 3 * F.col("background")).alias("n_reactive"))
     every = joined.select(*by).distinct()
     out = every.join(out, by, "left").join(reactive, by, "left")

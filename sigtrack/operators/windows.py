@@ -37,10 +37,17 @@ def window_mean(scored: DataFrame, genome: DataFrame, width: int, *, by: list[st
     return _by_window(scored, genome, width, aggs, {"mean": 0.0, "n": 0}, by, scored)
 
 
-def gap_filled(track: DataFrame, genome: DataFrame) -> DataFrame:
-    """Every position of each chromosome, null where the track has no row."""
-    every = genome.where("size > 0").select("chrom", F.explode(F.sequence(F.lit(1).cast("long"), F.col("size").cast("long"))).alias("pos"))
-    return every.join(track, ["chrom", "pos"], "left")
+def gap_filled(track: DataFrame, genome: DataFrame, by: list[str] = [], width: int = 1 << 16) -> DataFrame:
+    """Every position of each chromosome (and of each combination ``by`` that the track has there), null where
+    the track has no row. Chromosomes unfold by cells of ``width`` positions, so none is one array."""
+    spans = genome.where("size > 0").select("chrom", F.col("size").cast("long").alias("size_"))
+    if by:
+        spans = spans.join(track.select("chrom", *by).distinct(), "chrom")
+    # the cells are spread over the tasks before they unfold
+    cells = spans.withColumn("cell_", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("size_") - 1) / width)))).repartition("chrom", *by, "cell_")
+    last = F.least(F.col("size_"), (F.col("cell_") + 1) * width)
+    every = cells.select("chrom", *by, F.explode(F.sequence(F.col("cell_") * width + 1, last)).alias("pos"))
+    return every.join(track, ["chrom", *by, "pos"], "left")
 
 
 def restricted(genome: DataFrame, track: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import sequence as S
 from ..functions import statistics as stat
 from ..operators import calls, correlation, demux, kmer, perbase, planning, profile, qc, reactivity, reads, running, sweep, windows
+from ..storage import stored
 from .views import Tables, with_views
 
 QUERIES: dict[str, Callable[[Tables], DataFrame]] = {}
@@ -42,8 +43,9 @@ def _stats(t: Tables, value: str = "e", **more) -> DataFrame:
 
 
 def _react(t: Tables) -> DataFrame:
-    s = _stats(t)
-    return reactivity.reactivity(s.where("sample = 'treatment'"), s.where("sample = 'control'"), "mean", min_cov=2)
+    # both sides, the chromosomes that they share and all that follows read the statistics, not the observations
+    s = stored(_stats(t).select("sample", "chrom", "pos", "strand", "cov", "mean"))
+    return stored(reactivity.reactivity(s.where("sample = 'treatment'"), s.where("sample = 'control'"), "mean", min_cov=2))
 
 
 def _significant(t: Tables) -> DataFrame:
@@ -64,13 +66,12 @@ def _(t):
 
 @query("agg03_grouped_quantiles", "obs", "SELECT chrom, sample, round(quantile_cont(level, 0.1), 6) AS q10, round(quantile_cont(level, 0.9), 6) AS q90 FROM obs GROUP BY ALL")
 def _(t):
-    out = t.obs().groupBy("chrom", "sample").agg(perbase.quantiles(F.col("level"), {"a": 0.1, "b": 0.9}).alias("q"))
-    return r6(out.select("chrom", "sample", F.col("q")[0].alias("q10"), F.col("q")[1].alias("q90")), "q10", "q90")
+    return r6(running.group_quantiles(t.obs(), ["chrom", "sample"], "level", {"q10": 0.1, "q90": 0.9}), "q10", "q90")
 
 
 @query("agg04_grouped_median", "obs", "SELECT chrom, strand, round(median(level), 6) AS median_level FROM obs GROUP BY ALL")
 def _(t):
-    return r6(t.obs().groupBy("chrom", "strand").agg(F.median("level").alias("median_level")), "median_level")
+    return r6(running.group_quantiles(t.obs(), ["chrom", "strand"], "level", {"median_level": 0.5}), "median_level")
 
 
 @query("flt06_min_coverage", "stats", "SELECT sample, chrom, pos, strand, cov, round(mean, 6) AS error FROM stats WHERE cov >= 3")
@@ -142,7 +143,7 @@ _SPINE = """AND spine AS (SELECT chrom, strand, s AS start, least(s + 100, size)
 w AS (SELECT chrom, strand, ((pos - 1) // 100) * 100 AS start, count(*) AS n, sum(reactivity) AS s FROM sig GROUP BY ALL)
 SELECT chrom, strand, start, "end", coalesce(n, 0) AS count, round(coalesce(s, 0), 6) AS sum FROM spine LEFT JOIN w USING (chrom, strand, start)""")
 def _(t):
-    return r6(windows.density(_significant(t), t.genome(), 100), "sum")
+    return r6(windows.density(stored(_significant(t)), stored(t.genome()), 100), "sum")
 
 
 @query("agg11_window_mean", "react genome", _SPINE.format(src="react WHERE status = 'both'") + """,
@@ -157,10 +158,12 @@ def _(t):
     return windows.spine(t.genome(), 64)
 
 
-@query("win08_gap_fill", "stats genome", """AND track AS (SELECT chrom, pos, cov FROM stats WHERE sample = 'treatment' AND strand = 'for')
-SELECT g.chrom, p AS pos, cov FROM genome g, (SELECT unnest(generate_series(1, (SELECT max(size) FROM genome))) AS p) LEFT JOIN track t ON t.chrom = g.chrom AND t.pos = p WHERE p <= size""")
+@query("win08_gap_fill", "stats genome", """AND u AS (SELECT DISTINCT sample, chrom, strand FROM stats),
+e AS (SELECT u.*, p AS pos FROM genome JOIN u USING (chrom), (SELECT unnest(generate_series(1, (SELECT max(size) FROM genome))) AS p) WHERE p <= size)
+SELECT e.sample, e.chrom, e.strand, e.pos, cov FROM e LEFT JOIN stats USING (sample, chrom, strand, pos)""")
 def _(t):
-    return windows.gap_filled(_stats(t).where("sample = 'treatment' and strand = 'for'").select("chrom", "pos", "cov"), t.genome())
+    track = stored(_stats(t).select("sample", "chrom", "strand", "pos", "cov"))
+    return windows.gap_filled(track, t.genome(), ["sample", "strand"], 256)
 
 
 @query("flt15_chrom_universe", "genome sig", "SELECT chrom, size FROM genome WHERE chrom IN (SELECT chrom FROM sig)")
@@ -199,7 +202,8 @@ def _(t):
 
 
 def _model(t: Tables) -> DataFrame:
-    return kmer.kmer_model(t.kmer_obs().where("sample = 'control'"), mad=1.5)
+    """A row per k-mer, stored: all who read it would fit it anew."""
+    return stored(kmer.kmer_model(t.kmer_obs().where("sample = 'control'"), mad=1.5))
 
 
 def _scored(t: Tables) -> DataFrame:
@@ -237,7 +241,7 @@ def _(t):
 SELECT chrom, pos, strand, t.cov AS cov_t, round(t.frac, 6) AS frac_t, c.cov AS cov_c, round(c.frac, 6) AS frac_c, round(t.frac - c.frac, 6) AS reactivity
 FROM (SELECT * FROM f WHERE sample = 'treatment') t JOIN (SELECT * FROM f WHERE sample = 'control') c USING (chrom, pos, strand)""")
 def _(t):
-    totals = calls.call_totals(_called(t))
+    totals = stored(calls.call_totals(_called(t)))
     return r6(reactivity.mod_reactivity(totals.where("sample = 'treatment'"), totals.where("sample = 'control'"), 3), "frac_t", "frac_c", "reactivity")
 
 
@@ -284,11 +288,12 @@ def _(t):
     return r6(calls.fisher_combined(_read_p(t), 200).select("read_id", "chrom", "pos", "combined"), "combined")
 
 
-@query("win02_clean_context", "obs", """AND r AS (SELECT sample AS read_id, chrom, pos, max((phred < 4)::INT) AS err FROM obs WHERE strand = 'for' GROUP BY ALL),
+@query("win02_clean_context", "obs", """AND r AS (SELECT sample || strand || supp AS read_id, chrom, pos, max((phred < 4)::INT) AS err FROM obs GROUP BY ALL),
 w AS (SELECT *, max(err) OVER (PARTITION BY read_id, chrom ORDER BY pos RANGE BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS near, min(pos) OVER (PARTITION BY read_id, chrom) AS lo, max(pos) OVER (PARTITION BY read_id, chrom) AS hi FROM r)
 SELECT read_id, chrom, pos, near = 0 AND pos - 2 >= lo AND pos + 2 <= hi AS clean FROM w""")
 def _(t):
-    rows = t.obs().where("strand = 'for'").groupBy(F.col("sample").alias("read_id"), "chrom", "pos").agg(F.max((F.col("phred") < 4).cast("int")).alias("is_error"))
+    # a read of this table is a sample, strand and supplier: an order's few positions are too far apart
+    rows = t.obs().groupBy(F.concat("sample", "strand", "supp").alias("read_id"), "chrom", "pos").agg(F.max((F.col("phred") < 4).cast("int")).alias("is_error"))
     return calls.clean_context(rows, 2).select("read_id", "chrom", "pos", "clean")
 
 
@@ -509,12 +514,17 @@ def _(t):
     return correlation.sampled_positions(t.genome(), 10_000)
 
 
-@query("j04_sampled_lookup", "genome stats", _POSITIONS + """SELECT id, s.chrom, s.pos, a.cov AS cov_1, round(a.mean, 6) AS value_1, b.cov AS cov_2, round(b.mean, 6) AS value_2 FROM s
-LEFT JOIN (SELECT * FROM stats WHERE sample = 'treatment' AND strand = 'for') a ON a.chrom = s.chrom AND a.pos = s.pos LEFT JOIN (SELECT * FROM stats WHERE sample = 'control' AND strand = 'for') b ON b.chrom = s.chrom AND b.pos = s.pos""")
+def _looked_up(t: Tables) -> DataFrame:
+    """Both samples' values on both strands at 10,000 drawn positions."""
+    s = stored(_stats(t).select("sample", "chrom", "strand", "pos", "cov", "mean"))
+    drawn = correlation.sampled_positions(stored(t.genome()), 10_000).withColumn("strand", F.explode(F.array(F.lit("for"), F.lit("rev"))))
+    return correlation.at_positions(drawn, s.where("sample = 'treatment'"), s.where("sample = 'control'"), "mean", ["chrom", "strand", "pos"])
+
+
+@query("j04_sampled_lookup", "genome stats", _POSITIONS + """SELECT id, s.chrom, s.pos, u.strand, a.cov AS cov_1, round(a.mean, 6) AS value_1, b.cov AS cov_2, round(b.mean, 6) AS value_2 FROM s, (VALUES ('for'), ('rev')) u(strand)
+LEFT JOIN (SELECT * FROM stats WHERE sample = 'treatment') a ON a.chrom = s.chrom AND a.pos = s.pos AND a.strand = u.strand LEFT JOIN (SELECT * FROM stats WHERE sample = 'control') b ON b.chrom = s.chrom AND b.pos = s.pos AND b.strand = u.strand""")
 def _(t):
-    s = _stats(t).where("strand = 'for'")
-    found = correlation.at_positions(correlation.sampled_positions(t.genome(), 10_000), s.where("sample = 'treatment'"), s.where("sample = 'control'"), "mean")
-    return r6(found, "value_1", "value_2")
+    return r6(_looked_up(t), "value_1", "value_2")
 
 
 @query("j15_sample_pairs", "alignments", "SELECT a.sample AS sample_1, b.sample AS sample_2 FROM (SELECT DISTINCT sample FROM alignments) a, (SELECT DISTINCT sample FROM alignments) b")

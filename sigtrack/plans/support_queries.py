@@ -10,7 +10,7 @@ from ..operators import calls, correlation, demux, kmer, perbase, planning, qc,
 from ..sources import tables
 from ..storage import shared_dir
 from ..streaming.positions import stream_stats
-from .queries import _Q, _react, _scored, _significant, _stats, query, r6
+from .queries import _Q, _looked_up, _react, _scored, _significant, _stats, query, r6
 from .views import Tables
 
 
@@ -196,13 +196,11 @@ def _(t):
 @query("agg25_correlation_of_sampled", "genome stats", """AND g AS (SELECT *, coalesce(sum(size) OVER (ORDER BY rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS off FROM genome),
 d AS (SELECT id, ('0x' || substr(md5('1|' || id), 1, 12))::BIGINT % (SELECT sum(size)::BIGINT FROM genome) AS p FROM (SELECT unnest(generate_series(0, 9999)) AS id)),
 s AS (SELECT id, chrom, p - off + 1 AS pos FROM d JOIN g ON p >= off AND p < off + size),
-v AS (SELECT a.cov::DOUBLE AS x, b.cov::DOUBLE AS y FROM s JOIN stats a ON a.chrom = s.chrom AND a.pos = s.pos AND a.sample = 'treatment' AND a.strand = 'for' JOIN stats b ON b.chrom = s.chrom AND b.pos = s.pos AND b.sample = 'control' AND b.strand = 'for')
-SELECT count(*) AS n_points, round(corr(x, y), 6) AS pearson FROM v""")
+v AS (SELECT a.strand, a.cov::DOUBLE AS x, b.cov::DOUBLE AS y FROM s JOIN stats a ON a.chrom = s.chrom AND a.pos = s.pos AND a.sample = 'treatment' JOIN stats b ON b.chrom = s.chrom AND b.pos = s.pos AND b.strand = a.strand AND b.sample = 'control')
+SELECT strand, count(*) AS n_points, round(corr(x, y), 6) AS pearson FROM v GROUP BY strand""")
 def _(t):
-    s = _stats(t).where("strand = 'for'")
-    found = correlation.at_positions(correlation.sampled_positions(t.genome(), 10_000), s.where("sample = 'treatment'"), s.where("sample = 'control'"), "mean")
-    out = correlation.correlations(found.withColumn("k", F.lit(0)), "cov_1", "cov_2", ["k"])
-    return r6(out.select("n_points", "pearson"), "pearson")
+    out = correlation.correlations(_looked_up(t), "cov_1", "cov_2", ["strand"])
+    return r6(out.select("strand", "n_points", "pearson"), "pearson")
 
 
 @query("agg07_calls_by_threshold", "scored", """SELECT p::DOUBLE AS p, sample, count(*) FILTER (abs(z) > zt) AS n_called, count(*) AS n FROM scored, (VALUES (0.05, 1.959963984540054), (0.2, 1.2815515655446004), (0.5, 0.6744897501960817)) v(p, zt) GROUP BY ALL""")
