@@ -51,6 +51,13 @@ def phred_error(phred: Column) -> Column:
     return F.pow(F.lit(10.0), -phred / 10.0)
 
 
+def padded_context(before: Column, sequence: Column, after: Column, width: int) -> Column:
+    """``sequence`` with ``width`` bases of its neighbours on both sides; N where a contig ends."""
+    left = F.lpad(F.right(F.coalesce(before, F.lit("")), F.lit(width)), width, "N")
+    right = F.rpad(F.left(F.coalesce(after, F.lit("")), F.lit(width)), width, "N")
+    return F.concat(left, sequence, right)
+
+
 def quality_errors(quals: Column) -> Column:
     """Error probability of each character of an ASCII quality string."""
     return F.transform(F.filter(F.split(quals, ""), lambda c: c != ""), lambda c: phred_error(F.ascii(c) - 33))

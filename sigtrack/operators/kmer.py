@@ -37,6 +37,14 @@ def kmer_model(obs: DataFrame, *, kmer: str = "kmer", level: str = "level", mad:
     return model.select("kmer", "n", (F.col("n_all") - F.col("n")).alias("n_outlier"), "mean", "sd", "median", "mad")
 
 
+def pooled_model(samples: list[DataFrame], **more) -> DataFrame:
+    """One model of the observations of several samples together: means shift and deviations widen."""
+    rows = samples[0]
+    for s in samples[1:]:
+        rows = rows.unionByName(s)
+    return kmer_model(rows, **more)
+
+
 def centre_and_spread(model: DataFrame, scale: str = "sd", min_obs: int = 30) -> DataFrame:
     """The scorable k-mers: enough observations and a spread above 0."""
     if scale not in ("sd", "mad"):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,6 +46,17 @@ def pileup_stats(pileup: DataFrame) -> DataFrame:
     return rows.select("chrom", "pos", F.col("ref").alias("nt"), n.cast("long").alias("cov"), mean.alias("error"), *(at(q).alias(k) for k, q in QUANTILES.items()))
 
 
+def missing_contigs(track: DataFrame, genome: DataFrame, on_missing: str = "error") -> list[str]:
+    """The contigs of a track that the reference lacks: an error, or with "warn" a warning and bases N."""
+    lacking = track.select("chrom").distinct().join(genome.select("chrom"), "chrom", "left_anti")
+    found = sorted(r.chrom for r in lacking.where("chrom is not null").limit(1000).collect())
+    if found and on_missing == "error":
+        raise ValueError(f"the reference has no contig {', '.join(found)}")
+    if found:
+        warnings.warn(f"the reference has no contig {', '.join(found)}: bases are N", stacklevel=2)
+    return found
+
+
 def with_reference_base(track: DataFrame, bases: DataFrame) -> DataFrame:
     """nt of each position by (chrom, pos); N where the reference has none."""
     return track.join(bases.select("chrom", "pos", "nt"), ["chrom", "pos"], "left").withColumn("nt", known_base(F.col("nt")))

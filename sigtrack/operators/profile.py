@@ -38,6 +38,11 @@ def feature_profile(features: DataFrame, tracks: DataFrame, values: list[str], n
     return rows.groupBy("fid", distance.alias("distance"), *by).agg(*(F.avg(v).alias(v) for v in values))
 
 
+def in_output_order(profile: DataFrame) -> DataFrame:
+    """A profile as it is written: by distance, then sample and strand."""
+    return profile.orderBy("distance", "sample", "strand")
+
+
 def average_profile(profile: DataFrame, values: list[str], by: list[str] = ["sample", "strand"]) -> DataFrame:
     """Mean over features by distance and track; a null is no observation."""
     return profile.groupBy("distance", *by).agg(*(F.avg(v).alias(v) for v in values), F.count(F.lit(1)).alias("n"))

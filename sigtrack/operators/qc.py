@@ -108,6 +108,25 @@ def histograms(rows: DataFrame, columns: dict[str, str], by: list[str] = []) ->
     return rows.select(*by, items.alias("i")).select(*by, "i.*").where("value is not null").groupBy(*by, "var", "value").agg(F.count(F.lit(1)).alias("count"))
 
 
+def indel_lengths(rows: DataFrame, by: list[str] = [], cigar: str = "cigar") -> DataFrame:
+    """(var, value, count) of the lengths of insertions and deletions, INS and DEL."""
+    steps = F.explode(F.regexp_extract_all(cigar, F.lit(r"([0-9]+[ID])"), 1))
+    found = rows.select(*by, steps.alias("step")).withColumn("var", F.when(F.col("step").endswith("I"), "INS").otherwise("DEL"))
+    return found.groupBy(*by, "var", F.regexp_extract("step", "[0-9]+", 0).alias("value")).agg(F.count(F.lit(1)).alias("count"))
+
+
+def coverage_histogram(runs: DataFrame, by: list[str] = [], most: int = 1000) -> DataFrame:
+    """(var, value, count): positions by depth of ``coverage_runs``, in brackets [d-d], from ``most`` on [>=most]."""
+    depth = F.col("depth")
+    label = F.when(depth >= most, F.lit(f"[>={most}]")).otherwise(F.concat(F.lit("["), depth, F.lit("-"), depth, F.lit("]")))
+    return runs.groupBy(*by, F.lit("COV").alias("var"), label.alias("value")).agg(F.sum(F.col("end") - F.col("start")).cast("long").alias("count"))
+
+
+def bracket_start(value: Column) -> Column:
+    """The number that a coverage bracket starts with: [7-9] is 7, [>=1000] is 1000; null if it has none."""
+    return F.regexp_extract(value, r"^\[?(?:>=)?([0-9]+(?:\.[0-9]+)?)", 1).try_cast("double")
+
+
 def winsorised(histogram: DataFrame, by: list[str], value: str = "value", count: str = "count", bins: int = 50) -> DataFrame:
     """``bins`` equal bins between the weighted 1st and 99th percentiles; what lies outside is capped.
 

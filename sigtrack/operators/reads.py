@@ -63,6 +63,12 @@ def error_mask(alignments: DataFrame, reference: DataFrame, keep: list[str]) ->
     return span.unionByName(inside).groupBy(*keep, "pos").agg(F.bool_or("is_error").alias("is_error"))
 
 
+def tags_present(alignments: DataFrame, tags: list[str], first: int = 5000) -> dict[str, bool]:
+    """Which tags any of the first records has: a look at ``first`` records, not at the table."""
+    seen = alignments.limit(first).agg(*(F.coalesce(F.bool_or(F.map_contains_key("tags", t)), F.lit(False)).alias(t) for t in tags)).first()
+    return {t: seen[t] for t in tags}
+
+
 def kept_tags(alignments: DataFrame, tags: list[str]) -> DataFrame:
     return alignments.withColumn("tags", F.map_filter("tags", lambda k, _: k.isin(*tags)))
 

@@ -187,6 +187,17 @@ def _(t):
     return r6(kmer.kmer_model(t.kmer_obs().where("sample = 'control'"), mad=1.5), "mean", "sd", "median", "mad")
 
 
+@query("set03_pooled_model", "kmer_obs", """AND med AS (SELECT kmer, median(level) AS median, count(*) AS n_all FROM kmer_obs GROUP BY kmer),
+dev AS (SELECT kmer, level, median, n_all, abs(level - median) AS d FROM kmer_obs JOIN med USING (kmer)),
+mads AS (SELECT kmer, median(d) AS mad FROM dev GROUP BY kmer)
+SELECT kmer, count(*) AS n, any_value(n_all) - count(*) AS n_outlier, round(avg(level), 6) AS mean, round(stddev_samp(level), 6) AS sd, round(any_value(median), 6) AS median, round(any_value(mad), 6) AS mad
+FROM dev JOIN mads USING (kmer) WHERE d <= 1.5 * mad GROUP BY kmer""")
+def _(t):
+    rows = t.kmer_obs()
+    samples = [rows.where(F.col("sample") == s) for s in ("treatment", "control")]
+    return r6(kmer.pooled_model(samples, mad=1.5), "mean", "sd", "median", "mad")
+
+
 _ORDER = ["read_id", "line", "pos", "supp"]
 
 
@@ -369,6 +380,13 @@ def _(t):
     return r6(r6(profile.average_profile(_profile(t), ["cov", "error"]), "cov", digits=5), "error")
 
 
+@query("srt05_profile_order", "features stats", _PROFILE + "SELECT row_number() OVER (ORDER BY distance, sample, strand) AS place, distance, sample, strand, n FROM (SELECT distance, sample, strand, count(*) AS n FROM prof GROUP BY ALL)")
+def _(t):
+    rows = profile.in_output_order(profile.average_profile(_profile(t), ["cov", "error"])).select("distance", "sample", "strand", "n")
+    # as few rows as a profile has distances
+    return rows.withColumn("place", F.row_number().over(Window.orderBy("distance", "sample", "strand")).cast("long"))
+
+
 @query("agg22_coverage_runs", "intervals", """AND e AS (SELECT chrom, start AS p, 1 AS step FROM intervals UNION ALL SELECT chrom, "end", -1 FROM intervals),
 s AS (SELECT chrom, p, sum(step) AS step FROM e GROUP BY ALL HAVING sum(step) <> 0),
 d AS (SELECT chrom, p, sum(step) OVER (PARTITION BY chrom ORDER BY p) AS depth, lead(p) OVER (PARTITION BY chrom ORDER BY p) AS nxt FROM s)
@@ -471,6 +489,28 @@ def _(t):
     return qc.histograms(t.alignments(), {"RL": "length", "MAPQ": "mapq"})
 
 
+_CIGAR = "o_custkey % 50 + 1 || 'M' || (o_custkey % 5 + 1) || 'I' || (o_orderkey % 30 + 1) || 'M' || (o_orderkey % 4 + 1) || 'D9M'"
+
+
+@query("agg23_indel_histograms", "", f"""WITH c AS (SELECT o_orderstatus AS sample, unnest(regexp_extract_all({_CIGAR}, '[0-9]+[ID]')) AS step FROM orders)
+SELECT sample, CASE WHEN step LIKE '%I' THEN 'INS' ELSE 'DEL' END AS var, regexp_extract(step, '[0-9]+') AS value, count(*) AS count FROM c GROUP BY ALL""")
+def _(t):
+    return qc.indel_lengths(t.table("orders").select(F.col("o_orderstatus").alias("sample"), F.expr(_CIGAR).alias("cigar")), ["sample"])
+
+
+_DEPTH = """AND e AS (SELECT chrom, start AS p, 1 AS step FROM intervals UNION ALL SELECT chrom, "end", -1 FROM intervals),
+s AS (SELECT chrom, p, sum(step) AS step FROM e GROUP BY ALL HAVING sum(step) <> 0),
+d AS (SELECT chrom, p, sum(step) OVER (PARTITION BY chrom ORDER BY p) AS depth, lead(p) OVER (PARTITION BY chrom ORDER BY p) AS nxt FROM s)
+"""
+
+
+@query("agg23_coverage_histogram", "intervals", _DEPTH + """SELECT chrom, 'COV' AS var, CASE WHEN depth >= 40 THEN '[>=40]' ELSE '[' || depth::BIGINT || '-' || depth::BIGINT || ']' END AS value,
+sum(nxt - p)::BIGINT AS count, least(depth, 40)::DOUBLE AS start FROM d WHERE depth > 0 GROUP BY ALL""")
+def _(t):
+    out = qc.coverage_histogram(running.coverage_runs(t.intervals(), width=256), ["chrom"], 40)
+    return out.withColumn("start", qc.bracket_start(F.col("value")))
+
+
 @query("agg24_winsorised_histogram", "alignments", """AND h AS (SELECT sample, length AS value, count(*) AS w FROM alignments GROUP BY ALL),
 c AS (SELECT *, sum(w) OVER (PARTITION BY sample ORDER BY value) / sum(w) OVER (PARTITION BY sample) AS share FROM h),
 e AS (SELECT *, min(CASE WHEN share >= 0.01 THEN value END) OVER (PARTITION BY sample) AS low, min(CASE WHEN share >= 0.99 THEN value END) OVER (PARTITION BY sample) AS high FROM c)

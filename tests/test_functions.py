@@ -50,3 +50,9 @@ def test_chi2_closed_form(spark):
 def test_z_score_needs_a_spread(spark):
     df = spark.createDataFrame([(1.0, 0.0, 0.5), (1.0, 0.0, 0.0), (1.0, 0.0, None)], "x double, c double, s double")
     assert rows(df.select(stat.z_score(F.col("x"), F.col("c"), F.col("s")))) == [(2.0,), (None,), (None,)]
+
+
+def test_context_is_padded_at_contig_ends(spark):
+    df = spark.createDataFrame([("ACGT", "GG", "TTA"), ("A", "GG", None), (None, "GG", "TTA")], "a string, s string, b string")
+    got = [r[0] for r in df.select(S.padded_context(F.col("a"), F.col("s"), F.col("b"), 2)).collect()]
+    assert got == ["GTGGTT", "NAGGNN", "NNGGTT"]

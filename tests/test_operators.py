@@ -238,3 +238,63 @@ def test_sampled_positions(spark):
     assert got.count() == 2000 and got.where("pos < 1 or pos > 300").count() == 0
     assert 1350 < got.where("chrom = 'd'").count() < 1650
     assert correlation.sampled_positions(genome.where("false"), 10).count() == 0
+
+
+def test_indels_coverage_and_brackets(spark):
+    got = {(r.var, r.value): r["count"] for r in qc.indel_lengths(spark.createDataFrame([("3M2I4M1D",), ("2I",), (None,), ("*",)], "cigar string")).collect()}
+    assert got == {("INS", "2"): 2, ("DEL", "1"): 1}
+    runs = spark.createDataFrame([("c", 0, 5, 1), ("c", 5, 6, 7), ("c", 6, 9, 2000)], "chrom string, start long, end long, depth long")
+    assert rows(qc.coverage_histogram(runs, ["chrom"])) == [("c", "COV", "[1-1]", 5), ("c", "COV", "[7-7]", 1), ("c", "COV", "[>=1000]", 3)]
+    text = spark.createDataFrame([("[7-9]",), ("[>=1000]",), ("[1-1]",), ("x",), (None,)], "v string")
+    assert [r[0] for r in text.select(qc.bracket_start(F.col("v"))).collect()] == [7.0, 1000.0, 1.0, None, None]
+
+
+def test_pooled_model_widens(spark):
+    side = lambda at: spark.createDataFrame([("AC", at + d) for d in (-1.0, 0.0, 1.0) * 12], "kmer string, level double")
+    one, both = kmer.kmer_model(side(10.0)).first(), kmer.pooled_model([side(10.0), side(14.0)]).first()
+    assert both.mean == 12.0 and both.sd > one.sd and both.n == 2 * one.n
+
+
+def test_missing_contigs(spark):
+    track, genome = spark.createDataFrame([("a",), ("b",), (None,)], "chrom string"), spark.createDataFrame([("a", 5)], "chrom string, size long")
+    with pytest.raises(ValueError, match="b"):
+        perbase.missing_contigs(track, genome)
+    with pytest.warns(UserWarning, match="b"):
+        assert perbase.missing_contigs(track, genome, "warn") == ["b"]
+    assert perbase.missing_contigs(track.where("chrom = 'a'"), genome) == []
+
+
+def test_tags_of_the_first_records(spark):
+    df = spark.range(20, numPartitions=1).select(F.create_map(F.when(F.col("id") < 10, "mv").otherwise("MM"), F.lit("1")).alias("tags"))
+    assert reads.tags_present(df, ["mv", "MM"], 10) == {"mv": True, "MM": False} and reads.tags_present(df, ["MM"]) == {"MM": True}
+    assert reads.tags_present(df.limit(0), ["mv"]) == {"mv": False}
+
+
+def test_exact_quantiles_of_groups(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(0)
+    data = [(g, float(v)) for g, n in (("a", 1), ("b", 2), ("c", 501), ("d", 40)) for v in np.round(rng.normal(size=n), 1)] + [("e", None)]
+    df = spark.createDataFrame(data, "g string, v double")
+    got = {r.g: (r.lo, r.mid, r.hi) for r in running.group_quantiles(df, ["g"], "v", {"lo": 0.05, "mid": 0.5, "hi": 0.999}).collect()}
+    assert set(got) == set("abcd")
+    for g in got:
+        assert np.allclose(got[g], np.quantile([v for k, v in data if k == g], [0.05, 0.5, 0.999]))
+    ranks = {r.v: r.rank for r in correlation.average_rank(df.where("g = 'c'"), "v", ["g"], "rank").collect()}
+    values = np.array([v for k, v in data if k == "c"])
+    assert all(np.isclose(ranks[v], (values < v).sum() + ((values == v).sum() + 1) / 2) for v in ranks)
+
+
+def test_stream_goes_on_after_a_restart(spark, tmp_path):
+    from sigtrack.streaming.positions import LateObservation, PositionStream
+
+    batch = lambda data: spark.createDataFrame([("s", "c", "for", p, start, 1.0) for p, start in data], "sample string, chrom string, strand string, pos long, read_start long, x double")
+    stats = lambda df: perbase.position_stats(df, "x")
+    make = lambda: PositionStream(f"file://{tmp_path}/s", stats, ["sample", "chrom", "strand"], 10)
+    make().batch(batch([(3, 1), (12, 5), (14, 5)]), 0)
+    make().batch(batch([(12, 11), (25, 22)]), 1)
+    make().batch(batch([(12, 11), (25, 22)]), 1)  # repeated after a crash
+    with pytest.raises(LateObservation):
+        make().batch(batch([(4, 23)]), 2)
+    got = {r.pos: r.cov for r in make().finish(spark).collect()}
+    assert got == {3: 1, 12: 2, 14: 1, 25: 1}
