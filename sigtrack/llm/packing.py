@@ -110,7 +110,7 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int, segment: int, cache_
 
 
 def pack(
-    docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int = END_ID, length: int = LENGTH, group_docs: int = 1024, group_bytes: int = 16 << 20, seed: int = 7, cache_words: int = CACHE_WORDS
+    docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int = END_ID, length: int = LENGTH, group_docs: int = 1024, group_bytes: int = 16 << 20, seed: int = 7, cache_words: int = 600_000
 ) -> DataFrame:
     """Pieces of all documents, with their ids as 32-bit integers.
 
