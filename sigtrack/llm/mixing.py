@@ -224,9 +224,10 @@ def mixed(docs: DataFrame, block_words: int = 256) -> DataFrame:
 
 
 def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents in the order in which the mix comes to them, then those it takes nothing of."""
+    """The documents in the order in which the mix comes to them, then those it takes nothing of, with slots -1."""
     found = mix(table(spark, sf_dir, "documents")).orderBy(F.col("first_slot").asc_nulls_last(), "first_place", "doc_id", "row")
-    return found.select("doc_id", "size", "source_size", "target", "taken", "first_slot", "first_place", "last_slot", "n_pieces")
+    known = lambda c: F.coalesce(c, F.lit(-1)).cast("long").alias(c)
+    return found.select("doc_id", "size", "source_size", "target", "taken", known("first_slot"), known("first_place"), known("last_slot"), "n_pieces")
 
 
 def op9_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -276,7 +277,7 @@ y AS (
   FROM z JOIN x USING (s, rank) GROUP BY row)
 SELECT doc_id, size, source_size, target,
        (greatest(0, least(size, needed - start)) + greatest(0, least(size, needed - source_size - start)))::BIGINT AS taken,
-       first_slot, first_place::BIGINT AS first_place, last_slot, coalesce(n_pieces, 0)::BIGINT AS n_pieces
+       coalesce(first_slot, -1)::BIGINT AS first_slot, coalesce(first_place, -1)::BIGINT AS first_place, coalesce(last_slot, -1)::BIGINT AS last_slot, coalesce(n_pieces, 0)::BIGINT AS n_pieces
 FROM p LEFT JOIN y USING (row)
 """
 
