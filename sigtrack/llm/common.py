@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..storage import shared_dir, stored
+
+__all__ = ["WORD", "held", "shared_dir", "stored", "table", "word_count"]
 T = TypeVar("T")
 #: White space of the word pattern ``[^\x20\x09-\x0D]+``, in Java's syntax.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -30,27 +32,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """A fresh folder that driver and executors share.
-
-    The cluster names its folder in spark.checkpoint.dir. Only a local master, whose driver and
-    executors are one machine, has a default; nothing here is removed, the cluster clears its folder.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not root and not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-    root = root or "file:/tmp/sigtrack-checkpoints"
-    return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
-
-
-def stored(df: DataFrame, compression: str = "snappy") -> DataFrame:
-    """The rows written to the shared folder and read back: what follows has no lineage before it,
-    so a lost executor costs its running tasks only."""
-    path = shared_dir(df.sparkSession)
-    df.write.parquet(path, compression=compression)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def word_count(text: Column) -> Column:
     """Words ``[^\x20\x09-\x0D]+``; a null text has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
