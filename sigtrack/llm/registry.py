@@ -17,6 +17,9 @@ _QUERIES = {
     "op9_mix": "mixing",
     "op10_chat": "chat",
     "op9_blocks": "mixing",
+    "op11_scaled_sketch": "scaled_sketch",
+    "op12_collocations": "collocations",
+    "op13_centroids": "centroids",
 }
 
 
