@@ -3,7 +3,7 @@
 An n-gram (1 to 4 words of a piece of text, within a language) is named by a 64-bit hash, and the
 hash's leading bits are its partition. First pass: tasks give out, for each partition, a summary of
 the n-grams of some millions of words; the summaries of a partition are merged into one of fixed
-capacity, which is the partition's mass divided by the threshold, plus one. Each time a summary loses
+capacity, which is the partition's mass divided by the threshold, some times over. Each time a summary loses
 its smallest counters, at least ``capacity + 1`` times what is taken off goes with them, so in all
 less than the threshold is ever taken off one counter: every n-gram that comes up that often survives,
 whatever the order of merging. Survivors set bits of a filter of fixed largest size. Second pass: the
@@ -37,6 +37,8 @@ _STOP = b"\xff"
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 #: Text bytes of an array of words, n-grams of a summary, words a Python worker remembers.
 _CHUNK, _SUMMARY, _MOST_WORDS = 4_000_000, 6_000_000, 200_000
+#: Times the capacity that the guarantee needs: fewer n-grams below the threshold survive.
+_ROOM = 8
 #: Bits of the filter: 32 for each survivor, up to 128 MB.
 _BITS_EACH, _MOST_BITS = 32, 30
 
@@ -130,9 +132,10 @@ def added(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) ->
     return keys, counts
 
 
-def summarized(parts: list[tuple[np.ndarray, np.ndarray, int]], least: int) -> tuple[np.ndarray, np.ndarray, int]:
-    """The merged summary of (keys, counts, mass) with a capacity of the whole mass / least + 1, and what at most was taken off a counter."""
-    capacity = sum(p[2] for p in parts) // least + 1
+def summarized(parts: list[tuple[np.ndarray, np.ndarray, int]], least: int, room: int = _ROOM) -> tuple[np.ndarray, np.ndarray, int]:
+    """The merged summary of (keys, counts, mass) with a capacity of ``room`` times the whole mass / least, plus one, and
+    what at most was taken off a counter: less than least / room."""
+    capacity = room * sum(p[2] for p in parts) // least + 1
     keys, counts, off = np.zeros(0, np.uint64), np.zeros(0, np.int64), 0
     for more in parts:
         keys, counts, once = reduced(*added((keys, counts), more[:2]), capacity)
@@ -212,35 +215,62 @@ def survivor_filter(found: DataFrame, key_bits: int, bits_each: int = _BITS_EACH
     return whole.tobytes(), bits
 
 
-def exact_counts(rows: DataFrame, filter_bits: tuple[bytes, int], least: int, longest: int, most: int = 300_000) -> DataFrame:
+class _Counted:
+    """N-grams and their counts by 64-bit hash: keys in ascending order with each one's place among the phrases,
+    which stand in the order in which they came."""
+
+    def __init__(self) -> None:
+        self.keys, self.place, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.phrases: list[pa.Array] = []
+        self.langs: list[pa.Array] = []
+
+    def add(self, keys: np.ndarray, counts: np.ndarray, spelled) -> None:
+        """Counts of distinct keys; ``spelled`` gives the languages and phrases of those at given places that are new."""
+        at = np.searchsorted(self.keys, keys)
+        old = at < len(self.keys)
+        old[old] = self.keys[at[old]] == keys[old]
+        self.counts[self.place[at[old]]] += counts[old]
+        new = np.flatnonzero(~old)
+        if len(new):
+            langs, phrases = spelled(new)
+            self.langs.append(pa.array(langs, pa.string()))
+            self.phrases.append(pa.array(phrases, pa.binary()))
+            self.keys = np.insert(self.keys, at[new], keys[new])
+            self.place = np.insert(self.place, at[new], len(self.counts) + np.arange(len(new)))
+            self.counts = np.append(self.counts, counts[new])
+
+    def batch(self) -> pa.RecordBatch:
+        whole = lambda parts, kind: pa.concat_arrays(parts) if parts else pa.array([], kind)
+        return pa.RecordBatch.from_arrays([whole(self.langs, pa.string()), whole(self.phrases, pa.binary()), pa.array(self.counts)], ["lang", "phrase", "f"])
+
+
+def exact_counts(rows: DataFrame, filter_bits: tuple[bytes, int], least: int, longest: int, most: int = 1_000_000) -> DataFrame:
     """(lang, phrase, f) of every n-gram of ``least`` occurrences: those that meet a bit of the filter, counted by their words.
 
-    A task counts up to ``most`` n-grams before it hands counts on; 64 bits tell the n-grams of one run of texts apart.
+    A task hands its counts on once it holds ``most`` n-grams; 64 bits tell these apart, and their words from then on.
     """
     shared = rows.sparkSession.sparkContext.broadcast(filter_bits[0])
     bits = filter_bits[1]
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, held = _known(), {}
+        known, held = _known(), _Counted()
         bit = np.frombuffer(shared.value, np.uint8)
-
-        def flush() -> pa.RecordBatch:
-            columns = [pa.array([k[0] for k in held], pa.string()), pa.array([k[1] for k in held], pa.binary()), pa.array(held.values(), pa.int64())]
-            return pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "f"])
-
         for words, lang, langs in chunks(frames):
             for n, starts, h in ngram_hashes(words, lang, langs, known, longest):
                 at = h >> np.uint64(64 - bits)
-                passed = (bit[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & np.uint8(1)
-                passed = np.flatnonzero(passed)
-                _, first, counts = np.unique(h[passed], return_index=True, return_counts=True)
-                for i, c in zip(starts[passed[first]].tolist(), counts.tolist()):
-                    key = langs[lang[i]], b" ".join(words[i : i + n])
-                    held[key] = held.get(key, 0) + c
-            if len(held) > most:
-                yield flush()
-                held = {}
-        yield flush()
+                passed = np.flatnonzero((bit[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & np.uint8(1))
+                keys, first, counts = np.unique(h[passed], return_index=True, return_counts=True)
+                first = starts[passed[first]]
+
+                def spelled(new: np.ndarray) -> tuple[list[str], list[bytes]]:
+                    places = first[new].tolist()
+                    return [langs[k] for k in lang[first[new]].tolist()], [b" ".join(words[i : i + n]) for i in places]
+
+                held.add(keys, counts, spelled)
+            if len(held.keys) > most:
+                yield held.batch()
+                held = _Counted()
+        yield held.batch()
 
     found = rows.mapInArrow(run, "lang string, phrase binary, f long").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
     return found.where(F.col("f") >= least).select("lang", F.col("phrase").cast("string").alias("phrase"), "f")

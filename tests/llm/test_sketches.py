@@ -111,10 +111,10 @@ def test_summaries_keep_what_is_frequent():
     stream = np.concatenate([rng.zipf(1.3, 30_000).astype(np.uint64) % np.uint64(5000), rng.integers(0, 1 << 40, 20_000, dtype=np.uint64)])
     rng.shuffle(stream)
     keys, counts = np.unique(stream, return_counts=True)
-    for pieces in (1, 3, 17, 400):
+    for pieces, room in ((1, 1), (3, 1), (17, 1), (400, 1), (17, 4), (400, 8)):
         parts = [(*(x.astype(t) for x, t in zip(np.unique(p, return_counts=True), (np.uint64, np.int64))), len(p)) for p in np.array_split(stream, pieces)]
-        found, estimate, off = collocations.summarized(parts, 30)
-        assert len(found) <= len(stream) // 30 + 1 and off < 30
+        found, estimate, off = collocations.summarized(parts, 30, room)
+        assert len(found) <= room * len(stream) // 30 + 1 and off * room < 30
         assert set(keys[counts >= 30].tolist()) <= set(found[estimate + off >= 30].tolist())
         true = dict(zip(keys.tolist(), counts.tolist()))
         assert all(true[k] - off <= e <= true[k] for k, e in zip(found.tolist(), estimate.tolist()))
