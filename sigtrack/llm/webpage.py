@@ -5,11 +5,13 @@ that shares the longer start of the path. The text lines of both are aligned by
 subsequence, and lines of the page that the other has too are deleted: they belong to the site.
 
 Markup settles only what says what it is: scripts, styles, forms, nav, header, footer, aside and
-elements whose whole class or id name is one of ``_NAMES`` (an advert is another one on each page,
-so no comparison finds it). All other lines are compared. Neighbours also share lines of their
-articles (titles, quotes, the same passage in two stories), so a shared line inside an article or
-main element needs more evidence: it goes if at least half of the host's pages, four or more of
-them, share it with their own nearest page.
+elements whose class or id name says so, whole or by its parts (an advert is another one on each
+page, so no comparison finds it); a notice inside an article is part of it until it is shared. All
+other lines are compared. Neighbours also share lines of their articles (quotes, the same passage
+in two stories), so a shared line inside an article or main element needs more evidence than a pair:
+it goes if four pages or more, and at least half of the host's, share it with their own nearest page.
+Four pages are two pairs at least, so some of them are not each other's neighbours. A line that is
+a page's heading, or repeats its title or a heading, is never deleted there.
 """
 
 from __future__ import annotations
@@ -42,6 +44,12 @@ _NAMES = set(
     "disqus footer masthead menu nav navbar navigation newsletter notice notices pagination popup promo reader-comments replies share-buttons sidebar "
     "skip-link social-links sponsored subscribe toolbar topbar".split()
 )
+#: Of those, what inside an article can be the article's own.
+_OWN_IN_CONTENT = {"notice", "notices"}
+#: Last parts of names like site-footer, and first or last parts of names like ad-slot; none after the words of ``_ABOUT``.
+_LAST_PARTS = {"breadcrumb", "breadcrumbs", "footer", "masthead", "menu", "nav", "navbar", "navigation", "pagination", "sidebar", "toolbar", "topbar"}
+_ANY_PARTS = {"ad", "ads", "adbox", "adslot", "advert", "advertisement", "adverts", "comments", "cookie", "cookies", "disqus", "newsletter", "sponsored"}
+_ABOUT = {"has", "hide", "is", "no", "show", "with", "without"}
 _NEVER = {"html", "body", "article", "main"}
 _CONTENT = {"article", "main"}
 #: An open one ends where another of these starts.
@@ -64,7 +72,18 @@ def _boilerplate(name: str, found: dict[str, str], in_content: bool) -> bool:
     names = set(f"{found.get('class', '')} {found.get('id', '')}".lower().split())
     if name in _NEVER:  # a comment can be an article; a page with a sidebar is still a page
         return name == "article" and bool(names & {"comment", "comments", "reader-comments"})
-    return bool(names & _NAMES) or ("header" in names and not in_content)
+    if names & (_NAMES - _OWN_IN_CONTENT if in_content else _NAMES) or ("header" in names and not in_content):
+        return True
+    return any(_by_parts(n, in_content) for n in names)
+
+
+def _by_parts(name: str, in_content: bool) -> bool:
+    """If the parts of a class or id name say that the element is none of the page's text. Parts of the page's frame count
+    outside of content only: an article can have a footer or a menu of its own."""
+    parts = [p for p in re.split(r"[-_]+", name) if p]
+    if len(parts) < 2 or parts[0] in _ABOUT:
+        return False
+    return parts[0] in _ANY_PARTS or parts[-1] in _ANY_PARTS or (not in_content and parts[-1] in _LAST_PARTS)
 
 
 def tags(page: str) -> Iterator[tuple[int, int, bool, str, str]]:
@@ -100,10 +119,22 @@ def tags(page: str) -> Iterator[tuple[int, int, bool, str, str]]:
         at = end
 
 
+_HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
+_TITLE = re.compile(r"<title[^>]*>(.*?)(?:</title|$)", re.I | re.S)
+
+
 def lines_of(page: str) -> list[tuple[str, bool]]:
     """The page's text lines, a block each, without what markup tells to be no content; and if a line
     is inside an explicit content element."""
-    out: list[tuple[str, bool]] = []
+    return [(text, inside) for text, inside, _ in marked_lines(page)]
+
+
+def marked_lines(page: str) -> list[tuple[str, bool, bool]]:
+    """``lines_of``, and if a line names the page or a part of it: a heading inside content, and anywhere what repeats the
+    title, a first heading or, inside content, another heading."""
+    out: list[tuple[str, bool, bool]] = []
+    titles: set[str] = set()
+    headings: set[str] = set()
     parts: list[str] = []
     stack: list[tuple[str, bool, bool, int]] = []  # name, in dropped, in content, last block element at or below it
     places: dict[str, list[int]] = defaultdict(list)  # where in the stack an element of that name is open
@@ -115,7 +146,11 @@ def lines_of(page: str) -> list[tuple[str, bool]]:
             line = " ".join(html.unescape("".join(parts)).split())
             parts.clear()
             if line:
-                out.append((line, content))
+                out.append((line, content, False))
+                if places["h1"]:
+                    titles.add(line)
+                elif any(places[h] for h in _HEADINGS):
+                    headings.add(line)
 
     def close(i: int) -> None:
         for name, *_ in stack[i:]:
@@ -128,6 +163,8 @@ def lines_of(page: str) -> list[tuple[str, bool]]:
         at = end
         if not name:
             continue
+        if name == "title" and not closing and (m := _TITLE.match(page[start:end])):
+            titles.add(" ".join(html.unescape(m[1]).split()))
         if name not in _INLINE and name != "br":
             flush()
         elif name == "br" and not dropped:
@@ -151,7 +188,7 @@ def lines_of(page: str) -> list[tuple[str, bool]]:
     if not dropped:
         parts.append(page[at:])
     flush()
-    return out
+    return [(line, inside, line in titles or (inside and line in headings)) for line, inside, _ in out]
 
 
 def _prefix_lengths(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -211,19 +248,19 @@ def common_lines(a: list, b: list, most_pairs: int = 2_000_000) -> list[int]:
 
 
 _URL = re.compile(r"^\s*(?:[a-z][a-z0-9+.-]*:)?(?://)?([^/?#]*)([^?#]*)", re.I)
-LINES = "row long, page_id long, url string, host string, path string, lines array<struct<text: string, inside: boolean>>"
+LINES = "row long, page_id long, url string, host string, path string, lines array<struct<text: string, inside: boolean, title: boolean>>"
 
 
 def extracted(pages: DataFrame) -> DataFrame:
     """Each page's lines, host and path (without query, fragment, ending and last slash)."""
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("text", pa.string()), ("inside", pa.bool_())]))
+        kind = pa.list_(pa.struct([("text", pa.string()), ("inside", pa.bool_()), ("title", pa.bool_())]))
         for frame in frames:
             split = [_URL.match(u or "") for u in frame["url"].to_pylist()]
             host = [m[1].lower().removeprefix("www.") for m in split]
             path = [re.sub(r"(\.html?|/)+$", "", m[2]) for m in split]
-            lines = [[{"text": t, "inside": s} for t, s in lines_of(h or "")] for h in frame["html"].to_pylist()]
+            lines = [[{"text": t, "inside": s, "title": n} for t, s, n in marked_lines(h or "")] for h in frame["html"].to_pylist()]
             columns = [frame["row"], frame["page_id"], frame["url"], pa.array(host, pa.string()), pa.array(path, pa.string()), pa.array(lines, kind)]
             yield pa.RecordBatch.from_arrays(columns, ["row", "page_id", "url", "host", "path", "lines"])
 
@@ -232,7 +269,7 @@ def extracted(pages: DataFrame) -> DataFrame:
 
 
 def neighbours(rows: DataFrame) -> DataFrame:
-    """row, host, path, the 64-bit hashes of the page's lines, which are inside a content element, and path and
+    """row, host, path, the 64-bit hashes of the page's lines, which are inside a content element, which are titles, and path and
     hashes of the neighbours in (host, path, page_id, row) order, if of the same host.
 
     Pages without a line have nothing to compare and are left out of the order. Rows are dealt by
@@ -240,7 +277,7 @@ def neighbours(rows: DataFrame) -> DataFrame:
     pages is spread over all tasks and the pairs do not depend on the ranges.
     """
     ids = F.transform("lines", lambda x: F.xxhash64(x["text"]))
-    keys = rows.where(F.size("lines") > 0).select("row", "host", "path", "page_id", ids.alias("ids"), F.transform("lines", lambda x: x["inside"]).alias("inside"))
+    keys = rows.where(F.size("lines") > 0).select("row", "host", "path", "page_id", ids.alias("ids"), F.transform("lines", lambda x: x["inside"]).alias("inside"), F.transform("lines", lambda x: x["title"]).alias("title"))
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = ["host", "path", "page_id", "row"]
     dealt = stored(keys.repartitionByRange(n, *order).withColumn("part", F.spark_partition_id()))
@@ -252,12 +289,12 @@ def neighbours(rows: DataFrame) -> DataFrame:
     near = dealt.withColumn("before", F.lag(item).over(own)).withColumn("after", F.lead(item).over(own))
     near = near.join(edges, "part").withColumn("before", F.coalesce("before", "left")).withColumn("after", F.coalesce("after", "right"))
     side = lambda c: F.when(F.col(f"{c}.host") == F.col("host"), F.struct(f"{c}.row", f"{c}.path", f"{c}.ids")).alias(c)
-    return near.select("row", "host", "path", "ids", "inside", side("before"), side("after"))
+    return near.select("row", "host", "path", "ids", "inside", "title", side("before"), side("after"))
 
 
 def differences(pairs: DataFrame) -> DataFrame:
     """row, host, other (the row of the page compared, null on a host's only page), the shared lines' places outside
-    of content elements, and place and hash of those inside.
+    of content elements, and place and hash of those inside. Titles and headings are compared, but not among these.
 
     A page that shares all its lines is a copy of its neighbour and not told apart from the site by
     it, and one that shares none is of another kind; then the page's other neighbour is taken, and
@@ -279,7 +316,9 @@ def differences(pairs: DataFrame) -> DataFrame:
                         other = s["row"]
                         break
                     common = []
-                out.append((r["row"], r["host"], other, [i for i in common if not r["inside"][i]], [{"place": i, "id": r["ids"][i]} for i in common if r["inside"][i]]))
+                common = [i for i in common if not r["title"][i]]
+                within = [{"place": i, "id": r["ids"][i]} for i in common if r["inside"][i]]
+                out.append((r["row"], r["host"], other, [i for i in common if not r["inside"][i]], within))
             types = [pa.int64(), pa.string(), pa.int64(), pa.list_(pa.int32()), kind]
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate(types)], ["row", "host", "other", "outside", "within"])
 
@@ -287,11 +326,12 @@ def differences(pairs: DataFrame) -> DataFrame:
 
 
 def deletions(found: DataFrame, least_share: float = 0.5, least_pages: int = 4) -> DataFrame:
-    """row and the places of the lines to delete, of the pages that lose any."""
+    """row and the places of the lines to delete, of the pages that lose any. A line inside content needs ``least_pages`` pages
+    that share it, of different pairs then, and ``least_share`` of its host's."""
     pages = found.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
     within = found.where(F.size("within") > 0).select("row", "host", F.explode("within").alias("line")).select("row", "host", "line.place", "line.id")
     held = within.select("row", "host", "id").distinct().groupBy("host", "id").agg(F.count(F.lit(1)).alias("n"))
-    site = held.join(pages, "host").where((F.col("pages") >= least_pages) & (F.col("n") >= least_share * F.col("pages"))).select("host", "id")
+    site = held.join(pages, "host").where((F.col("n") >= least_pages) & (F.col("n") >= least_share * F.col("pages"))).select("host", "id")
     inside = within.join(site, ["host", "id"]).groupBy("row").agg(F.collect_list("place").alias("places"))
     outside = found.where(F.size("outside") > 0).select("row", F.col("outside").alias("places"))
     return outside.unionByName(inside).groupBy("row").agg(F.flatten(F.collect_list("places")).alias("places"))
