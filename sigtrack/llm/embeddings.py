@@ -1,6 +1,6 @@
 """Near-duplicate embeddings by spherical k-means cells.
 
-Vectors are compared only within their label. Unit vectors of a label are assigned to the cells
+Vectors are compared only within their label, of whatever type. Unit vectors of a label are assigned to the cells
 of spherical k-means centres, fitted on a bounded sample; a vector is also a guest of every cell
 in which a partner could be at home: x and y with cosine >= t are at most the angle acos(t)
 apart, so y can be nearer to centre c' than to x's own centre c only if x lies within that angle
@@ -17,8 +17,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DecimalType, FractionalType, MapType, StructType, VariantType
 
 from .common import stored, table
 from .simhash import _chain, components
@@ -101,12 +102,20 @@ def compare(x: np.ndarray, y: np.ndarray | None, copies_x: np.ndarray, copies_y:
     return n_x, n_y, at[:-1][same], at[1:][same]
 
 
+def _label(vectors: DataFrame) -> Column:
+    """A label as text: numbers with a sign of zero have one zero, what is no plain value is JSON."""
+    kind = vectors.schema["label"].dataType
+    if isinstance(kind, FractionalType) and not isinstance(kind, DecimalType):
+        return (F.col("label") + F.lit(0.0)).cast("string")
+    return F.to_json("label") if isinstance(kind, (StructType, ArrayType, MapType, VariantType)) else F.col("label").cast("string")
+
+
 def directions(vectors: DataFrame) -> DataFrame:
-    """vec_id, label (as a long) and unit (array of doubles) of every row; unit is null where a row cannot link.
+    """vec_id, label (as text that equal labels share) and unit (array of doubles) of every row; unit is null where a row cannot link.
 
     Vectors are divided by their largest component first, so that squares neither overflow nor vanish.
     """
-    rows = vectors.select(F.col("vec_id").cast("long"), F.col("label").cast("long"), F.transform("embedding", lambda v: v.cast("double")).alias("x"))
+    rows = vectors.select(F.col("vec_id").cast("long"), _label(vectors).alias("label"), F.transform("embedding", lambda v: v.cast("double")).alias("x"))
     finite = F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     rows = rows.withColumn("x", F.when(F.col("label").isNotNull() & (F.size("x") > 0) & finite, F.col("x")))
     rows = rows.withColumn("top", F.array_max(F.transform("x", F.abs)))
@@ -115,11 +124,11 @@ def directions(vectors: DataFrame) -> DataFrame:
     return rows.withColumn("norm", norm).select("vec_id", "label", F.transform("x", lambda v: F.try_divide(v, F.col("norm"))).alias("unit"))
 
 
-_ITEM = "label long, cell long, node long, copies long, home boolean, unit array<double>"
+_ITEM = "label string, cell long, node long, copies long, home boolean, unit array<double>"
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, cell: int = CELL, sample: int = SAMPLE, block: int = BLOCK) -> DataFrame:
-    """vec_id, n_links, component_id and kept of every row.
+    """vec_id, n_links, component_id and kept of every row. Labels can be of any type; equal ones are one label.
 
     Vectors that are null, zero or hold a null or non-finite value, and those without a label,
     link with nothing. Vectors of different length do not link. Copies (equal after scaling to
@@ -133,16 +142,19 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, cell: int
     # copies of a direction are one node; its number is fixed as it is written
     nodes = keyed.where("unit is not null").groupBy("h", "label", "unit").agg(F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("copies"))
     nodes = stored(nodes.select(F.monotonically_increasing_id().alias("node"), "h", "label", F.size("unit").alias("dim"), "unit", "first", "copies"))
-    counts = {(r.label, r.dim): r["count"] for r in nodes.groupBy("label", "dim").count().collect()}
-    total = sum(counts.values())
+    # only labels with more than a cell have centres, and only what is drawn of them, and their counts, come to the driver
+    sizes = stored(nodes.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("n")))
+    whole = sizes.agg(F.sum("n").alias("n"), F.max("dim").alias("dim")).first()
+    large = sizes.where(F.col("n") > cell)
     rng = F.pmod(F.xxhash64("unit", F.lit(31)), F.lit(1 << 20)) / (1 << 20)
     # the sample is bounded in numbers too, whatever the length of the vectors
-    sample = min(sample, 2_000_000 // max([1, *(d for _, d in counts)]))
-    drawn = nodes.where(rng < min(1.0, sample / max(1, total))).select("label", "dim", "unit").collect()
+    sample = min(sample, 2_000_000 // max(1, whole.dim or 1))
+    drawn = nodes.where(rng < min(1.0, sample / max(1, whole.n or 0))).join(large, ["label", "dim"]).select("label", "dim", "unit", "n").collect()
+    counts = {(r.label, r.dim): r.n for r in drawn}
     by: dict[tuple[int, int], list] = {}
     for r in drawn:
         by.setdefault((r.label, r.dim), []).append(r.unit)
-    centres = {k: spherical_kmeans(np.array(v), -(-counts[k] // cell)) for k, v in sorted(by.items()) if counts[k] > cell and len(v) > 1}
+    centres = {k: spherical_kmeans(np.array(v), -(-counts[k] // cell)) for k, v in sorted(by.items()) if len(v) > 1}
 
     def deal(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in frames:

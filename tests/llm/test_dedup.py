@@ -1,3 +1,5 @@
+from decimal import Decimal
+
 import numpy as np
 from conftest import rows
 from pyspark.sql import functions as F
@@ -149,3 +151,18 @@ def test_cells_of_many_centres_in_chunks(monkeypatch):
     whole = sorted(zip(*map(list, embeddings.cells_of(x, centres, 0.98))))
     monkeypatch.setattr(embeddings, "_chunks", lambda n, width: range(0, n, 7))
     assert sorted(zip(*map(list, embeddings.cells_of(x, centres, 0.98)))) == whole and np.allclose(embeddings.spherical_kmeans(x, 20), centres)
+
+
+def test_labels_of_any_type(spark):
+    data = [(1, "1.2"), (2, "1.7"), (3, "x"), (4, "x"), (5, None), (6, "1.2")]
+    for kind, label in (("string", str), ("double", lambda v: -0.0 if v == "x" else float(v)), ("decimal(3,1)", lambda v: Decimal("9") if v == "x" else Decimal(v)), ("struct<a:string>", lambda v: (v,)), ("boolean", lambda v: v != "x")):
+        made = [(i, label(v) if v is not None else None, [1.0, 2.0]) for i, v in data]
+        df = spark.createDataFrame(made, f"vec_id long, label {kind}, embedding array<float>")
+        got = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.near_duplicates(df).collect()}
+        assert got[3] == got[4] == (1, 3) and got[5] == (0, 5)
+        assert got[1] == got[6] == ((2, 1) if kind == "boolean" else (1, 1)) and got[2] == ((2, 1) if kind == "boolean" else (0, 2)), kind
+
+
+def test_zeros_of_either_sign_are_one_label(spark):
+    df = spark.createDataFrame([(1, 0.0, [1.0]), (2, -0.0, [1.0])], "vec_id long, label double, embedding array<float>")
+    assert [r.n_links for r in embeddings.near_duplicates(df).collect()] == [1, 1]
