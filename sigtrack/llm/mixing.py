@@ -25,7 +25,7 @@ from .common import WORD, stored, table, word_count
 #: The contract's weights by place in the order of sources, and its sizes.
 WEIGHTS, SHARE, MOST_COPIES = (5, 2, 1), 1.5, 2
 BITS = 48
-#: Name of a column that numbers the rows, if there is one already.
+#: Name of a column that numbers the rows, where they are stored with it.
 ROW = "_mix_row"
 #: White space between words, in Java's syntax.
 GAP = r"[\x20\x09-\x0D]+"
@@ -69,10 +69,12 @@ def targets(sizes: DataFrame) -> DataFrame:
     return w.select("source", "s", "source_size", F.least("cap", F.col("level") * F.col("weight")).alias("target"))
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    """row, doc_id, source, size and shuffled place (the md5 that documents are ordered by)."""
-    key = F.concat(F.lit("mix"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    row = F.col(ROW) if ROW in docs.columns else F.monotonically_increasing_id()
+def sized(docs: DataFrame, numbered: bool = False) -> DataFrame:
+    """row, doc_id, source, size and shuffled place (the md5 that documents are ordered by). Texts count in it too, so that
+    documents without a doc_id, or with the same one, are spread like others. ``numbered`` rows have a column ROW."""
+    text = F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))
+    key = F.concat(F.lit("mix"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("|"), text)
+    row = F.col(ROW) if numbered else F.monotonically_increasing_id()
     return docs.select(row.alias("row"), F.col("doc_id").cast("long"), F.col("source").cast("string"), word_count(F.col("text")).alias("size"), F.md5(key.cast("binary")).alias("draw"))
 
 
@@ -132,13 +134,13 @@ def slots(sources: DataFrame, block_words: int, cells: int = 1024) -> DataFrame:
     return k.select("slot", "s", rank.alias("rank"))
 
 
-def schedule(docs: DataFrame, block_words: int = 256) -> tuple[DataFrame, DataFrame]:
+def schedule(docs: DataFrame, block_words: int = 256, numbered: bool = False) -> tuple[DataFrame, DataFrame]:
     """The rows (``placed``) and the pieces of the mix: row, slot, place, copy, first word and words.
 
     A piece is the part of a document that falls in one block, ``place`` the block's words before
     it; the few blocks behind the last slot have the numbers of ``tail``.
     """
-    sizes = stored(sized(docs))
+    sizes = stored(sized(docs, numbered))
     sources = stored(targets(sizes))
     rows = stored(placed(sizes, sources))
     copy = F.explode(F.array(*(F.lit(c) for c in range(MOST_COPIES)))).alias("copy")
@@ -152,7 +154,7 @@ def schedule(docs: DataFrame, block_words: int = 256) -> tuple[DataFrame, DataFr
     return rows, pieces.join(plan, ["s", "rank"], "left").select("row", "slot", "place", "copy", "first_word", "words")
 
 
-def mix(docs: DataFrame, block_words: int = 256) -> DataFrame:
+def mix(docs: DataFrame, block_words: int = 256, numbered: bool = False) -> DataFrame:
     """row, doc_id, size, source_size, target, taken and the words taken of the first and second copy; and where they
     stand: first_slot, first_place (the words before it in that slot's block), last_slot and n_pieces, the number of parts.
 
@@ -160,7 +162,7 @@ def mix(docs: DataFrame, block_words: int = 256) -> DataFrame:
     Rows that repeat a doc_id are rows of their own. An empty table gives no rows. What is taken
     of a copy is its leading words, as a source's last block may end inside a document.
     """
-    rows, pieces = schedule(docs, block_words)
+    rows, pieces = schedule(docs, block_words, numbered)
     part = lambda c: F.sum(F.when(F.col("copy") == c, F.col("words")).otherwise(0)).alias(f"taken_{c}")
     taken = pieces.groupBy("row").agg(F.sum("words").alias("taken"), part(0), part(1), F.min(F.struct("slot", "place")).alias("first"), F.max("slot").alias("last_slot"), F.count(F.lit(1)).alias("n_pieces"))
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
@@ -171,11 +173,12 @@ def blocks(docs: DataFrame, block_words: int = 256) -> DataFrame:
     """The mix in the order of its slots, a row per part of a document in a block: slot, place, source, doc_id, copy,
     first_word, words, text.
 
+    Null texts have no parts; rows that repeat a doc_id, or have none, are rows of their own; an empty table gives no rows.
     ``place`` is the block's words before the part. Texts keep the white space behind their words, so a document's
     parts in order of first_word are its text. Blocks without a slot come last, with the next numbers.
     """
     rows = stored(docs.select("doc_id", "source", "text").withColumn(ROW, F.monotonically_increasing_id()))
-    _, pieces = schedule(rows, block_words)
+    _, pieces = schedule(rows, block_words, numbered=True)
     parts = pieces.groupBy("row").agg(F.collect_list(F.struct("slot", "place", "copy", "first_word", "words")).alias("parts"))
     whole = rows.join(parts, rows[ROW] == parts["row"]).select(F.col("doc_id").cast("long"), F.col("source").cast("string"), F.col("text").cast("string"), "parts")
 
@@ -211,16 +214,24 @@ def mixed(docs: DataFrame, block_words: int = 256) -> DataFrame:
 
     ``text`` is what is taken: the text, once or twice with a line feed between; where a source's
     last block ends inside a document, its leading words with single spaces. n_chars, if there, is
-    counted anew.
+    counted anew. Rows that repeat a doc_id, or have none, are rows of their own; null texts have no
+    words and go; an empty table gives no rows; columns of any other name stay as they are.
     """
-    rows = stored(docs.withColumn(ROW, F.monotonically_increasing_id()))
-    plan = mix(rows, block_words).where("taken > 0").select(F.col("row").alias(ROW), F.col("size").alias("_mix_size"), F.col("taken_0").alias("_mix_0"), F.col("taken_1").alias("_mix_1"), F.col("first_slot").alias("_mix_slot"), F.col("first_place").alias("_mix_place"))
+    # columns go by their numbers meanwhile, so none can have a name that is used here
+    named = [f"c{i}" for i in range(len(docs.columns))]
+    at = {c: n for c, n in zip(docs.columns, named)}
+    kept = docs.toDF(*named).withColumns({c: F.col(at[c]) for c in ("doc_id", "source", "text")})
+    rows = stored(kept.withColumn(ROW, F.monotonically_increasing_id()))
+    plan = mix(rows, block_words, numbered=True).where("taken > 0").select(
+        F.col("row").alias(ROW), F.col("size").alias("_mix_size"), F.col("taken_0").alias("_mix_0"), F.col("taken_1").alias("_mix_1"),
+        F.col("first_slot").alias("_mix_slot"), F.col("first_place").alias("_mix_place"),
+    )
     words = F.filter(F.split("text", GAP), lambda w: w != "")
     part = lambda c: F.when(F.col(c) == F.col("_mix_size"), F.col("text")).when(F.col(c) > 0, F.array_join(F.slice(words, F.lit(1), F.col(c).cast("int")), " "))
-    out = rows.join(plan, ROW).withColumn("text", F.concat_ws("\n", part("_mix_0"), part("_mix_1")))
+    out = rows.join(plan, ROW).withColumn(at["text"], F.concat_ws("\n", part("_mix_0"), part("_mix_1")))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.orderBy("_mix_slot", "_mix_place").select(*docs.columns)
+        out = out.withColumn(at["n_chars"], F.length(at["text"]).cast(docs.schema["n_chars"].dataType))
+    return out.orderBy("_mix_slot", "_mix_place").select(*(F.col(n).alias(c) for c, n in at.items()))
 
 
 def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -238,7 +249,7 @@ def op9_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 _SQL = r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-         md5('mix' || coalesce(doc_id::VARCHAR, '')) AS draw
+         md5('mix' || coalesce(doc_id::VARCHAR, '') || '|' || md5(coalesce(text, ''))) AS draw
   FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 w AS (

@@ -1,4 +1,5 @@
 import hashlib
+import html
 import os
 import re
 import textwrap
@@ -79,6 +80,18 @@ def test_the_schedule_decides_the_mix(spark, monkeypatch):
     assert slots() != other
 
 
+def test_documents_without_an_id_are_spread(spark):
+    docs = spark.range(100_000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"), F.lit("s").alias("source"))
+    cells = mixing.sized(docs).groupBy(F.substring("draw", 1, 2)).count().collect()
+    assert len(cells) == 256 and max(r["count"] for r in cells) < 600
+
+
+def test_mixed_keeps_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(i, f"a b c d {i}", f"s{i % 2}", f"row {i}", 7, i, None) for i in range(40)], "doc_id long, text string, source string, _mix_row string, c1 int, row long, slot string")
+    got = mixing.mixed(docs, 4)
+    assert got.columns == docs.columns and got.count() > 20 and all(r._mix_row == f"row {r.doc_id}" and r.c1 == 7 and r.row == r.doc_id for r in got.collect())
+
+
 def test_mixed_texts(spark):
     docs = mixed_docs(spark).withColumn("taken_0", F.lit(5)).withColumn("n_chars", F.length("text").cast("long"))
     out = mixing.mixed(docs, 4)
@@ -91,12 +104,13 @@ def test_mixed_texts(spark):
 def brute_mix(spark, docs, n):
     """(slot, place, source, doc_id, copy, first word, words, text) of the mix in slot order, a word at a time."""
     data = {(r.doc_id, r.source): r.text or "" for r in docs.collect()}
-    draw = lambda d: (hashlib.md5(f"mix{'' if d is None else d}".encode()).hexdigest(), d)
+    md5 = lambda t: hashlib.md5(t.encode()).hexdigest()
+    draw = lambda s: lambda d: (md5(f"mix{'' if d is None else d}|{md5(data[d, s])}"), d)
     target = {r.source: r.target for r in mixing.targets(mixing.sized(docs)).collect()}
     order = sorted(target, key=lambda s: (s is None, s or ""))
     cut = {}
     for s in order:
-        words = [(copy, d, i) for copy in (0, 1) for d in sorted((d for d, x in data if x == s), key=draw) for i in range(len(data[d, s].split()))][: int(target[s] + 0.5)]
+        words = [(copy, d, i) for copy in (0, 1) for d in sorted((d for d, x in data if x == s), key=draw(s)) for i in range(len(data[d, s].split()))][: int(target[s] + 0.5)]
         cut[s] = [words[i : i + n] for i in range(0, len(words), n)]
     total, at, upper = sum(map(len, cut.values())), 0, []
     for s in order:
@@ -196,6 +210,41 @@ def test_page_markup_by_whole_names():
     assert webpage.lines_of(page) == [("kept", True), ("m", True)]
 
 
+def test_page_markup_by_parts_of_names():
+    page = "<div class='site-footer'>f</div><div id='ad-slot'>a</div><div class='with-sidebar'>w</div><div class='user-comments'>c</div><div class='notice'>n</div><main><div class='notice'>Correction</div><div class='article-footer'>By me</div><div class='ad-slot-1'>a</div><p class='no-ads'>kept</p><div class='reader_comments'>c</div></main>"
+    assert webpage.lines_of(page) == [("w", False), ("Correction", True), ("By me", True), ("kept", True)]
+
+
+def test_titles_and_headings_are_marked():
+    page = "<title>Two  &amp; one</title><h2>Out</h2><p>Two & one</p><article><h1>First</h1><p>First</p><h3>Part</h3><p>Part</p><p>x</p></article><p>First</p><p>Part</p>"
+    assert [(t, named) for t, _, named in webpage.marked_lines(page)] == [("Out", False), ("Two & one", True), ("First", True), ("First", True), ("Part", True), ("Part", True), ("x", False), ("First", True), ("Part", False)]
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_no_line_of_a_given_article_is_lost(spark, sf):
+    """The given pages hold one article each, of a heading and paragraphs: texts taken from these by patterns alone."""
+    path = f"/root/testdata/{sf}/pages.parquet"
+    if not os.path.exists(path):
+        pytest.skip("the synthetic tables are not here")
+    pages = spark.read.parquet(path)
+    want = {}
+    for r in pages.collect():
+        article = re.search(r"<article[^>]*>(.*?)</article>", r.html or "", re.S)
+        blocks = re.findall(r"<(h1|p)\b[^>]*>(.*?)(?=</(?:h1|p)>|<p\b|$)", article[1] if article else "", re.S)
+        lines = [" ".join(html.unescape(re.sub(r"<[^>]*>", lambda m: " " if m[0].startswith("<br") else "", b)).split()) for _, b in blocks]
+        want[r.page_id] = "\n".join(x for x in lines if x)
+    got = {r.page_id: r.text for r in webpage.main_text(pages).collect()}
+    assert got == want and sum(map(bool, want.values())) > 0.9 * len(want)
+
+
+def test_two_pages_of_four_tell_nothing(spark):
+    page = lambda i: f"<title>T{i}</title><main><h1>{'Same' if i < 4 else i}</h1><p>{'Shared passage' if i % 4 < 2 else i}</p><p>Own {i}</p><p>Our offer</p></main>"
+    data = [(i, f"http://q.org/{i}", page(i)) for i in range(4)] + [(10 + i, f"http://r.org/{i}", page(i + 2)) for i in range(2)]
+    got = {r.page_id: r.text for r in webpage.main_text(spark.createDataFrame(data, "page_id long, url string, html string")).collect()}
+    assert got[0] == "Same\nShared passage\nOwn 0" and got[2] == "Same\n2\nOwn 2"  # headings stay, what all four share goes
+    assert got[10] == "Same\n2\nOwn 2\nOur offer"
+
+
 def test_odd_markup_takes_linear_time():
     for page in ("<a " * 350_000, "<a x='" * 150_000, "<div>" * 50_000 + "</span>" * 50_000, "<b>" * 30_000 + "<li></li>" * 30_000, "<!-- " * 200_000, "<a  b = " * 100_000):
         start = time.process_time()
@@ -222,6 +271,7 @@ def brute_text(pages):
     split = lambda u: webpage._URL.match(u or "")
     order = sorted((split(u)[1].lower().removeprefix("www."), re.sub(r"(\.html?|/)+$", "", split(u)[2]), i, k) for k, (i, u, h) in enumerate(pages))
     lines = [webpage.lines_of(h or "") for *_, h in pages]
+    titles = [{t for t, _, named in webpage.marked_lines(h or "") if named} for *_, h in pages]
     order = [o for o in order if lines[o[3]]]
     shared, hosts = {}, Counter(o[0] for o in order)
     for n, (host, path, _, k) in enumerate(order):
@@ -231,8 +281,9 @@ def brute_text(pages):
             if 0 < len(common) < len(lines[k]):
                 shared[k] = host, common
                 break
+    shared = {k: (host, [i for i in c if lines[k][i][0] not in titles[k]]) for k, (host, c) in shared.items()}
     votes = Counter((host, t) for k, (host, c) in shared.items() for t in {lines[k][i][0] for i in c if lines[k][i][1]})
-    gone = {k: {i for i in c if not lines[k][i][1] or (hosts[host] >= 4 and 2 * votes[host, lines[k][i][0]] >= hosts[host])} for k, (host, c) in shared.items()}
+    gone = {k: {i for i in c if not lines[k][i][1] or (votes[host, lines[k][i][0]] >= 4 and 2 * votes[host, lines[k][i][0]] >= hosts[host])} for k, (host, c) in shared.items()}
     return [(i, u, "\n".join(t for n, (t, _) in enumerate(lines[k]) if n not in gone.get(k, ()))) for k, (i, u, _) in enumerate(pages)]
 
 
