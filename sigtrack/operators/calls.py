@@ -6,31 +6,41 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.statistics import P_FLOOR, chi2_survival
+from .running import with_halo
 
 BIN, BINS = 0.01, 10_000
 
 
-def fisher_combined(obs: DataFrame, lag: int, *, p: str = "p", read: list[str] = ["read_id", "chrom"], pos: str = "pos") -> DataFrame:
+def fisher_combined(obs: DataFrame, lag: int, *, p: str = "p", read: list[str] = ["read_id", "chrom"], pos: str = "pos", width: int = 1 << 16) -> DataFrame:
     """combined: p-values of a read within ``lag`` positions joined by Fisher's method.
 
-    The window is by position, so gaps are simply absent; one row for each read and position.
+    The window is by position, so gaps are simply absent; one row for each read and position. A
+    read is cut into bins with a halo of ``lag`` positions, so a long one is no single task.
     """
     if lag == 0:
         return obs.withColumn("combined", F.col(p))
-    near = Window.partitionBy(*read).orderBy(pos).rangeBetween(-lag, lag)
+    near = Window.partitionBy(*read, "bin_").orderBy(pos).rangeBetween(-lag, lag)
     s = -F.sum(F.log(F.greatest(F.col(p), F.lit(P_FLOOR)))).over(near)
-    return obs.withColumn("s_", s).withColumn("m_", F.count(p).over(near)).withColumn("combined", chi2_survival(F.col("s_"), F.col("m_"))).drop("s_", "m_")
+    rows = with_halo(obs, pos, lag, max(width, 4 * lag))
+    rows = rows.withColumn("s_", s).withColumn("m_", F.count(p).over(near)).where("own_")
+    return rows.withColumn("combined", chi2_survival(F.col("s_"), F.col("m_"))).drop("s_", "m_", "bin_", "own_")
 
 
-def clean_context(obs: DataFrame, flank: int, *, error: str = "is_error", read: list[str] = ["read_id", "chrom"], pos: str = "pos") -> DataFrame:
-    """clean: no error within ``flank`` positions and that window inside the read's span; -1 turns it off."""
+def clean_context(obs: DataFrame, flank: int, *, error: str = "is_error", read: list[str] = ["read_id", "chrom"], pos: str = "pos", width: int = 1 << 16) -> DataFrame:
+    """clean: no error within ``flank`` positions and that window inside the read's span; -1 turns it off.
+
+    Bins of positions have a halo of the errors at their edges, and spans are a row per read: what
+    is as long as a chromosome is spread over tasks like anything else.
+    """
     if flank < 0:
         return obs.withColumn("clean", F.lit(True))
-    rows = Window.partitionBy(*read)
-    near = rows.orderBy(pos).rangeBetween(-flank, flank)
-    none = F.max(F.col(error).cast("int")).over(near) == 0
-    inside = (F.col(pos) - flank >= F.min(pos).over(rows)) & (F.col(pos) + flank <= F.max(pos).over(rows))
-    return obs.withColumn("clean", none & inside)
+    wrong = F.coalesce(F.col(error).cast("boolean"), F.lit(False))
+    rows = with_halo(obs, pos, flank, max(width, 4 * flank), wrong)
+    near = Window.partitionBy(*read, "bin_").orderBy(pos).rangeBetween(-flank, flank)
+    rows = rows.withColumn("none_", F.max(wrong.cast("int")).over(near) == 0).where("own_")
+    spans = obs.groupBy(*read).agg(F.min(pos).alias("low_"), F.max(pos).alias("high_"))
+    inside = (F.col(pos) - flank >= F.col("low_")) & (F.col(pos) + flank <= F.col("high_"))
+    return rows.join(spans, read).withColumn("clean", F.col("none_") & inside).select(*obs.columns, "clean")
 
 
 def call_totals(calls: DataFrame, by: list[str] = ["sample", "chrom", "pos", "strand"], min_cov: int = 1) -> DataFrame:

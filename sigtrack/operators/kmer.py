@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.statistics import MAD_SCALE, z_score
+from ..storage import stored
+from .running import group_quantiles
 
 
 def priority(seed: int, *keys: str) -> Column:
@@ -27,14 +29,25 @@ def bounded_sample(obs: DataFrame, key: str, most: int, order: list[Column]) ->
 
 def kmer_model(obs: DataFrame, *, kmer: str = "kmer", level: str = "level", mad: float = 15.0) -> DataFrame:
     """n, n_outlier, mean, sd, median and mad by k-mer; mean and sd leave out what is more than
-    ``mad`` deviations off the median. Medians are a row per k-mer and join back small."""
-    rows = obs.where(F.col(kmer).isNotNull() & F.col(level).isNotNull()).select(F.col(kmer).alias("kmer"), F.col(level).alias("x"))
-    centre = rows.groupBy("kmer").agg(F.median("x").alias("median"), F.count(F.lit(1)).alias("n_all"))
-    away = rows.join(centre, "kmer").withColumn("d", F.abs(F.col("x") - F.col("median")))
-    spread = away.groupBy("kmer").agg(F.median("d").alias("mad"))
-    kept = away.join(spread, "kmer").where(F.col("d") <= mad * F.col("mad"))
-    model = kept.groupBy("kmer").agg(F.count(F.lit(1)).alias("n"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("sd"), F.first("median").alias("median"), F.first("mad").alias("mad"), F.first("n_all").alias("n_all"))
-    return model.select("kmer", "n", (F.col("n_all") - F.col("n")).alias("n_outlier"), "mean", "sd", "median", "mad")
+    ``mad`` deviations off the median.
+
+    Observations are read once, for their counts by k-mer and level; all that follows works on the
+    counts, and medians by ranges of values, so no k-mer's levels meet in one buffer.
+    """
+    rows = obs.where(F.col(kmer).isNotNull() & F.col(level).isNotNull())
+    counts = stored(rows.groupBy(F.col(kmer).alias("kmer"), F.col(level).cast("double").alias("x")).agg(F.count(F.lit(1)).alias("w")))
+    centre = group_quantiles(counts, ["kmer"], "x", {"median": 0.5}, "w")
+    away = stored(counts.join(centre, "kmer").withColumn("d", F.abs(F.col("x") - F.col("median"))))
+    spread = group_quantiles(away, ["kmer"], "d", {"mad": 0.5}, "w")
+    y, w = F.col("x") - F.col("median"), F.col("w")
+    met = away.join(spread, "kmer")
+    kept = F.col("d") <= mad * F.col("mad")
+    inside = lambda c: F.sum(F.when(kept, c))
+    # moments about the median, which is near the mean
+    sums = met.groupBy("kmer", "median", "mad").agg(F.sum("w").alias("n_all"), inside(w).alias("n"), inside(w * y).alias("s"), inside(w * y * y).alias("q"))
+    mean, n = F.col("s") / F.col("n"), F.col("n")
+    sd = F.when(n > 1, F.sqrt(F.greatest(F.lit(0.0), F.col("q") - F.col("s") * mean) / (n - 1)))
+    return sums.select("kmer", "n", (F.col("n_all") - n).alias("n_outlier"), (F.col("median") + mean).alias("mean"), sd.alias("sd"), "median", "mad")
 
 
 def pooled_model(samples: list[DataFrame], **more) -> DataFrame:

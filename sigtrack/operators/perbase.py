@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import warnings
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.sequence import known_base
@@ -49,7 +49,7 @@ def pileup_stats(pileup: DataFrame) -> DataFrame:
 def missing_contigs(track: DataFrame, genome: DataFrame, on_missing: str = "error") -> list[str]:
     """The contigs of a track that the reference lacks: an error, or with "warn" a warning and bases N."""
     lacking = track.select("chrom").distinct().join(genome.select("chrom"), "chrom", "left_anti")
-    found = sorted(r.chrom for r in lacking.where("chrom is not null").limit(1000).collect())
+    found = sorted(r.chrom for r in lacking.where("chrom is not null").collect())  # contigs, not positions
     if found and on_missing == "error":
         raise ValueError(f"the reference has no contig {', '.join(found)}")
     if found:
@@ -57,6 +57,27 @@ def missing_contigs(track: DataFrame, genome: DataFrame, on_missing: str = "erro
     return found
 
 
+def reference(spark: SparkSession, path: str, track: DataFrame, on_missing: str = "error", **options: object) -> DataFrame:
+    """The sequence (chrom, start, seq in pieces) of a FASTA file or folder, for a track. Contigs of the track that it lacks
+    are an error, or with "warn" a warning, and have no pieces."""
+    pieces = spark.read.format("fasta").options(**options).load(path)
+    missing_contigs(track, pieces.select("chrom").distinct(), on_missing)
+    return pieces
+
+
+def with_sequence_base(track: DataFrame, pieces: DataFrame, tile: int = 1024) -> DataFrame:
+    """nt of each position (from 1) of a track, from pieces (chrom, start from 0, seq); N where they have none.
+
+    Pieces are cut to tiles and a position looks up its own: pieces begin at multiples of ``tile``.
+    """
+    number = F.explode(F.sequence(F.lit(0), F.floor((F.length("seq") - 1) / tile).cast("int")))
+    cut = pieces.where(F.length("seq") > 0).select("chrom", "start", "seq", number.alias("i"))
+    tiles = cut.select("chrom", (F.floor(F.col("start") / tile) + F.col("i")).alias("tile_"), F.substring("seq", F.col("i") * tile + 1, F.lit(tile)).alias("tile_seq_"))
+    at = track.withColumn("tile_", F.floor((F.col("pos") - 1) / tile)).join(tiles, ["chrom", "tile_"], "left")
+    base = F.substring("tile_seq_", F.pmod(F.col("pos") - 1, F.lit(tile)).cast("int") + 1, F.lit(1))
+    return at.withColumn("nt", known_base(base)).drop("tile_", "tile_seq_")
+
+
 def with_reference_base(track: DataFrame, bases: DataFrame) -> DataFrame:
     """nt of each position by (chrom, pos); N where the reference has none."""
     return track.join(bases.select("chrom", "pos", "nt"), ["chrom", "pos"], "left").withColumn("nt", known_base(F.col("nt")))

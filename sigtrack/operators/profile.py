@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .running import range_sums
+
 
 def feature_windows(features: DataFrame, n: int, width: int) -> DataFrame:
     """2n + 1 windows around each feature (fid, chrom, start, end, strand): distance, low, high (inclusive).
@@ -19,23 +21,17 @@ def feature_windows(features: DataFrame, n: int, width: int) -> DataFrame:
     return rows.select("fid", "chrom", (F.col("i") * width * F.when(F.col("minus"), -1).otherwise(1)).alias("distance"), (centre - half).alias("low"), (centre + half).alias("high"))
 
 
-def feature_profile(features: DataFrame, tracks: DataFrame, values: list[str], n: int, width: int, by: list[str] = ["sample", "strand"]) -> DataFrame:
-    """Mean of each value by feature, window and track; a range join as an equi-join on positions.
+def window_means(windows: DataFrame, tracks: DataFrame, values: list[str], keys: list[str], by: list[str]) -> DataFrame:
+    """Mean of each value, and the rows n, over all windows (chrom, low, high) of the same ``keys``, by track; nulls do not count."""
+    sums = range_sums(windows, tracks, values, by)
+    mean = lambda v: F.try_divide(F.sum(f"sum_{v}"), F.sum(f"n_{v}")).alias(v)
+    return sums.groupBy(*keys, *by).agg(*(mean(v) for v in values), F.sum("n").alias("n"))
 
-    A position is looked up once for all windows of a feature that hold it: features explode to
-    their span, and the joined rows, fewer than the span, to their windows.
-    """
-    minus = F.coalesce(F.col("f_strand"), F.lit("+")) == "-"
-    ref = F.when(minus, F.col("end")).otherwise(F.col("start"))
-    half = width // 2
-    span = features.select("fid", "chrom", F.col("start"), F.col("end"), F.col("strand").alias("f_strand"))
-    span = span.select("fid", "chrom", ref.alias("ref"), minus.alias("minus"), F.explode(F.sequence(ref - n * width - half, ref + n * width + half)).alias("pos"))
-    hit = span.where("pos >= 1").join(tracks.select("chrom", "pos", *by, *values), ["chrom", "pos"])
-    off = F.col("pos") - F.col("ref")
-    first, last = F.greatest(F.lit(-n), F.ceil((off - half) / width).cast("int")), F.least(F.lit(n), F.floor((off + half) / width).cast("int"))
-    rows = hit.where(first <= last).withColumn("i", F.explode(F.sequence(first, last)))
-    distance = (F.col("i") * width * F.when(F.col("minus"), -1).otherwise(1)).cast("int")
-    return rows.groupBy("fid", distance.alias("distance"), *by).agg(*(F.avg(v).alias(v) for v in values))
+
+def feature_profile(features: DataFrame, tracks: DataFrame, values: list[str], n: int, width: int, by: list[str] = ["sample", "strand"]) -> DataFrame:
+    """Mean of each value by feature, window and track, from running sums at the windows' edges."""
+    windows = feature_windows(features, n, width).withColumn("distance", F.col("distance").cast("int"))
+    return window_means(windows, tracks, values, ["fid", "distance"], by).drop("n")
 
 
 def in_output_order(profile: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..storage import stored
@@ -24,6 +24,56 @@ def running_sum(rows: DataFrame, by: list[str], pos: str, value: str, *, width:
     return inside.join(whole, [*by, "bin_"]).withColumn(name, F.col("before_") + F.col("inside_")).drop("bin_", "before_", "inside_")
 
 
+def places(rows: DataFrame, by: list[str], order: list[str], *, width: int = 1 << 16, name: str = "place") -> DataFrame:
+    """The place of each row within ``by`` in the order of ``order``, from 1; the first of ``order`` is a position.
+
+    Rows are numbered within bins of ``width`` positions, and a bin starts behind the rows of those before it.
+    """
+    binned = rows.withColumn("bin_", F.floor(F.col(order[0]) / width))
+    whole = binned.groupBy(*by, "bin_").agg(F.count(F.lit(1)).alias("n_"))
+    before = Window.partitionBy(*by).orderBy("bin_").rowsBetween(Window.unboundedPreceding, -1)  # a row per bin
+    whole = whole.withColumn("before_", F.coalesce(F.sum("n_").over(before), F.lit(0))).drop("n_")
+    inside = binned.withColumn("inside_", F.row_number().over(Window.partitionBy(*by, "bin_").orderBy(*order)))
+    return inside.join(whole, [*by, "bin_"]).withColumn(name, F.col("before_") + F.col("inside_")).drop("bin_", "before_", "inside_")
+
+
+def with_halo(rows: DataFrame, pos: str, reach: int, width: int, halo: Column | None = None) -> DataFrame:
+    """Rows dealt to bins of ``width`` positions (bin_), and again, with own_ false, to each other bin of which a position is
+    within ``reach``: a window of positions around a row lies whole in the row's own bin. ``halo`` tells which rows others need."""
+    own = F.floor(F.col(pos) / width)
+    every = F.sequence(F.floor((F.col(pos) - reach) / width), F.floor((F.col(pos) + reach) / width))
+    needed = every if halo is None else F.when(halo, every).otherwise(F.array(own))
+    return rows.withColumn("bin_", F.explode(needed)).withColumn("own_", F.col("bin_") == own)
+
+
+def range_sums(ranges: DataFrame, track: DataFrame, values: list[str], by: list[str], *, width: int = 1 << 12) -> DataFrame:
+    """Sums over ranges of positions (chrom, low, high, inclusive) of each of the tracks that ``by`` tells apart: the columns
+    of ``ranges``, ``by``, n (rows in the range, at least 1), and for each value v its sum sum_v and its number of values n_v.
+
+    A range is the difference of running sums at its two edges. Edges stand among a bin's rows, each once for all ranges
+    that share it, and take the bin's sum up to there; sums of whole bins are run up apart. So a range costs two rows for
+    each track, whatever its length, and nothing is exploded to positions.
+    """
+    measures = {"n_": F.lit(1), **{f"s_{v}": F.coalesce(F.col(v).cast("double"), F.lit(0.0)) for v in values}, **{f"c_{v}": F.col(v).isNotNull().cast("long") for v in values}}
+    rows = track.select("chrom", *by, "pos", *(c.alias(m) for m, c in measures.items()), F.lit(False).alias("edge_"))
+    tracks = track.select("chrom", *by).distinct()  # as few as there are tracks and contigs
+    edges = ranges.select("chrom", F.explode(F.array(F.col("low") - 1, F.col("high"))).alias("pos")).distinct().join(tracks, "chrom")
+    empty = edges.select("chrom", *by, F.col("pos").cast(track.schema["pos"].dataType), *(F.lit(0).alias(m) for m in measures), F.lit(True).alias("edge_"))
+    both = rows.unionByName(empty).withColumn("bin_", F.floor(F.col("pos") / width))
+    upto = Window.partitionBy("chrom", *by, "bin_").orderBy("pos").rangeBetween(Window.unboundedPreceding, 0)
+    inside = both.withColumns({m: F.sum(m).over(upto) for m in measures}).where("edge_").drop("edge_")
+    whole = both.groupBy("chrom", *by, "bin_").agg(*(F.sum(m).alias(m) for m in measures))
+    before = Window.partitionBy("chrom", *by).orderBy("bin_").rowsBetween(Window.unboundedPreceding, -1)  # a row per bin
+    whole = whole.select("chrom", *by, "bin_", *(F.coalesce(F.sum(m).over(before), F.lit(0)).alias(f"{m}before") for m in measures))
+    known = inside.join(whole, ["chrom", *by, "bin_"]).drop("bin_")
+    side = lambda end, edge: known.select("chrom", *by, F.col("pos").alias(edge), *(F.struct(m, f"{m}before").alias(f"{m}{end}") for m in measures))
+    met = ranges.withColumn("edge_", F.col("low") - 1).join(side("low", "edge_"), ["chrom", "edge_"]).drop("edge_").join(side("high", "high"), ["chrom", *by, "high"])
+    # within a bin the whole bins' sums cancel exactly
+    between = lambda m: (F.col(f"{m}high.{m}before") - F.col(f"{m}low.{m}before")) + (F.col(f"{m}high.{m}") - F.col(f"{m}low.{m}"))
+    out = met.select(*ranges.columns, *by, between("n_").alias("n"), *(between(f"s_{v}").alias(f"sum_{v}") for v in values), *(between(f"c_{v}").alias(f"n_{v}") for v in values))
+    return out.where("n > 0")
+
+
 def ordered_sum(rows: DataFrame, by: list[str], order: str, value: str, *, name: str = "running") -> DataFrame:
     """Sum of ``value`` up to and including each row, by ``order`` of any type within ``by``.
 
@@ -40,13 +90,14 @@ def ordered_sum(rows: DataFrame, by: list[str], order: str, value: str, *, name:
     return inside.join(whole, [*by, "part_"]).withColumn(name, F.col("before_") + F.col("inside_")).drop("part_", "before_", "inside_")
 
 
-def group_quantiles(rows: DataFrame, by: list[str], value: str, levels: Mapping[str, float]) -> DataFrame:
+def group_quantiles(rows: DataFrame, by: list[str], value: str, levels: Mapping[str, float], weight: str | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation by group, a column for each of ``levels``; nulls do not count.
+    A row stands for ``weight`` equal ones.
 
     Values are counted first; a quantile is then the least value that enough others do not exceed.
     So neither a group's values nor its value counts meet in one task, as they do in ``percentile``.
     """
-    counts = rows.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).cast("double").alias("x_")).agg(F.count(F.lit(1)).alias("n_"))
+    counts = rows.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).cast("double").alias("x_")).agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("n_"))
     upto = ordered_sum(counts, by, "x_", "n_", name="upto_")
     last = upto.groupBy(*by).agg(F.max("upto_").alias("all_"))  # a row per group
     h = {k: (F.col("all_") - 1) * F.lit(float(q)) for k, q in levels.items()}

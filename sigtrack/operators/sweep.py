@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from .running import group_quantiles
 
-PARAMETERS = ["set", "backend", "mapq", "mad", "max_obs", "flank", "scale", "min_kmer_obs", "fisher_lag", "threshold"]
-
-
 def model_sets(relationships: DataFrame, pools: DataFrame, available: DataFrame) -> DataFrame:
     """(relationship, model_set): the matched control, and each pool that has it, if all members are available.
 
@@ -41,6 +38,7 @@ def unit_summary(joined: DataFrame, by: list[str], min_cov: int) -> DataFrame:
     """Numbers of each unit and contig over positions that both sides cover.
 
     The background, mean frac_c, joins back for the count of reactive positions: a row per unit and contig.
+    ``joined`` is read four times: store it.
     """
     rows = joined.where((F.col("cov_t") >= min_cov) & (F.col("cov_c") >= min_cov))
     t = F.col("nt") == "T"
@@ -51,9 +49,11 @@ def unit_summary(joined: DataFrame, by: list[str], min_cov: int) -> DataFrame:
         F.avg("reactivity").alias("mean_reactivity"), F.max("reactivity").alias("max_reactivity"), best.alias("best"), F.avg(F.when(t, F.col("reactivity"))).alias("mean_t"), F.avg(F.when(~t, F.col("reactivity"))).alias("mean_not_t"),
         F.count_if(t).alias("n_t"), F.stddev_samp("reactivity").alias("sd"),
     )
-    for side in ("t", "c"):
-        middle = group_quantiles(rows, by, f"cov_{side}", {f"median_cov_{side}": 0.5})
-        out = out.join(middle, by)
+    # both sides' coverages in one column, so one order of values serves both medians
+    sides = F.explode(F.array(*(F.struct(F.lit(s).alias("side"), F.col(f"cov_{s}").alias("cov")) for s in ("t", "c"))))
+    middle = group_quantiles(rows.select(*by, sides.alias("s")).select(*by, "s.*"), [*by, "side"], "cov", {"median": 0.5})
+    of = lambda s: F.max(F.when(F.col("side") == s, F.col("median"))).alias(f"median_cov_{s}")
+    out = out.join(middle.groupBy(*by).agg(of("t"), of("c")), by)
     reactive = rows.join(out.select(*by, "background"), by).groupBy(*by).agg(F.count_if(F.col("reactivity") > 3 * F.col("background")).alias("n_reactive"))
     every = joined.select(*by).distinct()
     out = every.join(out, by, "left").join(reactive, by, "left")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..storage import stored
+
 
 def spine(genome: DataFrame, width: int) -> DataFrame:
     """Windows of each chromosome (chrom, size), the last one clipped; 0-based, half-open."""
@@ -58,3 +60,18 @@ def restricted(genome: DataFrame, track: DataFrame) -> DataFrame:
 def genome_order(rows: DataFrame, genome: DataFrame, *then: str) -> DataFrame:
     """Rows in the order of the genome's contigs."""
     return rows.join(genome.select("chrom", "rank"), "chrom").orderBy("rank", *then).drop("rank")
+
+
+def zoom_levels(track: DataFrame, value: str, by: list[str], base: int = 1024, factor: int = 4, levels: int = 4) -> DataFrame:
+    """A track at several resolutions, as browsers of genomes keep it: (by, level, start, n, least, largest, total, squares) of
+    the positions of windows of base * factor^level; each level is made from the one below, so positions are read once."""
+    start = lambda pos, width: (F.floor(pos / width) * width).cast("long").alias("start")
+    x = F.col(value)
+    rows = track.where(x.isNotNull()).groupBy(*by, start(F.col("pos") - 1, base))
+    level = stored(rows.agg(F.count(x).alias("n"), F.min(x).alias("least"), F.max(x).alias("largest"), F.sum(x).alias("total"), F.sum(x * x).alias("squares")))
+    out = level.withColumn("level", F.lit(0))
+    for k in range(1, levels):
+        sums = F.sum("n").alias("n"), F.min("least").alias("least"), F.max("largest").alias("largest"), F.sum("total").alias("total"), F.sum("squares").alias("squares")
+        level = stored(level.groupBy(*by, start(F.col("start"), base * factor**k)).agg(*sums))
+        out = out.unionByName(level.withColumn("level", F.lit(k)))
+    return out.select(*by, "level", "start", "n", "least", "largest", "total", "squares")

@@ -179,7 +179,7 @@ def _(t):
 
 @query("srt01_sorted_track", "sig", "SELECT chrom, pos, strand, row_number() OVER (PARTITION BY strand, chrom ORDER BY pos) AS place FROM sig")
 def _(t):
-    return _significant(t).select("chrom", "pos", "strand", F.row_number().over(Window.partitionBy("strand", "chrom").orderBy("pos")).cast("long").alias("place"))
+    return running.places(_significant(t).select("chrom", "pos", "strand"), ["strand", "chrom"], ["pos"], width=256)
 
 
 @query("agg05_kmer_model", "model", "SELECT kmer, n, n_outlier, round(mean, 6) AS mean, round(sd, 6) AS sd, round(median, 6) AS median, round(mad, 6) AS mad FROM model")
@@ -293,7 +293,7 @@ def _read_p(t: Tables) -> DataFrame:
 
 @query("win01_fisher_window", "obs", """AND r AS (SELECT read_id, chrom, pos, min(phred / 51) AS p FROM obs GROUP BY ALL),
 w AS (SELECT *, -sum(ln(greatest(p, 1e-300))) OVER n AS s, count(*) OVER n AS m FROM r WINDOW n AS (PARTITION BY read_id, chrom ORDER BY pos RANGE BETWEEN 200 PRECEDING AND 200 FOLLOWING))
-SELECT read_id, chrom, pos, round(least(1.0, exp(-s) * list_sum(list_transform(generate_series(0, m - 1), lambda i: power(s, i) / factorial(i::INT)))), 6) AS combined FROM w WHERE m <= 7""")
+SELECT read_id, chrom, pos, round(CASE WHEN s > 0 THEN least(1.0, list_sum(list_transform(range(m), lambda i: exp(i * ln(s) - s - lgamma(i + 1))))) ELSE 1 END, 6) AS combined FROM w""")
 def _(t):
     # positions are far apart in a read of this table, so the window is wide
     return r6(calls.fisher_combined(_read_p(t), 200).select("read_id", "chrom", "pos", "combined"), "combined")
@@ -343,12 +343,24 @@ def _(t):
     return r6(t.reads().select("sample", "read_id", S.error_phred(F.col("error")).alias("phred")), "phred")
 
 
-@query("flt04_read_half")
+def _crc_entry(n: int) -> int:
+    """An entry of the table of CRC-32: eight steps of division by its polynomial."""
+    for _ in range(8):
+        n = n >> 1 ^ (0xEDB88320 if n & 1 else 0)
+    return n
+
+
+@query("flt04_read_half", "obs", f"""AND r AS (SELECT DISTINCT read_id FROM obs),
+c AS (SELECT read_id, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(read_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+  lambda c, b: xor(c >> 8, ({[_crc_entry(n) for n in range(256)]}::BIGINT[])[(xor(c, b) & 255) + 1])) AS c FROM r)
+SELECT sample, CASE WHEN xor(c, 4294967295::BIGINT) % 2 = 0 THEN 'A' ELSE 'B' END AS half, count(*) AS n, count(DISTINCT read_id) AS n_reads FROM obs JOIN c USING (read_id) GROUP BY ALL""")
 def _(t):
     return t.obs().groupBy("sample", S.read_half(F.col("read_id")).alias("half")).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("read_id").alias("n_reads"))
 
 
-@query("sc08_two_sided_p")
+@query("sc08_two_sided_p", "scored", """AND x AS (SELECT sample, chrom, abs(z) / sqrt(2) AS x FROM scored),
+p AS (SELECT *, CASE WHEN x > 0 THEN 1 - exp(-x * x) * list_sum(list_transform(range(90), lambda n: exp((2 * n + 1) * ln(x) - lgamma(n + 1.5)))) ELSE 1 END AS p FROM x)
+SELECT sample, chrom, round(avg(p), 6) AS mean_p, round(avg(-log10(greatest(p, 1e-300))), 6) AS mean_stat FROM p GROUP BY ALL""")
 def _(t):
     rows = _scored(t).withColumn("p", stat.two_sided_p(F.col("z")))
     return r6(rows.groupBy("sample", "chrom").agg(F.avg("p").alias("mean_p"), F.avg(stat.minus_log_p(F.col("p"))).alias("mean_stat")), "mean_p", "mean_stat")
@@ -426,7 +438,10 @@ def _sheet(t: Tables) -> DataFrame:
     return demux.sample_sheet(raw)
 
 
-@query("agg27_conservation", "barcoded", "SELECT count(*) AS n_in, count(*) AS n_out, true AS conserved FROM barcoded")
+@query("agg27_conservation", "barcoded", r"""AND sheet AS (SELECT 'barcode' || lpad(i::VARCHAR, 2, '0') AS barcode, 'sample_' || (i % 5) AS sample FROM (SELECT unnest(generate_series(0, 19)) AS i)),
+b AS (SELECT regexp_extract(read_group, '(barcode[0-9]+)$', 1) AS barcode FROM barcoded),
+o AS (SELECT coalesce(sample, 'unclassified') AS sample, count(*) AS reads FROM b LEFT JOIN sheet USING (barcode) GROUP BY ALL)
+SELECT n_in, n_out, n_in = n_out AS conserved FROM (SELECT (SELECT count(*) FROM barcoded) AS n_in, (SELECT sum(reads)::BIGINT FROM o) AS n_out)""")
 def _(t):
     rows = t.barcoded()
     return demux.conservation(rows, demux.demux_counts(demux.assigned(rows, _sheet(t))))
@@ -638,7 +653,7 @@ SELECT unit, chrom, count(*) AS n, median(cov_t) AS median_cov_t, median(cov_c)
   round(avg(reactivity) FILTER (nt = 'T'), 6) AS mean_t, round(avg(reactivity) FILTER (nt <> 'T'), 6) AS mean_not_t, round(stddev_samp(reactivity), 6) AS sd, first(pos ORDER BY reactivity DESC, pos) AS max_pos, first(nt ORDER BY reactivity DESC, pos) AS max_nt,
   count(*) FILTER (nt = 'T') AS n_t, count(*) FILTER (reactivity > 3 * bg) AS n_reactive FROM k GROUP BY ALL""")
 def _(t):
-    return r6(sweep.unit_summary(_unit_join(t), ["unit", "chrom"], 2), "background", "mean_frac_t", "mean_reactivity", "max_reactivity", "mean_t", "mean_not_t", "sd")
+    return r6(sweep.unit_summary(stored(_unit_join(t)), ["unit", "chrom"], 2), "background", "mean_frac_t", "mean_reactivity", "max_reactivity", "mean_t", "mean_not_t", "sd")
 
 
 @query("agg29_run_estimate", "", """WITH h AS (SELECT p_type AS rule, avg(l_extendedprice) FILTER (l_linestatus = 'O') AS a, avg(l_extendedprice) FILTER (l_linestatus = 'F') AS b, max(l_quantity)::BIGINT + max(p_size) AS rss FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_type <> 'SMALL' GROUP BY ALL),

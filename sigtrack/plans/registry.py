@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import support_queries  # noqa: F401  registers its queries
+from . import source_queries, support_queries  # noqa: F401  they register their queries
 from .queries import QUERIES, SQL
 from .views import Tables
 

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import sequence as S
-from ..operators import calls, correlation, demux, kmer, perbase, planning, qc, reactivity, reads, windows
+from ..operators import calls, correlation, demux, kmer, perbase, planning, profile, qc, reactivity, reads, windows
 from ..sources import tables
-from ..storage import shared_dir
-from ..streaming.positions import stream_stats
+from ..storage import shared_dir, stored
+from ..streaming.keyed import KeyedStream, on_genome
 from .queries import _Q, _looked_up, _react, _scored, _significant, _stats, query, r6
 from .views import Tables
 
@@ -56,12 +56,8 @@ def _(t):
   FROM (SELECT *, CASE WHEN strand = '-' THEN "end" ELSE start END AS ref FROM features), (SELECT unnest(generate_series(-2, 2)) AS i))
 SELECT distance, s.strand, round(avg(cov), 5) AS cov, count(*) AS n FROM w JOIN stats s ON s.chrom = w.chrom AND s.pos BETWEEN low AND high GROUP BY ALL""")
 def _(t):
-    from ..operators import profile
-
-    spans = profile.feature_windows(t.features(), 2, 10).withColumn("pos", F.explode(F.sequence("low", "high")))
-    hit = spans.join(_stats(t).select("chrom", "pos", "strand", "cov"), ["chrom", "pos"])
-    out = hit.groupBy(F.col("distance").cast("int").alias("distance"), "strand").agg(F.avg("cov").alias("cov"), F.count(F.lit(1)).alias("n"))
-    return r6(out, "cov", digits=5)
+    windows = profile.feature_windows(t.features(), 2, 10).withColumn("distance", F.col("distance").cast("int"))
+    return r6(profile.window_means(windows, _stats(t).select("chrom", "pos", "strand", "cov"), ["cov"], ["distance"], ["strand"]), "cov", digits=5)
 
 
 @query("agg31_tag_survival", "", """WITH b AS (SELECT o_orderstatus <> 'P' AS mm, o_orderpriority LIKE '1%' AS ml, o_totalprice > 0 AS mv, o_custkey % 2 = 0 AS kept FROM orders)
@@ -166,23 +162,30 @@ def _(t):
     return ordered.join(offsets.select("chrom", "offset"), "chrom").select("chrom", "start", "end", place.alias("place"))
 
 
-def _stream(t: Tables, stats, columns: list[str], width: int) -> DataFrame:
-    """The observations as a stream of the table's files, with the state in the shared folder."""
-    spark = t.spark
-    schema = t.table("lineitem").schema
-    # a pattern, as the table can be a file and a stream's plain path must be a folder
-    folder = f"{t.sf_dir}/lineitem.parque[t]"
-    view = Tables(spark, t.sf_dir)
-    view.table = lambda name: spark.readStream.schema(schema).parquet(folder)
-    rows = view.obs().select(*columns, F.col("pos").alias("read_start"))
-    return stream_stats(rows, shared_dir(spark), stats, ["sample", "chrom", "strand"], width)
+def _stream(t: Tables, stats, columns: list[str], width: int, runs: int = 3) -> DataFrame:
+    """The observations as a stream of files in the order of the genome: each run finds a share of them, goes on with the
+    windows that the one before left open, and the last finds the end of the genome."""
+    spark, root = t.spark, shared_dir(t.spark)
+    keys = ["sample", "chrom", "strand"]
+    genome = stored(t.genome())
+    rows = stored(on_genome(t.obs().select(*keys, *columns, F.col("pos").alias("read_start")), genome, width))
+    last = rows.agg(F.max("window_end").alias("last")).first().last or 0
+    keyed = KeyedStream(f"{root}/run", stats, keys, [*keys, *columns], width)
+    for i in range(runs):
+        share = rows.where((F.col("coordinate") > i * last // runs) & (F.col("coordinate") <= (i + 1) * last // runs))
+        if i == runs - 1:
+            end = spark.range(1).select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema if f.name != "coordinate"), F.lit(last + 1).alias("coordinate"))
+            share = share.unionByName(end)
+        share.write.mode("append").parquet(f"{root}/in")
+        keyed.run(spark.readStream.schema(rows.schema).parquet(f"{root}/in"))
+    return keyed.results(spark)
 
 
 @query("str01_signal_stream", "obs", f"""SELECT sample, chrom, pos, strand, cov, round(mean_deviation, 9) AS mean_deviation, {_Q} FROM (
   SELECT sample, chrom, pos, strand, count(level) AS cov, avg(level) AS mean_deviation, quantile_cont(level, [0.25, 0.75, 0.025, 0.975]) AS q FROM obs GROUP BY ALL)""")
 def _(t):
     stats = lambda df: perbase.position_stats(df, "level", name="mean_deviation")
-    return r6(_stream(t, stats, ["sample", "chrom", "strand", "pos", "level"], 500), "mean_deviation", *perbase.QUANTILES, digits=9)
+    return r6(_stream(t, stats, ["pos", "level"], 500), "mean_deviation", *perbase.QUANTILES, digits=9)
 
 
 @query("str02_call_stream", "obs", "SELECT sample, chrom, pos, strand, count(*) AS cov, count(*) FILTER (phred > 25) AS n_mod, round(avg(phred - 25.5), 6) AS mean_z, round(avg(abs(phred - 25.5)), 6) AS mean_absz, round(count(*) FILTER (phred > 25) / count(*), 6) AS frac FROM obs GROUP BY ALL")
@@ -190,7 +193,7 @@ def _(t):
     def totals(df):
         return calls.call_totals(df.withColumn("z", F.col("phred") - F.lit(25.5)).withColumn("called", F.col("phred") > 25))
 
-    return r6(_stream(t, totals, ["sample", "chrom", "strand", "pos", "phred"], 65_536), "mean_z", "mean_absz", "frac")
+    return r6(_stream(t, totals, ["pos", "phred"], 1000), "mean_z", "mean_absz", "frac")
 
 
 @query("agg25_correlation_of_sampled", "genome stats", """AND g AS (SELECT *, coalesce(sum(size) OVER (ORDER BY rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS off FROM genome),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -76,31 +76,102 @@ def write_summary(rows: DataFrame, path: str) -> None:
     rows.coalesce(1).write.mode("overwrite").options(header=True).csv(path)
 
 
-def publish(rows: DataFrame, path: str, *, expected: int | None = None) -> int:
-    """Writes beside the place, checks the number of rows, then renames: readers see all or nothing."""
-    spark = rows.sparkSession
-    staged = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
-    rows.write.parquet(staged)
-    n = spark.read.parquet(staged).count()
-    jvm = spark.sparkContext._jvm
-    source, target = jvm.org.apache.hadoop.fs.Path(staged), jvm.org.apache.hadoop.fs.Path(path)
-    system = source.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+def write_stats(summary: DataFrame, histograms: DataFrame, path: str) -> None:
+    """Statistics of samples as text, a folder for each sample: ``SN`` lines of ``summary`` (sample, numbers) and lines of
+    ``histograms`` (sample, var, value, count). Insertions and deletions have lines of their own, ``INS`` and ``DEL``."""
+    names = [c for c in summary.columns if c != "sample"]
+    number = F.explode(F.array(*(F.concat(F.lit(f"SN\t{c}:\t"), F.coalesce(F.col(c).cast("string"), F.lit("NA"))) for c in names)))
+    lines = summary.select("sample", F.lit(0).alias("part"), number.alias("value"))
+    more = histograms.select("sample", F.lit(1).alias("part"), F.concat_ws("\t", "var", F.col("value").cast("string"), F.col("count").cast("string")).alias("value"))
+    both = lines.unionByName(more)
+    both.repartition("sample").sortWithinPartitions("sample", "part", "value").select("sample", "value").write.mode("overwrite").partitionBy("sample").text(path)
+
+
+def write_flagstat(counts: DataFrame, path: str) -> None:
+    """Flag counts as text, a folder for each sample: ``n + failed class``."""
+    names = [c for c in counts.columns if c not in ("sample", "qc_fail")]
+    line = F.explode(F.array(*(F.concat(F.col(c).cast("string"), F.lit(f" + 0 {c.replace('_', ' ')}")) for c in names)))
+    counts.select("sample", line.alias("value")).repartition("sample").write.mode("overwrite").partitionBy("sample").text(path)
+
+
+_POINTER = "_current"
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """The JVM's path and its file system."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _pointed(spark: SparkSession, path: str) -> str | None:
+    pointer, system = _hadoop(spark, f"{path}/{_POINTER}")
+    if not system.exists(pointer):
+        return None
+    reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(system.open(pointer)))
+    try:
+        return reader.readLine()
+    finally:
+        reader.close()
+
+
+class NoSpace(OSError):
+    pass
+
+
+def publish(rows: DataFrame, path: str, *, expected: int | None = None, need_bytes: int = 0, keep: int = 1) -> int:
+    """A new version of a table. Readers (``published``) see the version before until all of the new one is in place.
+
+    First ``need_bytes`` must be free where it goes, else nothing is written. Rows go to a folder of
+    their own; when their number is right, a pointer with its name is written beside the old one
+    and moved over it, which is one step for the file system. A failure anywhere before leaves the
+    old version as it was, and its folder: versions older than the last ``keep`` go only after the move.
+    """
+    spark, path = rows.sparkSession, path.rstrip("/")
+    target, system = _hadoop(spark, path)
+    system.mkdirs(target)
+    if (free := system.getStatus(target).getRemaining()) < need_bytes:
+        raise NoSpace(f"{path}: {need_bytes} bytes are needed, {free} are free")
+    before, name = _pointed(spark, path), f"_v{uuid.uuid4().hex}"
+    staged, _ = _hadoop(spark, f"{path}/{name}")
+    rows.write.parquet(str(staged))
+    n = spark.read.schema(rows.schema).parquet(str(staged)).count()
     if expected is not None and n != expected:
-        system.delete(source, True)
+        system.delete(staged, True)
         raise ValueError(f"{n} rows were written, {expected} expected")
-    if system.exists(target):
-        system.delete(target, True)
-    if not system.rename(source, target):
-        raise OSError(f"{staged} could not be renamed to {path}")
+    _point(spark, path, name)
+    others = [s.getPath() for s in system.listStatus(target) if s.isDirectory() and s.getPath().getName().startswith("_v")]
+    old = sorted((p for p in others if p.getName() not in (name, before if keep else "")), key=lambda p: p.getName())
+    for p in old:
+        system.delete(p, True)
     return n
 
 
-def resumed(spark, paths: list[str]) -> tuple[int, DataFrame] | None:
+def _point(spark: SparkSession, path: str, name: str) -> None:
+    """Moves a new pointer over the old one."""
+    jvm = spark._jvm
+    pointer, system = _hadoop(spark, f"{path}/{_POINTER}")
+    fresh, _ = _hadoop(spark, f"{path}/{_POINTER}.{name}")
+    out = system.create(fresh, True)
+    out.write(bytearray(name.encode()))
+    out.close()
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(system.makeQualified(pointer).toUri(), spark._jsc.hadoopConfiguration())
+    context.rename(fresh, pointer, options)
+
+
+def published(spark: SparkSession, path: str) -> DataFrame:
+    """The version that the pointer names. A reader that has it goes on with it while the next one is published."""
+    name = _pointed(spark, path.rstrip("/"))
+    if name is None:
+        raise FileNotFoundError(f"nothing is published at {path}")
+    return spark.read.parquet(f"{path.rstrip('/')}/{name}")
+
+
+def resumed(spark: SparkSession, paths: list[str]) -> tuple[int, DataFrame] | None:
     """The latest step that has been published, and its rows; None if there is none."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     for i in range(len(paths) - 1, -1, -1):
-        p = jvm.org.apache.hadoop.fs.Path(paths[i])
-        if p.getFileSystem(conf).exists(p):
-            return i, spark.read.parquet(paths[i])
+        if _pointed(spark, paths[i].rstrip("/")) is not None:
+            return i, published(spark, paths[i])
     return None

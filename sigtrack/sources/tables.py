@@ -151,3 +151,35 @@ def read_benchmarks(spark: SparkSession, path: str) -> DataFrame:
     cell = lambda i, k: F.trim(F.get(F.split(F.get("f", F.lit(i)), "/"), F.lit(k)))
     rows = spark.read.text(path).select(f.alias("f")).where((F.size("f") >= 3) & ~F.get("f", F.lit(0)).startswith("#"))
     return rows.select(F.trim(F.get("f", F.lit(0))).alias("rule"), seconds(cell(1, 2)).alias("avg_1"), seconds(cell(2, 2)).alias("avg_2"), F.greatest(megabytes(cell(1, 3)), megabytes(cell(2, 3))).alias("rss_mb"))
+
+
+_SAMPLE = r"sample=([^/]*)/[^/]*$"
+
+
+def _sample_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of a file, or of a folder of files with a folder for each sample; sample is null for a file alone."""
+    lines = spark.read.option("recursiveFileLookup", True).text(path).withColumn("file", F.url_decode(F.col("_metadata.file_path")))
+    return lines.select(F.nullif(F.regexp_extract("file", _SAMPLE, 1), F.lit("")).alias("sample"), "value")
+
+
+def read_stats(spark: SparkSession, path: str) -> DataFrame:
+    """(sample, section, name, value) of the sectioned text of alignment statistics, all files in one long table.
+
+    ``SN`` lines are named numbers, ``RL``, ``MAPQ`` and ``COV`` lines counts by value; an ``ID`` line
+    has the insertions and the deletions of a length and gives a row for each, ``INS`` and ``DEL``.
+    Other sections and comments are left out; what is no number is null.
+    """
+    f = F.split("value", "\t")
+    rows = _sample_lines(spark, path).where(F.col("value").rlike(r"^(SN|RL|MAPQ|COV|ID|INS|DEL)\t")).select("sample", f.alias("f"))
+    at = lambda i: F.get("f", F.lit(i))
+    item = lambda section, value: F.struct(section.alias("section"), F.regexp_replace(at(1), ":$", "").alias("name"), value.try_cast("double").alias("value"))
+    items = F.when(at(0) == "ID", F.array(item(F.lit("INS"), at(2)), item(F.lit("DEL"), at(3)))).otherwise(F.array(item(at(0), at(2))))
+    return rows.select("sample", F.explode(items).alias("i")).select("sample", "i.*")
+
+
+def read_flagstat(spark: SparkSession, path: str) -> DataFrame:
+    """(sample, name, passed, failed) of lines ``passed + failed class``; shares in brackets are left out."""
+    line = r"^([0-9]+) \+ ([0-9]+) ([^(]*[^( ])"
+    rows = _sample_lines(spark, path).where(F.col("value").rlike(line))
+    part = lambda i: F.regexp_extract("value", line, i)
+    return rows.select("sample", F.regexp_replace(part(3), " ", "_").alias("name"), part(1).cast("long").alias("passed"), part(2).cast("long").alias("failed"))

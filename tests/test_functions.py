@@ -1,4 +1,5 @@
 import math
+from statistics import NormalDist
 
 from conftest import rows
 from pyspark.sql import functions as F
@@ -11,12 +12,18 @@ def one(spark, column):
     return spark.range(1).select(column.alias("x")).first().x
 
 
+def code_of(kmer):
+    """Digits of base 4, the first base the highest."""
+    return sum("ACGT".index(b) * 4**i for i, b in enumerate(reversed(kmer)))
+
+
 def test_kmer_codes(spark):
-    assert one(spark, S.kmer_code(F.lit("AAAAAAAAT"))) == 3
-    assert one(spark, S.kmer_text(S.kmer_code(F.lit("ACGTTGCAA")), 9)) == "ACGTTGCAA"
-    codes = F.transform(S.kmers(F.lit("ACGTNACGT"), 4), S.kmer_code)
-    assert one(spark, codes) == [27, -1, -1, -1, -1, 27]
-    assert one(spark, S.kmers(F.lit("AC"), 4)) == []
+    for kmer in ("T", "GATTACA", "CCCCCC", "TTTTTTTTTTTT"):
+        assert one(spark, S.kmer_code(F.lit(kmer))) == code_of(kmer)
+        assert one(spark, S.kmer_text(S.kmer_code(F.lit(kmer)), len(kmer))) == kmer
+    codes = F.transform(S.kmers(F.lit("GATNTACAGAT"), 3), S.kmer_code)
+    assert one(spark, codes) == [code_of("GAT"), -1, -1, -1, code_of("TAC"), code_of("ACA"), code_of("CAG"), code_of("AGA"), code_of("GAT")]
+    assert one(spark, S.kmers(F.lit("GA"), 3)) == []
 
 
 def test_bases(spark):
@@ -34,17 +41,28 @@ def test_quality(spark):
 
 
 def test_p_values(spark):
-    z = spark.createDataFrame([(0.0,), (-2.3263478740408408,), (None,)], "z double").select(stat.two_sided_p("z").alias("p")).collect()
-    assert z[0].p == 1 and abs(z[1].p - 0.02) < 1e-12 and z[2].p is None
-    assert abs(stat.z_threshold(0.02) - 2.3263478740408408) < 1e-12
+    levels = (0.5, 0.1, 0.003)
+    z = [NormalDist().inv_cdf(1 - p / 2) for p in levels]
+    got = [r.p for r in spark.createDataFrame([(x,) for x in [*z, *(-x for x in z)]], "z double").select(stat.two_sided_p("z").alias("p")).collect()]
+    assert all(abs(g - p) < 1e-12 for g, p in zip(got, levels * 2))
+    assert [abs(stat.z_threshold(p) - x) < 1e-12 for p, x in zip(levels, z)] == [True] * 3
+    edges = spark.createDataFrame([(0.0,), (None,)], "z double").select(stat.two_sided_p("z").alias("p")).collect()
+    assert edges[0].p == 1 and edges[1].p is None
     assert one(spark, stat.minus_log_p(F.lit(0.0))) == 300
 
 
-def test_chi2_closed_form(spark):
-    for p in ([0.01, 0.5], [0.01, 0.5, 0.2], [0.03]):
-        s, m = -sum(map(math.log, p)), len(p)
-        want = math.exp(-s) * sum(s**i / math.factorial(i) for i in range(m))
-        assert abs(one(spark, stat.chi2_survival(F.lit(s), F.lit(m), 3)) - want) < 1e-12
+def gamma_tail(s, m, steps=200_000, upto=80.0):
+    """The upper tail of a gamma distribution of shape m by Simpson's rule, that is of chi-square with 2m degrees at 2s."""
+    h = (upto - s) / steps
+    f = lambda x: math.exp((m - 1) * math.log(x) - x - math.lgamma(m)) if x > 0 else float(m == 1)
+    inner = math.fsum((4 if i % 2 else 2) * f(s + i * h) for i in range(1, steps))
+    return (f(s) + inner + f(upto)) * h / 3
+
+
+def test_chi2_tail(spark):
+    for s, m in ((0.7, 1), (2.5, 2), (9.0, 4), (30.0, 25)):
+        assert abs(one(spark, stat.chi2_survival(F.lit(s), F.lit(m))) - gamma_tail(s, m)) < 1e-10
+    assert one(spark, stat.chi2_survival(F.lit(0.0), F.lit(3))) == 1.0
 
 
 def test_z_score_needs_a_spread(spark):
