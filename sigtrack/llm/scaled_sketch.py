@@ -128,6 +128,10 @@ def contained(rows: DataFrame, groups: DataFrame, by: list[str]) -> DataFrame:
     return found.select("doc_id", *by, "hits", "n", (F.col("hits") / F.col("n")).alias("containment"))
 
 
+def codec() -> pa.Codec:
+    return pa.Codec("zstd", 3)
+
+
 _RESULT = "n_chars long, edited_sha256 string, scale int, fingerprint binary, edited_scale int, edited binary, near_edited double, near_next double"
 _NAMES = [c.split()[0] for c in _RESULT.split(", ")]
 _KINDS = [pa.int64(), pa.string(), pa.int32(), pa.binary(), pa.int32(), pa.binary(), pa.float64(), pa.float64()]
@@ -166,8 +170,8 @@ def edited_documents(docs: DataFrame, scale: int = SCALE, whole: int = WHOLE) ->
         part, known, before, held = TaskContext.get().partitionId(), _WordHashes(), None, 0
         keys, edge, results = [], [], []
         for frame in frames:
-            for doc_id, data in zip(frame["doc_id"].to_pylist(), frame["text"]):
-                data = data.as_py()
+            for doc_id, data, size in zip(frame["doc_id"].to_pylist(), frame["text"], frame["size"].to_pylist()):
+                data = codec().decompress(data.as_buffer(), size, asbytes=True) if size else b""
                 text, own = data.decode(errors="replace"), sketch(shingle_hashes(data, known), scale, whole)
                 if before is None:
                     keys.append((doc_id, part, data))
@@ -188,12 +192,19 @@ def edited_documents(docs: DataFrame, scale: int = SCALE, whole: int = WHOLE) ->
             results.append(None)
         yield _batch(keys, edge, results)
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _bytes(F.col("text")))
-    order = ["doc_id", F.xxhash64("text"), F.length("text")]
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _bytes(F.col("text")), F.monotonically_increasing_id().alias("row"))
+    rows = rows.withColumns({"digest": F.xxhash64("text"), "size": F.length("text")})
+
+    def compress(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for frame in frames:
+            small = pa.array([codec().compress(x.as_buffer(), asbytes=True) for x in frame["text"]], pa.binary())
+            yield frame.set_column(frame.schema.names.index("text"), "text", small)
+
+    # texts travel compressed; equal rows can be many, their place in the table deals them to several ranges, too
+    order = ["doc_id", "digest", "size", "row"]
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # equal rows can be many: their place in the table deals them to several ranges, too
-    dealt = rows.withColumn("row", F.monotonically_increasing_id()).repartitionByRange(n, *order, "row").sortWithinPartitions(*order, "row")
-    out = stored(dealt.select("doc_id", "text").mapInArrow(run, f"doc_id long, part int, edge string, text binary, {_RESULT}"), "zstd")
+    dealt = rows.mapInArrow(compress, rows.schema).repartitionByRange(n, *order).sortWithinPartitions(*order)
+    out = stored(dealt.select("doc_id", "text", "size").mapInArrow(run, f"doc_id long, part int, edge string, text binary, {_RESULT}"), "zstd")
     # a row or two for each range: numbers first, then their texts
     ends = out.where("edge is not null").select("part", "edge", "doc_id", "text")
     parts = [r.part for r in ends.where("edge = 'first'").select("part").collect()]
