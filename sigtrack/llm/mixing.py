@@ -219,15 +219,15 @@ def mixed(docs: DataFrame, block_words: int = 256) -> DataFrame:
     """
     # columns go by their numbers meanwhile, so none can have a name that is used here
     named = [f"c{i}" for i in range(len(docs.columns))]
-    at = {c: n for c, n in zip(docs.columns, named)}
-    kept = docs.toDF(*named).withColumns({c: F.col(at[c]) for c in ("doc_id", "source", "text")})
-    rows = stored(kept.withColumn(ROW, F.monotonically_increasing_id()))
-    plan = mix(rows, block_words, numbered=True).where("taken > 0").select(
+    at = dict(zip(docs.columns, named))
+    rows = stored(docs.toDF(*named).withColumn(ROW, F.monotonically_increasing_id()))
+    given = rows.select(ROW, *(F.col(at[c]).alias(c) for c in ("doc_id", "source", "text")))
+    plan = mix(given, block_words, numbered=True).where("taken > 0").select(
         F.col("row").alias(ROW), F.col("size").alias("_mix_size"), F.col("taken_0").alias("_mix_0"), F.col("taken_1").alias("_mix_1"),
         F.col("first_slot").alias("_mix_slot"), F.col("first_place").alias("_mix_place"),
     )
-    words = F.filter(F.split("text", GAP), lambda w: w != "")
-    part = lambda c: F.when(F.col(c) == F.col("_mix_size"), F.col("text")).when(F.col(c) > 0, F.array_join(F.slice(words, F.lit(1), F.col(c).cast("int")), " "))
+    words = F.filter(F.split(at["text"], GAP), lambda w: w != "")
+    part = lambda c: F.when(F.col(c) == F.col("_mix_size"), F.col(at["text"])).when(F.col(c) > 0, F.array_join(F.slice(words, F.lit(1), F.col(c).cast("int")), " "))
     out = rows.join(plan, ROW).withColumn(at["text"], F.concat_ws("\n", part("_mix_0"), part("_mix_1")))
     if "n_chars" in docs.columns:
         out = out.withColumn(at["n_chars"], F.length(at["text"]).cast(docs.schema["n_chars"].dataType))
