@@ -32,6 +32,15 @@ GAP = r"[\x20\x09-\x0D]+"
 _WORD = re.compile(WORD)
 
 
+def file_row() -> Column:
+    """Names rows of files, for ``blocks``."""
+    return F.struct("_metadata.file_path", "_metadata.row_index")
+
+
+def _codec() -> pa.Codec:
+    return pa.Codec("zstd", 1)
+
+
 def _reversed_bits(n: Column) -> Column:
     return F.conv(F.reverse(F.lpad(F.bin(n), BITS, "0")), 2, 10).cast("long")
 
@@ -169,18 +178,34 @@ def mix(docs: DataFrame, block_words: int = 256, numbered: bool = False) -> Data
     return rows.join(taken, "row", "left").select("row", "doc_id", "size", "source_size", "target", zero("taken"), zero("taken_0"), zero("taken_1"), F.col("first.slot").alias("first_slot"), F.col("first.place").alias("first_place"), "last_slot", zero("n_pieces"))
 
 
-def blocks(docs: DataFrame, block_words: int = 256) -> DataFrame:
+def blocks(docs: DataFrame, block_words: int = 256, row: Column | None = None) -> DataFrame:
     """The mix in the order of its slots, a row per part of a document in a block: slot, place, source, doc_id, copy,
     first_word, words, text.
 
     Null texts have no parts; rows that repeat a doc_id, or have none, are rows of their own; an empty table gives no rows.
     ``place`` is the block's words before the part. Texts keep the white space behind their words, so a document's
     parts in order of first_word are its text. Blocks without a slot come last, with the next numbers.
+
+    ``row`` names each row, the same in every reading (as ``file_row`` does for rows of files); without it the rows are
+    stored with a number. Texts move twice: compressed to their parts, and cut to the range of slots that they belong to.
     """
-    rows = stored(docs.select("doc_id", "source", "text").withColumn(ROW, F.monotonically_increasing_id()))
+    rows = docs.select("doc_id", "source", "text", (F.monotonically_increasing_id() if row is None else row).alias(ROW))
+    if row is None:
+        rows = stored(rows)
     _, pieces = schedule(rows, block_words, numbered=True)
+    pieces = stored(pieces)
     parts = pieces.groupBy("row").agg(F.collect_list(F.struct("slot", "place", "copy", "first_word", "words")).alias("parts"))
-    whole = rows.join(parts, rows[ROW] == parts["row"]).select(F.col("doc_id").cast("long"), F.col("source").cast("string"), F.col("text").cast("string"), "parts")
+    slots_used = (pieces.agg(F.max("slot").alias("n")).first().n or 0) + 1
+
+    def compress(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for frame in frames:
+            small = pa.array([_codec().compress(x.as_buffer(), asbytes=True) for x in frame["text"]], pa.binary())
+            yield frame.set_column(frame.schema.names.index("text"), "text", small)
+
+    full = rows.where("text is not null").select(ROW, F.col("doc_id").cast("long"), F.col("source").cast("string"), F.col("text").cast("string").cast("binary"))
+    full = full.withColumn("size", F.length("text"))
+    # a row's parts are the small side, so texts are not sorted
+    whole = full.mapInArrow(compress, full.schema).join(parts.hint("shuffle_hash"), F.col(ROW) == F.col("row")).select("doc_id", "source", "text", "size", "parts")
 
     names = ("slot", "place", "copy", "first_word", "words")
 
@@ -192,7 +217,8 @@ def blocks(docs: DataFrame, block_words: int = 256) -> DataFrame:
         out, held = [], 0
         for frame in frames:
             for i in range(frame.num_rows):
-                doc_id, source, text, parts = (frame[c][i].as_py() for c in ("doc_id", "source", "text", "parts"))
+                doc_id, source, data, size, parts = (frame[c][i].as_py() for c in ("doc_id", "source", "text", "size", "parts"))
+                text = _codec().decompress(data, size, asbytes=True).decode(errors="replace")
                 starts = [m.start() for m in _WORD.finditer(text)]
                 starts[0] = 0
                 starts.append(len(text))
@@ -206,7 +232,9 @@ def blocks(docs: DataFrame, block_words: int = 256) -> DataFrame:
         yield batch(out)
 
     texts = whole.mapInArrow(run, "slot long, place long, source string, doc_id long, copy int, first_word long, words long, text string")
-    return texts.orderBy("slot", "place")
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # slots are numbered without gaps, so their ranges are known without a sample
+    return texts.repartitionById(n, F.floor(F.col("slot") * n / F.lit(slots_used)).cast("int")).sortWithinPartitions("slot", "place")
 
 
 def mixed(docs: DataFrame, block_words: int = 256) -> DataFrame:
@@ -242,7 +270,7 @@ def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return blocks(table(spark, sf_dir, "documents"))
+    return blocks(table(spark, sf_dir, "documents"), row=file_row())
 
 
 #: The same in DuckDB's SQL: the points of the schedule by their bits, ranks by counting.

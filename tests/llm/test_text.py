@@ -151,6 +151,16 @@ def test_blocks_in_slot_order_equal_brute_force(spark):
     assert mixing.blocks(docs.limit(0)).count() == 0
 
 
+def test_blocks_of_files_equal_those_of_stored_rows(spark, tmp_path):
+    docs = mixed_docs(spark).unionByName(mixed_docs(spark).limit(3))
+    docs.repartition(3).write.parquet(str(tmp_path / "docs"))
+    files = spark.read.parquet(str(tmp_path / "docs"))
+    parts = lambda df: [tuple(r) for r in df.collect()]
+    got = parts(mixing.blocks(files, 7, row=mixing.file_row()))
+    assert got == sorted(got, key=lambda r: r[:2]) and got == parts(mixing.blocks(files, 7))
+    assert [(slot, place) for slot, place, *_ in got] == sorted({(slot, place) for slot, place, *_ in got})
+
+
 def test_blocks_without_a_slot_are_numbered_on(spark):
     sources = spark.createDataFrame([("a", 0, 6400.0), ("b", 1, 2000.0), ("c", 2, 0.0), ("d", 3, 100.0), ("e", 4, 30.0)], "source string, s int, target double")
     got = {(r.s, r["rank"]) for r in mixing.slots(sources, 10).collect()}
