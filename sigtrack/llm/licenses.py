@@ -16,6 +16,7 @@ without a licence of its own takes that of the nearest directory above it that h
 
 from __future__ import annotations
 
+import functools
 import math
 from collections import Counter
 from pathlib import Path
@@ -123,37 +124,48 @@ def _fewest_terms(vector: dict[str, float], least: float) -> int:
     return n
 
 
-def parts(vectors: list[dict[str, float]], least: float = LEAST) -> Column:
-    """Array of (kind, part) of a column ``text``: the parts that the prefilters leave."""
+def with_parts(files: DataFrame, vectors: list[dict[str, float]], least: float = LEAST) -> DataFrame:
+    """``files`` without text, with parts: an array of (kind, part), the parts of the text that the prefilters leave.
 
-    def named(kind: str) -> str:
-        keys = set().union(*(_key_terms(v, least) for (k, *_), v in zip(TEMPLATES, vectors) if k == kind))
-        return r"(?i)(?<![a-z0-9])(" + "|".join(sorted(keys)) + r")(?![a-z0-9])"
+    A text is split into words once, and each line of one with a key term too; only the words that some template has go
+    on, and those of a run are its lines' together. Each step is a projection of its own, so that none is computed twice.
+    """
+
+    def of_kind(kind: str) -> list[dict[str, float]]:
+        return [v for (k, *_), v in zip(TEMPLATES, vectors) if k == kind]
+
+    def known(text: Column, templates: list[dict[str, float]]) -> Column:
+        return F.array_intersect(F.split(F.lower(text), SPLIT), _list(sorted(set().union(*templates))))
+
+    def has_key(kind: str, words: Column) -> Column:
+        return F.arrays_overlap(words, _list(sorted(set().union(*(_key_terms(v, least) for v in of_kind(kind))))))
 
-    def enough(kind: str, part: Column) -> Column:
-        words = F.array_distinct(F.split(F.lower(part), SPLIT))
-        tests = [F.size(F.array_intersect(words, _list(sorted(v)))) >= _fewest_terms(v, least) for (k, *_), v in zip(TEMPLATES, vectors) if k == kind]
-        out = tests[0]
-        for t in tests[1:]:
-            out = out | t
-        return out
+    def enough(kind: str, words: Column) -> Column:
+        fewest = [_fewest_terms(v, least) for v in of_kind(kind)]
+        tests = [F.size(F.array_intersect(words, _list(sorted(v)))) >= n for v, n in zip(of_kind(kind), fewest)]
+        return (F.size(words) >= min(fewest)) & functools.reduce(Column.__or__, tests)
 
     part = lambda kind, text: F.struct(F.lit(kind).alias("kind"), text.alias("part"))
     none = F.array().cast("array<struct<kind: string, part: string>>")
-    lines = F.split("text", "\n")
-    # a line's number and the line, where it has a key term
-    hits = F.filter(F.transform(lines, lambda x, i: F.struct(i.alias("i"), x.alias("x"))), lambda h: h["x"].rlike(named("header")))
+    rest = [c for c in files.columns if c != "text"]
+    lines = F.transform(F.split("text", "\n"), lambda x: F.struct(x.alias("x"), known(x, of_kind("header")).alias("words")))
+    steps = files.select(*rest, "text", known(F.col("text"), vectors).alias("words"))
+    steps = steps.withColumn("lines", F.when(has_key("header", F.col("words")), lines))
+    # the numbers of lines with a key term
+    hits = F.filter(F.transform("lines", lambda h, i: F.when(has_key("header", h["words"]), i)), lambda i: i.isNotNull())
+    steps = steps.withColumn("hits", hits)
 
     def run(k: int) -> Column:
-        """All runs of k lines that have a line with a key term."""
-        starts = F.array_distinct(F.flatten(F.transform(hits, lambda h: F.sequence(h["i"] - (k - 1), h["i"]))))
-        starts = F.filter(starts, lambda i: (i >= 0) & (i + k <= F.size(lines)))
-        return F.transform(starts, lambda i: F.array_join(F.slice(lines, i + 1, k), "\n"))
+        """All runs of k lines that have a line with a key term and words enough."""
+        starts = F.array_distinct(F.flatten(F.transform("hits", lambda i: F.sequence(i - (k - 1), i))))
+        starts = F.filter(starts, lambda i: (i >= 0) & (i + k <= F.size("lines")))
+        runs = F.transform(starts, lambda i: F.slice("lines", i + 1, k))
+        held_by = F.transform(runs, lambda r: F.struct(r["x"].alias("x"), F.array_distinct(F.flatten(r["words"])).alias("words")))
+        return F.transform(F.filter(held_by, lambda r: enough("header", r["words"])), lambda r: F.array_join(r["x"], "\n"))
 
-    headers = F.filter(F.array_distinct(F.concat(*map(run, RUNS))), lambda x: enough("header", x))
-    headers = F.when(F.col("text").rlike(named("header")), F.transform(headers, lambda x: part("header", x))).otherwise(none)
-    whole = F.when(F.col("text").rlike(named("file")) & enough("file", F.col("text")), F.array(part("file", F.col("text")))).otherwise(none)
-    return F.when(F.col("text").isNotNull(), F.concat(headers, whole)).otherwise(none)
+    headers = F.transform(F.array_distinct(F.concat(*map(run, RUNS))), lambda x: part("header", x))
+    whole = F.when(enough("file", F.col("words")) & has_key("file", F.col("words")), F.array(part("file", F.col("text"))))
+    return steps.select(*rest, F.concat(F.coalesce(headers, none), F.coalesce(whole, none)).alias("parts"))
 
 
 def scored(found: DataFrame, idf: dict[str, float], vectors: list[dict[str, float]], n: int, least: float = LEAST) -> DataFrame:
@@ -195,7 +207,7 @@ def scan(files: DataFrame, least: float = LEAST) -> DataFrame:
     vectors = _weights(idf)
     files = files.withColumnsRenamed({c: f"given_{c}" for c in files.columns if c in _RESULT})
     rest = [c for c in files.columns if c not in ("path", "text")]
-    one = files.select(F.struct("path", *rest).alias("file"), "path", parts(vectors, least).alias("parts"))
+    one = with_parts(files.select(F.struct("path", *rest).alias("file"), "path", "text"), vectors, least)
     one = stored(one.select(F.monotonically_increasing_id().alias("row"), "file", "path", "parts"), "zstd")
     found = one.where(F.size("parts") > 0).select("row", F.explode("parts").alias("p")).select("row", "p.kind", "p.part")
     own = stored(scored(found, idf, vectors, n, least))
