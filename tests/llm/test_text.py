@@ -360,3 +360,26 @@ def test_licence_files_and_wrapped_headers(spark):
     got = {r.path: r for r in licenses.scan(spark.createDataFrame([d[:2] for d in data], "path string, text string")).collect()}
     assert {p: got[p].own_license for p, _, _ in data} == {p: lic for p, _, lic in data}
     assert all(got[f"{lic}/src/x.py"].license == lic and got[f"{lic}/src/x.py"].from_dir == lic for lic in texts) and got["n/a.txt"].license is None
+
+
+def test_licence_parts_are_those_of_all_runs(spark):
+    """Against every run of every length: a key term in one of its lines, and as many terms of some notice as the notice needs."""
+    notice = [t for _, t in licenses.NOTICES][2]
+    words = notice.split(" ")
+    wrapped = "\n".join(" ".join(words[i : i + 9]) for i in range(0, len(words), 9))
+    texts = [None, "", "\n\n", "plain words only", f"code\n{wrapped}\ncode", f"{wrapped}\n{wrapped}", "x\nReleased under\nthe MIT License\ny", "MIT license\n" * 40, "long " * 20000 + "\nSPDX-License-Identifier: MIT"]
+    vectors = licenses._weights({w: 1 + len(w) / 10 for *_, t in licenses.TEMPLATES for w in licenses._terms(t)})
+    notices = [v for (kind, *_), v in zip(licenses.TEMPLATES, vectors) if kind == "header"]
+    keys = set().union(*(licenses._key_terms(v, licenses.LEAST) for v in notices))
+    needs = [(set(v), licenses._fewest_terms(v, licenses.LEAST)) for v in notices]
+
+    def wanted(text):
+        lines = (text or "").split("\n")
+        runs = [lines[i : i + k] for k in licenses.RUNS for i in range(len(lines) - k + 1)]
+        held = lambda run: set(licenses._terms("\n".join(run)))
+        return sorted({"\n".join(r) for r in runs if held(r) & keys and any(len(held(r) & v) >= n for v, n in needs)})
+
+    rows = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    got = {r.id: sorted(p.part for p in r.parts if p.kind == "header") for r in licenses.with_parts(rows, vectors).collect()}
+    assert got == {i: wanted(t) for i, t in enumerate(texts)}
+    assert got[4] and got[6] and not got[0] and not got[3]
