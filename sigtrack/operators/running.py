@@ -57,7 +57,7 @@ def range_sums(ranges: DataFrame, track: DataFrame, values: list[str], by: list[
     measures = {"n_": F.lit(1), **{f"s_{v}": F.coalesce(F.col(v).cast("double"), F.lit(0.0)) for v in values}, **{f"c_{v}": F.col(v).isNotNull().cast("long") for v in values}}
     rows = track.select("chrom", *by, "pos", *(c.alias(m) for m, c in measures.items()), F.lit(False).alias("edge_"))
     tracks = track.select("chrom", *by).distinct()  # as few as there are tracks and contigs
-    edges = ranges.select("chrom", F.explode(F.array(F.col("low") - 1, F.col("high"))).alias("pos")).distinct().join(tracks, "chrom")
+    edges = ranges.select("chrom", F.explode(F.array(F.col("low") - 1, F.col("high"))).alias("pos")).distinct().join(F.broadcast(tracks), "chrom")
     empty = edges.select("chrom", *by, F.col("pos").cast(track.schema["pos"].dataType), *(F.lit(0).alias(m) for m in measures), F.lit(True).alias("edge_"))
     both = rows.unionByName(empty).withColumn("bin_", F.floor(F.col("pos") / width))
     upto = Window.partitionBy("chrom", *by, "bin_").orderBy("pos").rangeBetween(Window.unboundedPreceding, 0)
@@ -67,7 +67,8 @@ def range_sums(ranges: DataFrame, track: DataFrame, values: list[str], by: list[
     whole = whole.select("chrom", *by, "bin_", *(F.coalesce(F.sum(m).over(before), F.lit(0)).alias(f"{m}before") for m in measures))
     known = inside.join(whole, ["chrom", *by, "bin_"]).drop("bin_")
     side = lambda end, edge: known.select("chrom", *by, F.col("pos").alias(edge), *(F.struct(m, f"{m}before").alias(f"{m}{end}") for m in measures))
-    met = ranges.withColumn("edge_", F.col("low") - 1).join(side("low", "edge_"), ["chrom", "edge_"]).drop("edge_").join(side("high", "high"), ["chrom", *by, "high"])
+    # ranges are made from fewer rows, by whose size Spark would take them for small enough to be sent whole to every executor
+    met = ranges.withColumn("edge_", F.col("low") - 1).hint("merge").join(side("low", "edge_"), ["chrom", "edge_"]).drop("edge_").join(side("high", "high").hint("merge"), ["chrom", *by, "high"])
     # within a bin the whole bins' sums cancel exactly
     between = lambda m: (F.col(f"{m}high.{m}before") - F.col(f"{m}low.{m}before")) + (F.col(f"{m}high.{m}") - F.col(f"{m}low.{m}"))
     out = met.select(*ranges.columns, *by, between("n_").alias("n"), *(between(f"s_{v}").alias(f"sum_{v}") for v in values), *(between(f"c_{v}").alias(f"n_{v}") for v in values))

@@ -373,7 +373,9 @@ def _(t):
 
 
 def _profile(t: Tables) -> DataFrame:
-    return profile.feature_profile(t.features(), _stats(t, name="error").withColumn("cov", F.col("cov").cast("double")), ["cov", "error"], 3, 10)
+    # the tracks' names, their rows and their bins' sums all read the statistics
+    track = stored(_stats(t, name="error").select(*perbase.POSITION, F.col("cov").cast("double").alias("cov"), "error"))
+    return profile.feature_profile(t.features(), track, ["cov", "error"], 3, 10)
 
 
 _PROFILE = """AND w AS (SELECT fid, chrom, (i * 10 * CASE WHEN strand = '-' THEN -1 ELSE 1 END)::INT AS distance, ref + i * 10 - 5 AS low, ref + i * 10 + 5 AS high

@@ -1,6 +1,7 @@
 """Windows that cross bins, against the same in one piece."""
 
 import random
+import re
 from collections import defaultdict
 
 import numpy as np
@@ -114,3 +115,12 @@ def test_zoom_levels(spark):
     got = {(r.chrom, r.level, r.start): tuple(r)[3:] for r in windows.zoom_levels(track, "x", ["chrom"], base=4, factor=4, levels=3).collect()}
     assert got["c", 0, 0] == (4, 1.0, 4.0, 10.0, 30.0) and got["c", 2, 64] == (5, 65.0, 69.0, 335.0, sum(float(p * p) for p in range(65, 70)))
     assert sum(v[0] for k, v in got.items() if k[:2] == ("c", 1)) == 69 and got["d", 2, 0] == (1, -2.0, -2.0, -2.0, 4.0)
+
+
+def test_ranges_are_not_sent_whole_to_executors(spark, tmp_path):
+    """A few features make many windows: by the features' size Spark would send all windows to every executor."""
+    track = spark.createDataFrame([("s", "c", 50 * p, "for", 1.0 * p) for p in range(100)], "sample string, chrom string, pos long, strand string, x double")
+    spark.createDataFrame([(i, "c", 40 * i, 40 * i + 9, "+") for i in range(100)], "fid long, chrom string, start long, end long, strand string").write.parquet(str(tmp_path / "f"))
+    made = profile.feature_profile(spark.read.parquet(str(tmp_path / "f")), track, ["x"], 3, 10)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert re.findall(r"(\w+Join) ", plan)[:2] == ["SortMergeJoin"] * 2
