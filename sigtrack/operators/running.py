@@ -106,7 +106,8 @@ def group_quantiles(rows: DataFrame, by: list[str], value: str, levels: Mapping[
     ends = [least(f(h[k])).alias(f"{s}_{k}") for k in levels for s, f in (("low", F.floor), ("high", F.ceil))]
     found = upto.join(last, by).groupBy(*by, "all_").agg(*ends)
     share = lambda k: h[k] - F.floor(h[k])
-    at = lambda k: (1 - share(k)) * F.col(f"low_{k}") + share(k) * F.col(f"high_{k}")
+    # between two equal values it is that value to the last digit, so that what ties with it still does
+    at = lambda k: F.when(F.col(f"low_{k}") == F.col(f"high_{k}"), F.col(f"low_{k}")).otherwise(F.col(f"low_{k}") + share(k) * (F.col(f"high_{k}") - F.col(f"low_{k}")))
     return found.select(*by, *(at(k).alias(k) for k in levels))
 
 

@@ -10,7 +10,7 @@ from conftest import rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from sigtrack.operators import calls, kmer, profile, running, signal, sweep, windows
+from sigtrack.operators import calls, kmer, profile, reactivity, running, signal, sweep, windows
 
 
 @pytest.fixture(scope="module")
@@ -124,3 +124,13 @@ def test_ranges_are_not_sent_whole_to_executors(spark, tmp_path):
     made = profile.feature_profile(spark.read.parquet(str(tmp_path / "f")), track, ["x"], 3, 10)
     plan = made._jdf.queryExecution().executedPlan().toString()
     assert re.findall(r"(\w+Join) ", plan)[:2] == ["SortMergeJoin"] * 2
+
+
+def test_a_quantile_between_equal_values_is_that_value(spark):
+    """A threshold that is off in its last digit loses the positions that tie with it."""
+    values = [random.Random(i).random() for i in range(60)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values) for _ in range(20 + i % 20)], "g int, x double")
+    got = {r.g: [r.p05, r.p01] for r in running.group_quantiles(df, ["g"], "x", {"p05": 0.95, "p01": 0.99}).collect()}
+    assert got == {i: [v, v] for i, v in enumerate(values)}
+    track = spark.createDataFrame([("c", "for", p, s * values[g]) for g in range(60) for p, s in enumerate([-1.0] * 27 + [1.0])], "chrom string, strand string, pos long, reactivity double").withColumn("chrom", F.concat("chrom", F.round(F.abs("reactivity"), 12)))
+    assert reactivity.significant(track, reactivity.null_thresholds(track)).where("reactivity > 0").count() == 60
