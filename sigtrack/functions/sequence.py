@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BASES = "ACGT"
@@ -42,6 +46,35 @@ def kmers(seq: Column, k: int) -> Column:
     return F.when(n > 0, F.transform(F.sequence(F.lit(1), n), cut)).otherwise(F.array().cast("array<string>"))
 
 
+def kmer_counts(rows: DataFrame, k: int, key: str = "doc_id", seq: str = "seq") -> DataFrame:
+    """key, kmer and n of each row's different k-mers (sequences of single-byte letters); a null sequence has none.
+
+    Letters become digits of a number, so a batch's k-mers are counted without a string for each.
+    """
+
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for frame in frames:
+            for i, text in zip(frame.column(0).to_pylist(), frame.column(1).to_pylist()):
+                data = np.frombuffer((text or "").encode(), np.uint8)
+                if len(data) < k:
+                    continue
+                letters = np.flatnonzero(np.bincount(data, minlength=256))
+                digit = np.zeros(256, np.int64)
+                digit[letters] = np.arange(len(letters))
+                m, d = len(letters), digit[data]
+                if m**k >= 1 << 62:
+                    raise ValueError(f"{k}-mers of {m} letters are too many")
+                code = np.zeros(len(d) - k + 1, np.int64)
+                for j in range(k):
+                    code = code * m + d[j : len(d) - k + 1 + j]
+                found, n = np.unique(code, return_counts=True)
+                text_of = np.stack([letters[found // m ** (k - 1 - j) % m] for j in range(k)], 1).astype(np.uint8)
+                names = text_of.tobytes().decode()
+                yield pa.RecordBatch.from_arrays([pa.array([i] * len(found), pa.int64()), pa.array([names[a : a + k] for a in range(0, len(names), k)], pa.string()), pa.array(n.astype(np.int64))], [key, "kmer", "n"])
+
+    return rows.select(F.col(key).cast("long").alias(key), seq).mapInArrow(run, f"{key} long, kmer string, n long")
+
+
 def known_base(nt: Column) -> Column:
     """N for a missing or unknown nucleotide."""
     return F.when(F.upper(nt).isin(*"ACGTN"), F.upper(nt)).otherwise("N")

@@ -311,8 +311,7 @@ def _(t):
 @query("win03_sliding_kmers", "sequences", """AND k AS (SELECT doc_id, unnest(list_transform(generate_series(1, length(seq) - 3), lambda i: substr(seq, i, 4))) AS kmer FROM sequences WHERE length(seq) >= 4)
 SELECT kmer, count(*) AS n, count(DISTINCT doc_id) AS n_docs FROM k GROUP BY kmer""")
 def _(t):
-    rows = t.sequences().select("doc_id", F.explode(S.kmers(F.col("seq"), 4)).alias("kmer"))
-    by_doc = rows.groupBy("doc_id", "kmer").agg(F.count(F.lit(1)).alias("n"))
+    by_doc = S.kmer_counts(t.sequences(), 4).groupBy("doc_id", "kmer").agg(F.sum("n").alias("n"))
     return by_doc.groupBy("kmer").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("n_docs"))
 
 
@@ -322,7 +321,7 @@ _CODE = "CASE WHEN regexp_full_match({0}, '[ACGT]+') THEN list_reduce(list_trans
 @query("sc05_kmer_codes", "sequences", f"""AND k AS (SELECT DISTINCT unnest(list_transform(generate_series(1, length(seq) - 5), lambda i: substr(seq, i, 6))) AS kmer FROM sequences WHERE length(seq) >= 6)
 SELECT kmer, ({_CODE.format("kmer")})::BIGINT AS code, CASE WHEN regexp_full_match(kmer, '[ACGT]+') THEN kmer END AS decoded FROM k""")
 def _(t):
-    rows = t.sequences().select(F.explode(S.kmers(F.col("seq"), 6)).alias("kmer")).distinct()
+    rows = S.kmer_counts(t.sequences(), 6).select("kmer").distinct()
     out = rows.withColumn("code", S.kmer_code(F.col("kmer")))
     return out.withColumn("decoded", S.kmer_text(F.col("code"), 6))
 

@@ -1,4 +1,5 @@
 import math
+from collections import Counter
 from statistics import NormalDist
 
 from conftest import rows
@@ -74,3 +75,12 @@ def test_context_is_padded_at_contig_ends(spark):
     df = spark.createDataFrame([("ACGT", "GG", "TTA"), ("A", "GG", None), (None, "GG", "TTA")], "a string, s string, b string")
     got = [r[0] for r in df.select(S.padded_context(F.col("a"), F.col("s"), F.col("b"), 2)).collect()]
     assert got == ["GTGGTT", "NAGGNN", "NNGGTT"]
+
+
+def test_kmer_counts(spark):
+    """As the k-mers one by one, also of repeated ids, other letters, short, empty and null sequences."""
+    made = [(1, "ACGTNACGTACGT" * 9), (1, "ACG"), (2, "xyzxyzx"), (3, "AAAA"), (4, ""), (5, None), (2, "ACGTA")]
+    df = spark.createDataFrame(made, "doc_id long, seq string")
+    for k in (1, 4, 6):
+        want = [(i, s, n) for i, t in made for s, n in Counter((t or "")[a : a + k] for a in range(len(t or "") - k + 1)).items()]
+        assert sorted(map(tuple, S.kmer_counts(df, k).collect())) == sorted(want)
