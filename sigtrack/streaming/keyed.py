@@ -2,11 +2,11 @@
 
 Reads come in the order of the genome, over all keys of a stream, so the start of the latest read is
 an event time and Spark's watermark follows it. Observations wait in the state of their window (key,
-contig, window of positions), a timer for each is set to the window's end, and a window leaves the
+contig, window of positions), packed by Arrow, as Spark hands state on row by row; a timer for each is set to the window's end, and a window leaves the
 state when the watermark has passed it: by a later read of its contig or of any later one. A change
 of contig therefore finishes what was open before. State, timers and watermark are in the stream's
 checkpoint, so a stream that is started again goes on with its open windows. An observation behind the
-watermark is an error: Spark leaves it out and counts it, and ``run`` does not return with such a count.
+watermark is an error: Spark leaves its pack out and counts that, and ``run`` does not return with such a count.
 """
 
 from __future__ import annotations
@@ -30,36 +30,89 @@ def event_time(coordinate: Column) -> Column:
     return F.timestamp_millis(coordinate.cast("long") * 2 + 2)
 
 
+#: Rows of a stream's task that are dealt to windows at once.
+_ROWS = 1 << 17
+
+
+def _packer(keys: list[str], columns: list[str]) -> Callable[[Iterator], Iterator]:
+    """For ``mapInArrow``: a row for each window among a task's next rows, with its observations as an Arrow stream and the
+    least coordinate among them, so that one late observation makes it late; and a row without observations at the largest
+    coordinate, which moves the watermark as far as the rows themselves would."""
+    by = [*keys, "window"]
+
+    def pack(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        none = np.iinfo("int64").max
+
+        def packs(held: list) -> pa.RecordBatch:
+            table = pa.Table.from_batches(held)
+            latest = pc.max(table["coordinate"]).as_py()
+            rows = table.filter(pc.is_valid(table["window"]))
+            rows = rows.take(pc.sort_indices(rows, sort_keys=[(c, "ascending") for c in by])).combine_chunks()
+            n = rows.num_rows
+            change = np.arange(n) == 0
+            for c in by:
+                codes = np.asarray(pc.dictionary_encode(rows[c].combine_chunks()).indices)
+                change[1:] |= codes[1:] != codes[:-1]
+            first = np.flatnonzero(change)
+            least = np.minimum.reduceat(np.asarray(pc.fill_null(rows["coordinate"], none)), first) if n else np.array([], "int64")
+            observed, payload = rows.select(columns), []
+            for start, end in zip(first, np.append(first[1:], n)):
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, observed.schema) as out:
+                    out.write_table(observed.slice(start, end - start))
+                payload.append(sink.getvalue().to_pybytes())
+            mark = lambda c: [{"window": -1, "due": 0}.get(c, "" if pa.types.is_string(rows[c].type) else -1)]
+            made = {c: pa.concat_arrays([rows[c].take(pa.array(first)).combine_chunks(), pa.array(mark(c), rows[c].type)]) for c in [*by, "due"]}
+            made["observations"] = pa.array([*payload, None], pa.binary())
+            made["coordinate"] = pa.array([*(None if x == none else int(x) for x in least), latest], pa.int64())
+            return pa.RecordBatch.from_arrays(list(made.values()), names=list(made))
+
+        held, n = [], 0
+        for batch in batches:
+            held, n = [*held, batch], n + batch.num_rows
+            if n >= _ROWS:
+                yield packs(held)
+                held, n = [], 0
+        if n:
+            yield packs(held)
+
+    return pack
+
+
 class _Windows(StatefulProcessor):
-    """Holds a window's observations until its timer; a window's are in memory together when it is given out."""
+    """Holds a window's packs of observations until its timer; a window's are in memory together when it is given out."""
 
-    def __init__(self, columns: list[str], schema: StructType):
-        self.columns, self.schema = columns, schema
+    def __init__(self, columns: list[str]):
+        self.columns = columns
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.held = handle.getListState("observations", self.schema)
+        self.held = handle.getListState("observations", "observations binary")
         self.due = handle.getValueState("due", "at long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator:  # noqa: N802, N803
         for frame in rows:
-            frame = frame[frame["pos"] >= 0]
+            frame = frame[frame["observations"].notna()]
             if len(frame):
                 if not self.due.exists():
                     at = int(frame["due"].iloc[0])
                     self.handle.registerTimer(at)
                     self.due.update((at,))
-                self.held.appendList(list(frame[self.columns].itertuples(index=False, name=None)))
+                self.held.appendList([(bytes(x),) for x in frame["observations"]])
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator:  # noqa: N802, N803
-        import pandas as pd
+        import pyarrow as pa
 
         # read and cleared before it is given out, as Spark may ask for the rows when it is at another key
-        out = [tuple(row) for row in self.held.get()]
+        out = [pa.ipc.open_stream(x).read_all() for (x,) in self.held.get()]
         self.held.clear()
         self.due.clear()
-        return iter([pd.DataFrame(out, columns=self.columns)])
+        return iter([pa.concat_tables(out).select(self.columns).to_pandas()])
 
 
 class KeyedStream:
@@ -76,17 +129,15 @@ class KeyedStream:
 
     def complete(self, stream: DataFrame) -> DataFrame:
         """The observations of windows, each once its window is complete."""
-        # nulls would turn a batch's whole numbers to floating ones on their way to Python, so there are none
         names = [*self.keys, *(c for c in self.columns if c not in self.keys)]
-        filler = lambda c: F.lit("" if stream.schema[c].dataType.simpleString() == "string" else -1)
         kept = stream.where(F.col("pos").isNull() | ~F.greatest(*(F.col(c).isNull() for c in names)))
-        filled = kept.select(*(F.coalesce(c, filler(c)).alias(c) for c in names), F.coalesce("window_end", F.lit(0)).cast("long").alias("end"), event_time(F.col("coordinate")).alias("at"))
         window = F.floor(F.col("pos") / self.width).cast("long").alias("window")
-        rows = filled.select(*self.keys, window, *(c for c in names if c not in self.keys), (F.col("end") * 2 + 1).alias("due"), "at")
-        rows = rows.withWatermark("at", "1 milliseconds")
+        due = (F.coalesce("window_end", F.lit(0)).cast("long") * 2 + 1).alias("due")
+        rows = kept.select(*names, window, due, F.col("coordinate").cast("long").alias("coordinate"))
+        packed = ", ".join([*(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in [*self.keys, "window", "due"]), "observations binary", "coordinate long"])
+        packs = rows.mapInArrow(_packer(self.keys, self.columns), packed).withColumn("at", event_time(F.col("coordinate"))).drop("coordinate")
         schema = StructType([f for f in rows.select(*self.columns).schema])
-        processor = _Windows(self.columns, schema)
-        return rows.groupBy(*self.keys, "window").transformWithStateInPandas(processor, schema, "Append", "EventTime")
+        return packs.withWatermark("at", "1 milliseconds").groupBy(*self.keys, "window").transformWithStateInPandas(_Windows(self.columns), schema, "Append", "EventTime")
 
     def run(self, stream: DataFrame) -> None:
         spark = stream.sparkSession
@@ -105,7 +156,7 @@ class KeyedStream:
         late = sum(int(op["numRowsDroppedByWatermark"]) for p in query.recentProgress for op in p["stateOperators"])
         if late:
             spark.range(late).write.mode("overwrite").parquet(f"{self.root}/late")
-            raise LateObservation(f"{late} observations came after a later read: reads must be sorted by their start")
+            raise LateObservation(f"{late} packs of observations came after a later read: reads must be sorted by their start")
 
     def _late(self, spark: SparkSession) -> bool:
         path = spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/late")

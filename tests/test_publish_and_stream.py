@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -5,6 +7,7 @@ from pyspark.sql import functions as F
 from sigtrack.operators import qc
 from sigtrack.operators.perbase import position_stats
 from sigtrack.sources import sinks, tables
+from sigtrack.streaming import keyed
 from sigtrack.streaming.keyed import KeyedStream, on_genome
 from sigtrack.streaming.positions import LateObservation
 
@@ -111,3 +114,21 @@ def test_late_observation_of_a_keyed_stream(spark, tmp_path):
         run()
     with pytest.raises(LateObservation, match="earlier run"):
         run()
+
+
+def test_observations_reach_the_state_packed_by_window():
+    """Rows go to Python's state one by one, so a window's are one row: 2,000 observations of two windows are three rows."""
+    import pyarrow as pa
+
+    made = [("s", p // 1000, 1, p + 7, p, 0.5 * p) for p in range(2000)]
+    random.Random(2).shuffle(made)
+    names = ["k", "window", "due", "coordinate", "pos", "x"]
+    rows_ = pa.table([list(c) for c in zip(*made)], names=names)
+    end = pa.table([pa.array([v], f.type) for v, f in zip((None, None, 0, 5000, None, None), rows_.schema)], names=names)
+    batches = pa.concat_tables([rows_, end]).combine_chunks().to_batches(300)
+    (out,) = [b.to_pylist() for b in keyed._packer(["k"], ["k", "pos", "x"])(iter(batches))]
+    assert [(r["k"], r["window"], r["due"], r["coordinate"]) for r in out] == [("s", 0, 1, 7), ("s", 1, 1, 1007), ("", -1, 0, 5000)]
+    held = [pa.ipc.open_stream(r["observations"]).read_all().to_pylist() for r in out[:2]]
+    assert sorted((r["pos"], r["x"]) for w in held for r in w) == [(p, 0.5 * p) for p in range(2000)] and out[2]["observations"] is None
+    (only,) = keyed._packer(["k"], ["k", "pos", "x"])(iter(end.to_batches()))
+    assert only.num_rows == 1
