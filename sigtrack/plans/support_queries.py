@@ -168,7 +168,9 @@ def _stream(t: Tables, stats, columns: list[str], width: int, runs: int = 3) ->
     spark, root = t.spark, shared_dir(t.spark)
     keys = ["sample", "chrom", "strand"]
     genome = stored(t.genome())
-    rows = stored(on_genome(t.obs().select(*keys, *columns, F.col("pos").alias("read_start")), genome, width))
+    located = on_genome(t.obs().select(*keys, *columns, F.col("pos").alias("read_start")), genome, width)
+    # files in the order of the genome, as a stream of sorted reads has them: a task then has few windows
+    rows = stored(located.repartitionByRange("coordinate").sortWithinPartitions("coordinate"))
     last = rows.agg(F.max("window_end").alias("last")).first().last or 0
     keyed = KeyedStream(f"{root}/run", stats, keys, [*keys, *columns], width)
     for i in range(runs):
