@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -81,8 +83,7 @@ def ordered_sum(rows: DataFrame, by: list[str], order: str, value: str, *, name:
     Rows are dealt by ranges of (by, order) and written, so that ranges stay as they are; sums of
     ranges are run up first, then rows within a range: no group is one task.
     """
-    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = stored(rows.repartitionByRange(n, *by, order).withColumn("part_", F.spark_partition_id()))
+    dealt = stored(rows.repartitionByRange(*by, order).withColumn("part_", F.spark_partition_id()))
     whole = dealt.groupBy(*by, "part_").agg(F.sum(value).alias("part_sum_"))
     before = Window.partitionBy(*by).orderBy("part_").rowsBetween(Window.unboundedPreceding, -1)
     whole = whole.withColumn("before_", F.coalesce(F.sum("part_sum_").over(before), F.lit(0))).drop("part_sum_")
@@ -91,20 +92,33 @@ def ordered_sum(rows: DataFrame, by: list[str], order: str, value: str, *, name:
     return inside.join(whole, [*by, "part_"]).withColumn(name, F.col("before_") + F.col("inside_")).drop("part_", "before_", "inside_")
 
 
-def group_quantiles(rows: DataFrame, by: list[str], value: str, levels: Mapping[str, float], weight: str | None = None) -> DataFrame:
+def group_quantiles(rows: DataFrame, by: list[str], value: str, levels: Mapping[str, float], weight: str | None = None, *, cells: int = 1 << 12) -> DataFrame:
     """Exact quantiles with linear interpolation by group, a column for each of ``levels``; nulls do not count.
-    A row stands for ``weight`` equal ones.
+    A row stands for ``weight`` equal ones; rows that have one are read several times.
 
-    Values are counted first; a quantile is then the least value that enough others do not exceed.
-    So neither a group's values nor its value counts meet in one task, as they do in ``percentile``.
+    Each group's span is cut into ``cells`` of equal width, and their counts tell in which cells the wanted ranks lie. Only
+    these cells' values are put in order, by ranges, so neither a group's values nor its value counts meet in one task,
+    as they do in ``percentile``, and most values are counted only. Cells keep the order of values, so any spread is exact.
     """
-    counts = rows.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).cast("double").alias("x_")).agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("n_"))
-    upto = ordered_sum(counts, by, "x_", "n_", name="upto_")
-    last = upto.groupBy(*by).agg(F.max("upto_").alias("all_"))  # a row per group
+    x = F.col(value).cast("double").alias("x_")
+    kept = rows.where(F.col(value).isNotNull())
+    counts = kept.select(*by, x, F.col(weight).alias("w_")) if weight else stored(kept.groupBy(*by, x).agg(F.count(F.lit(1)).alias("w_")))
+    span = counts.groupBy(*by).agg(F.min("x_").alias("least_"), F.max("x_").alias("most_"))  # a row per group
+    width = F.col("most_") - F.col("least_")
+    cell = F.least(F.floor((F.col("x_") - F.col("least_")) / width * cells), F.lit(cells - 1))
+    # a span that is empty or not finite is one cell
+    dealt = counts.join(span, by).withColumn("cell_", F.when((width > 0) & (width < float("inf")), cell).otherwise(0).cast("int")).drop("least_", "most_")
+    group, within = Window.partitionBy(*by), Window.partitionBy(*by).orderBy("cell_")  # at most a row per cell
+    held = dealt.groupBy(*by, "cell_").agg(F.sum("w_").alias("n_"))
+    held = held.withColumns({"all_": F.sum("n_").over(group), "below_": F.sum("n_").over(within) - F.col("n_")})
     h = {k: (F.col("all_") - 1) * F.lit(float(q)) for k, q in levels.items()}
+    has = lambda rank: (F.col("below_") <= rank) & (rank < F.col("below_") + F.col("n_"))
+    wanted = stored(held.where(reduce(or_, (has(f(r)) for r in h.values() for f in (F.floor, F.ceil)))).drop("n_"))
+    few = dealt.join(wanted, [*by, "cell_"]).groupBy(*by, "cell_", "all_", "below_", "x_").agg(F.sum("w_").alias("w_"))
+    upto = ordered_sum(few, [*by, "cell_"], "x_", "w_", name="upto_").withColumn("upto_", F.col("below_") + F.col("upto_"))
     least = lambda k: F.min(F.when(F.col("upto_") > k, F.col("x_")))
     ends = [least(f(h[k])).alias(f"{s}_{k}") for k in levels for s, f in (("low", F.floor), ("high", F.ceil))]
-    found = upto.join(last, by).groupBy(*by, "all_").agg(*ends)
+    found = upto.groupBy(*by, "all_").agg(*ends)
     share = lambda k: h[k] - F.floor(h[k])
     # between two equal values it is that value to the last digit, so that what ties with it still does
     at = lambda k: F.when(F.col(f"low_{k}") == F.col(f"high_{k}"), F.col(f"low_{k}")).otherwise(F.col(f"low_{k}") + share(k) * (F.col(f"high_{k}") - F.col(f"low_{k}")))

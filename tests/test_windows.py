@@ -134,3 +134,19 @@ def test_a_quantile_between_equal_values_is_that_value(spark):
     assert got == {i: [v, v] for i, v in enumerate(values)}
     track = spark.createDataFrame([("c", "for", p, s * values[g]) for g in range(60) for p, s in enumerate([-1.0] * 27 + [1.0])], "chrom string, strand string, pos long, reactivity double").withColumn("chrom", F.concat("chrom", F.round(F.abs("reactivity"), 12)))
     assert reactivity.significant(track, reactivity.null_thresholds(track)).where("reactivity > 0").count() == 60
+
+
+@pytest.mark.parametrize("cells", [1, 7, 4096])
+def test_quantiles_put_few_values_in_order(spark, monkeypatch, cells):
+    """Cells of values are counted first: only those in which the wanted ranks lie are sorted."""
+    rng = np.random.default_rng(8)
+    groups = {"a": rng.normal(0, 1, 4000), "b": np.append(rng.normal(5, 0.1, 500), 1e9), "c": np.array([3.0]), "d": np.full(9, 0.1), "e": np.array([-np.inf, 1.0, 2.0, np.inf]), "f": rng.integers(0, 5, 300) * 1.0}
+    df = spark.createDataFrame([(g, float(v)) for g, vs in groups.items() for v in vs] + [("a", None)], "g string, x double")
+    sorted_rows, real = [], running.ordered_sum
+    monkeypatch.setattr(running, "ordered_sum", lambda rows, *a, **k: sorted_rows.append(rows.where("g = 'a'").count()) or real(rows, *a, **k))
+    got = {r.g: (r.q1, r.q2) for r in running.group_quantiles(df, ["g"], "x", {"q1": 0.5, "q2": 0.999}, cells=cells).collect()}
+    for g, vs in groups.items():
+        if g != "e":
+            assert np.allclose(got[g], np.quantile(vs, [0.5, 0.999]), rtol=0, atol=1e-9)
+    assert got["e"][0] == 1.5 and got.keys() == groups.keys()
+    assert sorted_rows[0] < {1: 4001, 7: 2500, 4096: 20}[cells]
