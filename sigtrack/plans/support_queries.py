@@ -57,7 +57,9 @@ def _(t):
 SELECT distance, s.strand, round(avg(cov), 5) AS cov, count(*) AS n FROM w JOIN stats s ON s.chrom = w.chrom AND s.pos BETWEEN low AND high GROUP BY ALL""")
 def _(t):
     windows = profile.feature_windows(t.features(), 2, 10).withColumn("distance", F.col("distance").cast("int"))
-    return r6(profile.window_means(windows, _stats(t).select("chrom", "pos", "strand", "cov"), ["cov"], ["distance"], ["strand"]), "cov", digits=5)
+    # the tracks' names, their rows and their bins' sums all read the statistics
+    track = stored(_stats(t).select("chrom", "pos", "strand", "cov"))
+    return r6(profile.window_means(windows, track, ["cov"], ["distance"], ["strand"]), "cov", digits=5)
 
 
 @query("agg31_tag_survival", "", """WITH b AS (SELECT o_orderstatus <> 'P' AS mm, o_orderpriority LIKE '1%' AS ml, o_totalprice > 0 AS mv, o_custkey % 2 = 0 AS kept FROM orders)

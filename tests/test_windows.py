@@ -11,6 +11,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sigtrack.operators import calls, kmer, profile, reactivity, running, signal, sweep, windows
+from sigtrack.plans import queries, support_queries  # noqa: F401  the second registers its queries
+from sigtrack.plans.views import Tables
 
 
 @pytest.fixture(scope="module")
@@ -150,3 +152,9 @@ def test_quantiles_put_few_values_in_order(spark, monkeypatch, cells):
             assert np.allclose(got[g], np.quantile(vs, [0.5, 0.999]), rtol=0, atol=1e-9)
     assert got["e"][0] == 1.5 and got.keys() == groups.keys()
     assert sorted_rows[0] < {1: 4001, 7: 2500, 4096: 20}[cells]
+
+
+def test_profile_by_strand_reads_stored_statistics(spark):
+    """Statistics that each branch made anew were aggregated once for every use."""
+    made = queries.QUERIES["agg26_profile_by_strand"](Tables(spark, "/root/testdata/sf0.001"))
+    assert not any("lineitem" in f for f in made.inputFiles())
