@@ -158,3 +158,14 @@ def test_profile_by_strand_reads_stored_statistics(spark):
     """Statistics that each branch made anew were aggregated once for every use."""
     made = queries.QUERIES["agg26_profile_by_strand"](Tables(spark, "/root/testdata/sf0.001"))
     assert not any("lineitem" in f for f in made.inputFiles())
+
+
+@pytest.mark.parametrize("name", ["agg13_average_profile"])
+def test_average_profiles_send_no_windows_through_the_driver(spark, name):
+    """By the size of part, all windows were to go to every executor through the driver. Of what is planned before anything
+    is measured, only the names of the tracks may, which are joined by chromosome."""
+    made = queries.QUERIES[name](Tables(spark, "/root/testdata/sf0.001"))
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    sent = re.findall(r"BroadcastHashJoin (\[[^]]*\])", plan)
+    assert {re.sub(r"#\d+L?", "", keys) for keys in sent} == {"[chrom]"}
+    assert "NestedLoop" not in plan
