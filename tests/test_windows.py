@@ -160,7 +160,7 @@ def test_profile_by_strand_reads_stored_statistics(spark):
     assert not any("lineitem" in f for f in made.inputFiles())
 
 
-@pytest.mark.parametrize("name", ["agg13_average_profile"])
+@pytest.mark.parametrize("name", ["agg13_average_profile", "srt05_profile_order"])
 def test_average_profiles_send_no_windows_through_the_driver(spark, name):
     """By the size of part, all windows were to go to every executor through the driver. Of what is planned before anything
     is measured, only the names of the tracks may, which are joined by chromosome."""
