@@ -17,11 +17,12 @@ by their words.
 from __future__ import annotations
 
 import math
-import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -31,88 +32,127 @@ from .scaled_sketch import mixed
 LONGEST, LEAST, COVERED, SCALE, TOP = 4, 30, (100, 80), 2_000_000, 2000
 #: Characters that end a piece; tabs and spaces separate words.
 _ENDS = b".,;:!?\n\x0b\x0c\r"
-_TO_FEED = bytes.maketrans(_ENDS, b"\n" * len(_ENDS))
-#: No UTF-8 text has this byte.
-_STOP = b"\xff"
+_FEED, _SPACE = 10, 32
+_PLAIN = bytes.maketrans(_ENDS + b"\tABCDEFGHIJKLMNOPQRSTUVWXYZ", b"\n" * len(_ENDS) + b" abcdefghijklmnopqrstuvwxyz")
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
-#: Text bytes of an array of words, n-grams of a summary, words a Python worker remembers.
-_CHUNK, _SUMMARY, _MOST_WORDS = 4_000_000, 6_000_000, 200_000
+#: The first 0 to 8 bytes of a little-endian number.
+_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+#: Text bytes of an array of words, n-grams of a summary, bytes of a word hashed by blocks, text bytes of a partition.
+_CHUNK, _SUMMARY, _BLOCKS, _PART = 4_000_000, 12_000_000, 64, 16_000_000
 #: Times the capacity that the guarantee needs: fewer n-grams below the threshold survive.
 _ROOM = 8
 #: Bits of the filter: 32 for each survivor, up to 128 MB.
 _BITS_EACH, _MOST_BITS = 32, 30
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        from xxhash import xxh64_intdigest
-
-        if len(self) >= _MOST_WORDS:
-            self.clear()
-            self[_STOP] = 0
-        found = self[word] = xxh64_intdigest(word) or 1  # 0 is a piece's end
-        return found
-
-
-def _known() -> _WordHashes:
-    known = _WordHashes()
-    known[_STOP] = 0
-    return known
-
-
-def words_of(text: bytes) -> list[bytes]:
-    """Lower-cased words, with a stop behind each piece."""
-    return (text.lower().translate(_TO_FEED).replace(b"\n", b" \xff ") + b" \xff").split()
-
-
-def chunks(frames: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], np.ndarray, list[str]]]:
-    """Words of some texts (whole ones) in a row, the number of each word's language, and the languages."""
-    words: list[bytes] = []
-    counts: list[int] = []
-    numbers: list[int] = []
-    langs: dict[str, int] = {}
+@dataclass
+class Words:
+    """Words of some whole texts in a row: in ``data`` each stands at ``start``, ``size`` bytes long. Words of one piece
+    have the same number ``piece``. ``lang`` is the place of a word's language in ``langs``, which has all of the texts'."""
+
+    data: np.ndarray
+    start: np.ndarray
+    size: np.ndarray
+    piece: np.ndarray
+    lang: np.ndarray
+    langs: list[str]
+
+    def phrases(self, first: np.ndarray, n: np.ndarray) -> pa.Array:
+        """The ``n`` words from each place ``first`` on, joined by single spaces."""
+        word = (self.data != _FEED) & (self.data != _SPACE)
+        word[1:] |= word[:-1].copy()  # and the byte behind each
+        joined = self.data[word]
+        joined[joined == _FEED] = _SPACE
+        ends = np.cumsum(self.size + 1)
+        start = ends[first] - self.size[first] - 1
+        sizes = ends[first + n - 1] - 1 - start
+        offsets = np.append(0, np.cumsum(sizes))
+        at = np.arange(offsets[-1]) + np.repeat(start - offsets[:-1], sizes)
+        return pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(joined[at])])
+
+
+def words_of(texts: list[bytes], langs: list[str]) -> Words:
+    """Lower-cased words of texts, each with its language."""
+    data = np.frombuffer((b"\n".join(texts) + b"\n").translate(_PLAIN), np.uint8)
+    end = data == _FEED
+    edge = np.diff((~end & (data != _SPACE)).view(np.int8), prepend=np.int8(0))
+    start = np.flatnonzero(edge == 1)
+    behind = np.cumsum([len(t) + 1 for t in texts])
+    names = {name: k for k, name in enumerate(dict.fromkeys(langs))}
+    lang = np.repeat(np.array([names[x] for x in langs]), np.diff(np.searchsorted(start, behind), prepend=0))
+    return Words(data, start, np.flatnonzero(edge == -1) - start, np.cumsum(end, dtype=np.int32)[start], lang, list(names))
+
+
+def chunks(frames: Iterator[pa.RecordBatch]) -> Iterator[Words]:
+    """The texts' words, whole texts of some megabytes at a time."""
+    texts: list[bytes] = []
+    langs: list[str] = []
     size = 0
     for frame in frames:
         for text, lang in zip(frame["text"], frame["lang"].to_pylist()):
-            w = words_of(text.as_py())
-            words += w
-            counts.append(len(w))
-            numbers.append(langs.setdefault(lang, len(langs)))
-            size += len(text.as_py())
+            texts.append(text.as_py())
+            langs.append(lang)
+            size += len(texts[-1])
             if size > _CHUNK:
-                yield words, np.repeat(np.array(numbers), counts), list(langs)
-                words, counts, numbers, size = [], [], [], 0
-    if words:
-        yield words, np.repeat(np.array(numbers), counts), list(langs)
+                yield words_of(texts, langs)
+                texts, langs, size = [], [], 0
+    if texts:
+        yield words_of(texts, langs)
 
 
-def ngram_hashes(words: list[bytes], lang: np.ndarray, langs: list[str], known: dict, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def word_hashes(words: Words) -> np.ndarray:
+    """64 bits for each word, by blocks of 8 bytes for all words at once; the few long words go one by one."""
+    from xxhash import xxh64_intdigest
+
+    data = np.append(words.data, np.zeros(8, np.uint8))
+    block = np.ndarray((len(data) - 7,), "<u8", data, 0, (1,))  # the 8 bytes from each byte on
+    h = mixed(words.size.astype(np.uint64) * _FACTOR + (block[words.start] & _FIRST[np.minimum(words.size, 8)]))
+    for done in range(8, _BLOCKS, 8):
+        at = np.flatnonzero(words.size > done)
+        h[at] = mixed(h[at] * _FACTOR + (block[words.start[at] + done] & _FIRST[np.minimum(words.size[at] - done, 8)]))
+    for k in np.flatnonzero(words.size > _BLOCKS).tolist():
+        h[k] = xxh64_intdigest(data[words.start[k] : words.start[k] + words.size[k]].tobytes())
+    return h
+
+
+def ngram_hashes(words: Words, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(n, starts, hashes) of the n-grams of 1 to ``longest`` words within pieces."""
     from xxhash import xxh64_intdigest
 
-    h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-    seeds = np.array([xxh64_intdigest(name.encode(), 1) for name in langs], np.uint64)[lang]
-    total, inside = seeds, np.ones(len(h), bool)
+    h = word_hashes(words)
+    total = np.array([xxh64_intdigest(name.encode(), 1) for name in words.langs], np.uint64)[words.lang]
     for n in range(1, min(longest, len(h)) + 1):
         size = len(h) - n + 1
-        last = h[n - 1 :]
-        inside = inside[:size] & (last != 0)
-        total = total[:size] * _FACTOR + last
-        starts = np.flatnonzero(inside)
+        total = total[:size] * _FACTOR + h[n - 1 :]
+        starts = np.flatnonzero(words.piece[:size] == words.piece[n - 1 :])
         yield n, starts, mixed(total[starts] + np.uint64(n))
 
 
 def encoded(keys: np.ndarray, counts: np.ndarray) -> bytes:
-    """Ascending keys, as differences, and their counts: equal bytes of all numbers stand together and are compressed."""
-    steps = np.diff(keys, prepend=np.uint64(0))
-    planes = [np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8).T) for x in (steps, counts)]
-    return zlib.compress(b"".join(p.tobytes() for p in planes), 1)
+    """Ascending keys, as the first and the differences, and their counts: the bytes of each place that some number needs
+    stand together. Spark compresses what it moves."""
+    numbers = [np.diff(keys, prepend=keys[:1]).astype("<u8"), counts.astype("<u8")]
+    used = [(int(x.max(initial=0)).bit_length() + 7) // 8 for x in numbers]
+    used[1] = max(1, used[1])
+    planes = [x.view(np.uint8).reshape(-1, 8)[:, :n].T.tobytes() for x, n in zip(numbers, used)]
+    return b"".join([keys[:1].astype("<u8").tobytes().ljust(8, b"\0"), bytes(used), *planes])
 
 
 def decoded(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(2, 8, -1)
-    steps, counts = (np.ascontiguousarray(p.T).view("<u8").ravel() for p in planes)
-    return np.cumsum(steps, dtype=np.uint64), counts.astype(np.int64)
+    used = list(data[8:10])
+    planes = np.frombuffer(data, np.uint8, offset=10).reshape(sum(used), -1)
+    both = []
+    for own in (planes[: used[0]], planes[used[0] :]):
+        whole = np.zeros((planes.shape[1], 8), np.uint8)
+        whole[:, : len(own)] = own.T
+        both.append(whole.view("<u8").ravel())
+    return np.cumsum(both[0], dtype=np.uint64) + np.frombuffer(data, "<u8", 1), both[1].astype(np.int64)
+
+
+def counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ones of ascending keys, and how often each stands there."""
+    first = np.flatnonzero(np.append(np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1]))
+    return keys[first], np.diff(first, append=len(keys))
 
 
 def reduced(keys: np.ndarray, counts: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, int]:
@@ -124,63 +164,90 @@ def reduced(keys: np.ndarray, counts: np.ndarray, capacity: int) -> tuple[np.nda
     return keys[kept], counts[kept] - off, off
 
 
-def added(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Two summaries' counters together, keys ascending."""
-    keys, at = np.unique(np.append(a[0], b[0]), return_inverse=True)
-    counts = np.zeros(len(keys), np.int64)
-    np.add.at(counts, at, np.append(a[1], b[1]))
-    return keys, counts
-
-
-def summarized(parts: list[tuple[np.ndarray, np.ndarray, int]], least: int, room: int = _ROOM) -> tuple[np.ndarray, np.ndarray, int]:
+def added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Several summaries' counters together, keys ascending."""
+    keys, counts = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+    if not len(keys):
+        return keys, counts
+    least, bits = keys.min(), int(counts.max()).bit_length()
+    if int(keys.max() - least).bit_length() + bits <= 64:  # key and count fit one number: much faster than an order of places
+        both = (keys - least) << np.uint64(bits) | counts.astype(np.uint64)
+        both.sort()
+        keys, counts = (both >> np.uint64(bits)) + least, (both & np.uint64((1 << bits) - 1)).astype(np.int64)
+    else:
+        order = np.argsort(keys, kind="stable")
+        keys, counts = keys[order], counts[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    return keys[first], np.add.reduceat(counts, first)
+
+
+def summarized(parts: Iterable[tuple[np.ndarray, np.ndarray, int]], least: int, room: int = _ROOM, mass: int | None = None) -> tuple[np.ndarray, np.ndarray, int]:
     """The merged summary of (keys, counts, mass) with a capacity of ``room`` times the whole mass / least, plus one, and
-    what at most was taken off a counter: less than least / room."""
-    capacity = room * sum(p[2] for p in parts) // least + 1
-    keys, counts, off = np.zeros(0, np.uint64), np.zeros(0, np.int64), 0
+    what at most was taken off a counter: less than least / room. Parts wait until they have more counters than the
+    summary may hold, so that merging takes as long for many small parts as for a few large ones."""
+    if mass is None:
+        parts = list(parts)
+        mass = sum(p[2] for p in parts)
+    capacity = room * mass // least + 1
+    held, off, waiting = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))], 0, 0
+
+    def merge() -> None:
+        nonlocal held, off, waiting
+        keys, counts, once = reduced(*added(held), capacity)
+        held, off, waiting = [(keys, counts)], off + once, 0
+
     for more in parts:
-        keys, counts, once = reduced(*added((keys, counts), more[:2]), capacity)
-        off += once
-    return keys, counts, off
+        held.append(more[:2])
+        waiting += len(more[0])
+        if waiting > capacity:
+            merge()
+    merge()
+    return *held[0], off
 
 
 def summaries(rows: DataFrame, parts_log: int, longest: int, key_bits: int, size: int = _SUMMARY) -> DataFrame:
     """(part, mass, data): summaries of the n-grams of runs of texts. A key keeps ``key_bits`` of the hash, as keys that
     collide can only let more survive; they are exact within a run, so nothing is taken off yet."""
 
+    def flush(keys: np.ndarray) -> pa.RecordBatch:
+        keys.sort()
+        bounds = np.searchsorted(keys, np.arange(1 << parts_log, dtype=np.uint64) << np.uint64(key_bits - parts_log))
+        bounds = np.append(bounds, len(keys))
+        parts = np.flatnonzero(np.diff(bounds))
+        data = [encoded(*counted(keys[bounds[p] : bounds[p + 1]])) for p in parts]
+        return pa.RecordBatch.from_arrays([pa.array(parts), pa.array(np.diff(bounds)[parts]), pa.array(data, pa.binary())], ["part", "mass", "data"])
+
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, held, n_held = _known(), [], 0
-
-        def flush() -> pa.RecordBatch:
-            keys, counts = np.unique(np.concatenate(held) if held else np.zeros(0, np.uint64), return_counts=True)
-            part = (keys >> np.uint64(key_bits - parts_log)).astype(np.int64) if parts_log else np.zeros(len(keys), np.int64)
-            starts = np.flatnonzero(np.diff(part, prepend=-1))
-            stops = np.append(starts[1:], len(keys))
-            data = [encoded(keys[a:b], counts[a:b]) for a, b in zip(starts, stops)]
-            mass = [int(counts[a:b].sum()) for a, b in zip(starts, stops)]
-            return pa.RecordBatch.from_arrays([pa.array(part[starts], pa.int64()), pa.array(mass, pa.int64()), pa.array(data, pa.binary())], ["part", "mass", "data"])
-
-        for words, lang, langs in chunks(frames):
-            for _, _, h in ngram_hashes(words, lang, langs, known, longest):
-                held.append(h >> np.uint64(64 - key_bits))
-                n_held += len(h)
-            if n_held > size:
-                yield flush()
-                held, n_held = [], 0
-        yield flush()
+        held, n = np.empty(size, np.uint64), 0
+        for words in chunks(frames):
+            for _, _, h in ngram_hashes(words, longest):
+                h >>= np.uint64(64 - key_bits)
+                while len(h):
+                    fits = min(len(h), size - n)
+                    held[n : n + fits] = h[:fits]
+                    n, h = n + fits, h[fits:]
+                    if n == size:
+                        yield flush(held)
+                        n = 0
+        yield flush(held[:n])
 
     return rows.mapInArrow(run, "part long, mass long, data binary")
 
 
+def partition_bits(spark: SparkSession, text_bytes: int) -> int:
+    """Leading bits of a hash that make its partition: 2 partitions for a task or more, some million n-grams each at most."""
+    at_least = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, math.ceil(math.log2(max(at_least, text_bytes / _PART))))
+
+
 def survivors(rows: DataFrame, least: int, longest: int, text_bytes: int) -> tuple[DataFrame, int]:
     """(part, keys, n): the keys of all n-grams that may come up ``least`` times, packed by partition; and the bits of a key."""
-    # four n-grams a word of 5 bytes and more, a summary of some hundred thousand for each partition
-    at_least = 4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts_log = max(1, math.ceil(math.log2(max(at_least, text_bytes / 4_000_000))))
+    parts_log = partition_bits(rows.sparkSession, text_bytes)
     key_bits = min(64, max(parts_log + 8, math.ceil(math.log2(max(2, text_bytes))) + 10))
 
     def merge(group: pa.Table) -> pa.Table:
-        parts = [(*decoded(d.as_py()), m.as_py()) for d, m in zip(group["data"], group["mass"])]
-        keys, counts, off = summarized(parts, least)
+        parts = ((*decoded(d.as_py()), m.as_py()) for d, m in zip(group["data"], group["mass"]))
+        keys, counts, off = summarized(parts, least, mass=pc.sum(group["mass"]).as_py())
         keys = keys[counts + off >= least]
         return pa.table({"part": group["part"][:1], "keys": pa.array([keys.astype("<u8").tobytes()], pa.binary()), "n": pa.array([len(keys)], pa.int64())})
 
@@ -233,47 +300,97 @@ class _Counted:
         new = np.flatnonzero(~old)
         if len(new):
             langs, phrases = spelled(new)
-            self.langs.append(pa.array(langs, pa.string()))
-            self.phrases.append(pa.array(phrases, pa.binary()))
+            self.langs.append(langs)
+            self.phrases.append(phrases)
             self.keys = np.insert(self.keys, at[new], keys[new])
             self.place = np.insert(self.place, at[new], len(self.counts) + np.arange(len(new)))
             self.counts = np.append(self.counts, counts[new])
 
-    def batch(self) -> pa.RecordBatch:
+    def packed(self, parts_log: int) -> pa.RecordBatch:
+        """(part, data): the languages, phrases and counts of each partition of hashes."""
         whole = lambda parts, kind: pa.concat_arrays(parts) if parts else pa.array([], kind)
-        return pa.RecordBatch.from_arrays([whole(self.langs, pa.string()), whole(self.phrases, pa.binary()), pa.array(self.counts)], ["lang", "phrase", "f"])
-
-
-def exact_counts(rows: DataFrame, filter_bits: tuple[bytes, int], least: int, longest: int, most: int = 1_000_000) -> DataFrame:
-    """(lang, phrase, f) of every n-gram of ``least`` occurrences: those that meet a bit of the filter, counted by their words.
-
-    A task hands its counts on once it holds ``most`` n-grams; 64 bits tell these apart, and their words from then on.
+        batch = pa.RecordBatch.from_arrays([whole(self.langs, pa.string()).dictionary_encode(), whole(self.phrases, pa.binary()), pa.array(self.counts)], ["lang", "phrase", "f"])
+        part = (self.keys >> np.uint64(64 - parts_log)).astype(np.int64)
+        starts = np.flatnonzero(np.diff(part, prepend=-1))
+        stops = np.append(starts[1:], len(part))
+        data = [_stream(batch.take(pa.array(self.place[a:b]))) for a, b in zip(starts, stops)]
+        return pa.RecordBatch.from_arrays([pa.array(part[starts]), pa.array(data, pa.binary())], ["part", "data"])
+
+
+def _stream(batch: pa.RecordBatch) -> bytes:
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, batch.schema) as writer:
+        writer.write_batch(batch)
+    return out.getvalue().to_pybytes()
+
+
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct keys in ascending order, the first place of each and how often it stands there."""
+    bits = np.uint64(len(keys).bit_length())
+    both = keys >> bits << bits | np.arange(len(keys), dtype=np.uint64)  # a key's leading bits and its place: faster than an order of places
+    both.sort()
+    place = (both & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    ordered = keys[place]
+    if (ordered[1:] < ordered[:-1]).any():  # different keys have the same leading bits
+        place = np.argsort(keys, kind="stable")
+        ordered = keys[place]
+    first = np.flatnonzero(np.append(np.ones(min(1, len(keys)), bool), ordered[1:] != ordered[:-1]))
+    return ordered[first], place[first], np.diff(first, append=len(keys))
+
+
+def counts_with_words(rows: DataFrame, filter_bits: tuple[bytes, int], least: int, longest: int, text_bytes: int = 0, most: int = 1_000_000) -> DataFrame:
+    """(lang, phrase, f): the n-grams of ``least`` occurrences that meet a bit of the filter, counted by their words; with an
+    empty phrase, each language's number of words.
+
+    A task hands its counts on once it holds ``most`` n-grams, packed by ranges of hashes; 64 bits tell these apart, and
+    their words from then on.
     """
+    parts_log = partition_bits(rows.sparkSession, text_bytes)
     shared = rows.sparkSession.sparkContext.broadcast(filter_bits[0])
     bits = filter_bits[1]
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, held = _known(), _Counted()
+        held = _Counted()
+        totals: dict[str, int] = {}
         bit = np.frombuffer(shared.value, np.uint8)
-        for words, lang, langs in chunks(frames):
-            for n, starts, h in ngram_hashes(words, lang, langs, known, longest):
+        for words in chunks(frames):
+            for name, n in zip(words.langs, np.bincount(words.lang, minlength=len(words.langs)).tolist()):
+                totals[name] = totals.get(name, 0) + n
+            first, sizes, hashes = [], [], []
+            for n, starts, h in ngram_hashes(words, longest):
                 at = h >> np.uint64(64 - bits)
                 passed = np.flatnonzero((bit[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & np.uint8(1))
-                keys, first, counts = np.unique(h[passed], return_index=True, return_counts=True)
-                first = starts[passed[first]]
-
-                def spelled(new: np.ndarray) -> tuple[list[str], list[bytes]]:
-                    places = first[new].tolist()
-                    return [langs[k] for k in lang[first[new]].tolist()], [b" ".join(words[i : i + n]) for i in places]
-
-                held.add(keys, counts, spelled)
+                first.append(starts[passed])
+                sizes.append(np.full(len(passed), n))
+                hashes.append(h[passed])
+            if not hashes:
+                continue
+            keys, places, counts = distinct(np.concatenate(hashes))
+            start, size = np.concatenate(first)[places], np.concatenate(sizes)[places]
+
+            def spelled(new: np.ndarray) -> tuple[pa.Array, pa.Array]:
+                return pa.array(words.langs, pa.string()).take(pa.array(words.lang[start[new]])), words.phrases(start[new], size[new])
+
+            held.add(keys, counts, spelled)
             if len(held.keys) > most:
-                yield held.batch()
+                yield held.packed(parts_log)
                 held = _Counted()
-        yield held.batch()
+        yield held.packed(parts_log)
+        own = pa.RecordBatch.from_arrays([pa.array(list(totals), pa.string()).dictionary_encode(), pa.array([b""] * len(totals), pa.binary()), pa.array(list(totals.values()), pa.int64())], ["lang", "phrase", "f"])
+        yield pa.RecordBatch.from_arrays([pa.array([-1]), pa.array([_stream(own)], pa.binary())], ["part", "data"])
+
+    def merge(group: pa.Table) -> pa.Table:
+        found = pa.concat_tables([t.set_column(0, "lang", t["lang"].cast(pa.string())) for t in (pa.ipc.open_stream(d.as_buffer()).read_all() for d in group["data"])])
+        found = found.group_by(["lang", "phrase"]).aggregate([("f", "sum")]).select(["lang", "phrase", "f_sum"]).rename_columns(["lang", "phrase", "f"])
+        return found.filter(pc.or_(pc.equal(pc.binary_length(found["phrase"]), 0), pc.greater_equal(found["f"], least)))
 
-    found = rows.mapInArrow(run, "lang string, phrase binary, f long").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
-    return found.where(F.col("f") >= least).select("lang", F.col("phrase").cast("string").alias("phrase"), "f")
+    sums = rows.mapInArrow(run, "part long, data binary").groupBy("part").applyInArrow(merge, "lang string, phrase binary, f long")
+    return sums.select("lang", F.col("phrase").cast("string").alias("phrase"), "f")
+
+
+def exact_counts(rows: DataFrame, filter_bits: tuple[bytes, int], least: int, longest: int, most: int = 1_000_000) -> DataFrame:
+    """(lang, phrase, f) of every n-gram of ``least`` occurrences that meets a bit of the filter."""
+    return counts_with_words(rows, filter_bits, least, longest, most=most).where("phrase <> ''")
 
 
 def frequent(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> tuple[DataFrame, DataFrame]:
@@ -285,10 +402,8 @@ def frequent(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> tup
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), text.cast("binary").alias("text"))
     size = rows.agg(F.sum(F.length("text")).alias("n")).first().n or 0
     found, key_bits = survivors(rows, least, longest, size)
-    counts = stored(exact_counts(rows, survivor_filter(found, key_bits), least, longest))
-    words = F.regexp_count(F.col("text").cast("string"), F.lit(r"[^\x20\x09\x0A-\x0D.,;:!?]+"))
-    totals = rows.groupBy("lang").agg(F.sum(words).cast("long").alias("n"))
-    return counts, totals
+    both = stored(counts_with_words(rows, survivor_filter(found, key_bits), least, longest, size))
+    return both.where("phrase <> ''"), both.where("phrase = ''").select("lang", F.col("f").alias("n"))
 
 
 def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, covered: tuple[int, int] = COVERED, scale: int = SCALE, top: int = TOP) -> DataFrame:

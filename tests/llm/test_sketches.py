@@ -3,6 +3,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -128,6 +129,41 @@ def test_summaries_are_packed_without_loss():
         assert (got[0] == k).all() and (got[1] == c).all()
 
 
+def test_merging_many_summaries_takes_as_long_as_merging_a_few(monkeypatch):
+    rng = np.random.default_rng(4)
+    merged = []
+    add = collocations.added
+    monkeypatch.setattr(collocations, "added", lambda *parts: (out := add(*parts), merged.append(len(out[0])))[0])
+    for n_parts in (10, 400):
+        parts = [np.unique(rng.integers(0, 1 << 40, 40_000 // n_parts, dtype=np.uint64), return_counts=True) for _ in range(n_parts)]
+        merged.clear()
+        collocations.summarized([(k, c, int(c.sum())) for k, c in parts], 30)
+        assert sum(merged) < 8 * 40_000
+
+
+@pytest.mark.parametrize("top", [1 << 20, (1 << 64) - 1])
+def test_added_summaries(top):
+    rng = np.random.default_rng(6)
+    keys = rng.integers(0, top, 50, dtype=np.uint64)
+    parts = [np.unique(rng.choice(keys, 30), return_counts=True) for _ in range(5)] + [(keys[:0], np.zeros(0, np.int64)), (keys[:1], np.array([1 << 40]))]
+    want = Counter()
+    for k, c in parts:
+        want.update(dict(zip(k.tolist(), c.tolist())))
+    k, c = collocations.added(parts)
+    assert list(zip(k.tolist(), c.tolist())) == sorted(want.items())
+
+
+def test_hashes_of_words_of_any_length():
+    low = "abcdefgh" * 30
+    differ = [low[:n] for n in range(1, 240)] + [low[:n] + "\u00e9" + low[n:120] for n in range(120)]
+    (words,) = collocations.chunks([pa.record_batch({"text": pa.array(["  ".join(differ).encode(), b"", "!".join(differ[::-1]).encode().upper()]), "lang": ["aa", "bb", "bb"]})])
+    h = collocations.word_hashes(words)
+    assert len(set(h.tolist())) == len(differ) and (h[: len(differ)] == h[len(differ) :][::-1]).all() and words.langs == ["aa", "bb"]
+    spelled = words.phrases(np.array([0, 5, len(differ)]), np.array([2, 1, 1])).to_pylist()
+    assert spelled == [b"a ab", b"abcdef", (low[:119] + "\u00e9" + low[119:120]).encode()]
+    assert [len(s) for _, s, _ in collocations.ngram_hashes(words, 3)] == [2 * len(differ), len(differ) - 1, len(differ) - 2]
+
+
 def phrase_rows():
     rng = np.random.default_rng(8)
     words = ["Alpha", "beta", "GAMMA", "delta", "é", "É", "x y", "(b)", "o'k"]
