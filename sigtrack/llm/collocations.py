@@ -338,7 +338,7 @@ def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return ordered[first], place[first], np.diff(first, append=len(keys))
 
 
-def counts_with_words(rows: DataFrame, filter_bits: tuple[bytes, int], least: int, longest: int, text_bytes: int = 0, most: int = 1_000_000) -> DataFrame:
+def counts_with_words(rows: DataFrame, filter_bits: tuple[bytes, int], least: int, longest: int, text_bytes: int = 0, most: int = 3_000_000) -> DataFrame:
     """(lang, phrase, f): the n-grams of ``least`` occurrences that meet a bit of the filter, counted by their words; with an
     empty phrase, each language's number of words.
 
@@ -388,7 +388,7 @@ def counts_with_words(rows: DataFrame, filter_bits: tuple[bytes, int], least: in
     return sums.select("lang", F.col("phrase").cast("string").alias("phrase"), "f")
 
 
-def exact_counts(rows: DataFrame, filter_bits: tuple[bytes, int], least: int, longest: int, most: int = 1_000_000) -> DataFrame:
+def exact_counts(rows: DataFrame, filter_bits: tuple[bytes, int], least: int, longest: int, most: int = 3_000_000) -> DataFrame:
     """(lang, phrase, f) of every n-gram of ``least`` occurrences that meets a bit of the filter."""
     return counts_with_words(rows, filter_bits, least, longest, most=most).where("phrase <> ''")
 
